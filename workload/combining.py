@@ -72,14 +72,14 @@ def _(t):
     "j7_nearest_cell_of_each_user",
     """SELECT c_custkey, p.lat, p.lon, arg_min(c.lat, (d, c.lat, c.lon)) AS pixel_lat,
   arg_min(c.lon, (d, c.lat, c.lon)) AS pixel_lon, min(d) AS distance
-FROM (SELECT c_custkey, 50 + c_nationkey * 1.3::DOUBLE AS lat, c_acctbal / 32 AS lon FROM customer) p,
+FROM (SELECT c_custkey, 50 + c_nationkey * 1.3::DOUBLE AS lat, c_acctbal / 31.7::DOUBLE AS lon FROM customer) p,
   LATERAL (SELECT c.lat, c.lon, sqrt((c.lon - p.lon) * (c.lon - p.lon) + (c.lat - p.lat) * (c.lat - p.lat)) AS d
   FROM (SELECT DISTINCT lat, lon FROM cube) c) c GROUP BY 1, 2, 3""",
     "lat lon distance",
 )
 def _(t):
     users = t.customer.select(
-        "c_custkey", F.expr("50 + c_nationkey * 1.3D").alias("lat"), (F.col("c_acctbal") / 32).alias("lon")
+        "c_custkey", F.expr("50 + c_nationkey * 1.3D").alias("lat"), (F.col("c_acctbal") / 31.7).alias("lon")
     )
     return nearest_pixels(t.cube, users, per_leaf=16)
 

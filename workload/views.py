@@ -15,16 +15,17 @@ from pyspark.sql import functions as F
 from gridlake.session import new_scratch
 
 # name: (tables and views used, Spark text, DuckDB text)
-_LAT = "CAST(50 + 2.5 * (user_id % 15) AS DOUBLE)"
+_LAT = "CAST(50 + 2.5 * (user_id % 15) AS DOUBLE) + ((user_id DIV 307200) % 128) / 64D"
+_LAT_DUCK = _LAT.replace("DIV", "//").replace("64D", "64::DOUBLE")
 _VIEWS: dict[str, tuple[tuple[str, ...], str, str]] = {
     "cube_long": (
         ("events",),
         f"""SELECT event_id, CAST(date_trunc('HOUR', ts) AS TIMESTAMP_NTZ) AS time, {_LAT} AS lat,
-  CAST(36 * ((user_id DIV 15 + user_id % 15) % 10) AS DOUBLE) + ((user_id DIV 150) % 32768) / 1024D AS lon,
+  CAST(36 * ((user_id DIV 15 + user_id % 15) % 10) AS DOUBLE) + ((user_id DIV 150) % 2048) / 64D AS lon,
   event_type AS var, CASE WHEN event_id % 17 = 0 THEN NULL ELSE value / 0.97D END AS value
 FROM {{events}}""",
-        f"""SELECT event_id, date_trunc('hour', ts) AS time, {_LAT} AS lat,
-  CAST(36 * ((user_id // 15 + user_id % 15) % 10) AS DOUBLE) + ((user_id // 150) % 32768) / 1024::DOUBLE AS lon,
+        f"""SELECT event_id, date_trunc('hour', ts) AS time, {_LAT_DUCK} AS lat,
+  CAST(36 * ((user_id // 15 + user_id % 15) % 10) AS DOUBLE) + ((user_id // 150) % 2048) / 64::DOUBLE AS lon,
   event_type AS var, CASE WHEN event_id % 17 = 0 THEN NULL ELSE value / 0.97::DOUBLE END AS value
 FROM events""",
     ),
@@ -33,26 +34,26 @@ FROM events""",
         f"""SELECT time, lat, lon, CASE WHEN k > 97 THEN NULL ELSE 255D + k / 3.97D END AS TS, v AS SWGNT,
   200D + v / 2 AS LWGAB, n / 0.37D AS HFLUX, k / 9.7D AS EFLUX, -1.5D AS GHTSKIN, v / 3600 AS PRECTOT
 FROM (SELECT CAST(date_trunc('HOUR', ts) AS TIMESTAMP_NTZ) AS time, {_LAT} AS lat,
-  CAST(36 * ((user_id DIV 15 + user_id % 15) % 10) AS DOUBLE) + ((user_id DIV 150) % 32768) / 1024D AS lon,
+  CAST(36 * ((user_id DIV 15 + user_id % 15) % 10) AS DOUBLE) + ((user_id DIV 150) % 2048) / 64D AS lon,
   avg(value / 0.97D) AS v, CAST(count(*) AS DOUBLE) AS n, avg(CAST(get_json_object(props, '$.k') AS DOUBLE)) AS k
   FROM {{events}} GROUP BY 1, 2, 3)""",
         f"""SELECT time, lat, lon, CASE WHEN k > 97 THEN NULL ELSE 255::DOUBLE + k / 3.97::DOUBLE END AS TS, v AS SWGNT,
   200::DOUBLE + v / 2 AS LWGAB, n / 0.37::DOUBLE AS HFLUX, k / 9.7::DOUBLE AS EFLUX, -1.5::DOUBLE AS GHTSKIN,
   v / 3600 AS PRECTOT
-FROM (SELECT date_trunc('hour', ts) AS time, {_LAT} AS lat,
-  CAST(36 * ((user_id // 15 + user_id % 15) % 10) AS DOUBLE) + ((user_id // 150) % 32768) / 1024::DOUBLE AS lon,
+FROM (SELECT date_trunc('hour', ts) AS time, {_LAT_DUCK} AS lat,
+  CAST(36 * ((user_id // 15 + user_id % 15) % 10) AS DOUBLE) + ((user_id // 150) % 2048) / 64::DOUBLE AS lon,
   avg(value / 0.97::DOUBLE) AS v, CAST(count(*) AS DOUBLE) AS n, avg(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS k
   FROM events GROUP BY 1, 2, 3)""",
     ),
     "monthly": (
         ("lineitem",),
         """SELECT CAST(date_trunc('MONTH', l_shipdate) AS TIMESTAMP_NTZ) AS time,
-  10D + 5 * ((l_suppkey % 20) DIV 5) + ((l_suppkey DIV 20) % 4096) / 1024D AS lat,
-  80D + 5 * (l_suppkey % 5) AS lon, avg(l_extendedprice) / 9973 AS SSH, avg(l_quantity) / 97 AS OBP
+  10D + 5 * ((l_suppkey % 20) DIV 5) + ((l_suppkey DIV 20) % 256) / 64D AS lat,
+  80D + 5 * (l_suppkey % 5) + ((l_suppkey DIV 5120) % 256) / 64D AS lon, avg(l_extendedprice) / 9973 AS SSH, avg(l_quantity) / 97 AS OBP
 FROM {lineitem} GROUP BY 1, 2, 3""",
         """SELECT date_trunc('month', l_shipdate)::TIMESTAMP AS time,
-  10::DOUBLE + 5 * ((l_suppkey % 20) // 5) + ((l_suppkey // 20) % 4096) / 1024::DOUBLE AS lat,
-  80::DOUBLE + 5 * (l_suppkey % 5) AS lon, avg(l_extendedprice) / 9973 AS SSH, avg(l_quantity) / 97 AS OBP
+  10::DOUBLE + 5 * ((l_suppkey % 20) // 5) + ((l_suppkey // 20) % 256) / 64::DOUBLE AS lat,
+  80::DOUBLE + 5 * (l_suppkey % 5) + ((l_suppkey // 5120) % 256) / 64::DOUBLE AS lon, avg(l_extendedprice) / 9973 AS SSH, avg(l_quantity) / 97 AS OBP
 FROM lineitem GROUP BY 1, 2, 3""",
     ),
     # On some days a satellite is silent: its rows go to the next one.
