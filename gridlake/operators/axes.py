@@ -46,12 +46,13 @@ def chunk_ids(cube: DataFrame, chunks: dict[str, int], axes: dict[str, DataFrame
 
     ``axes`` may give stored axes (``axis_index``), which saves a scan for each.
     """
+    columns = cube.columns + [f"{dim}_chunk" for dim in chunks]
     for dim, size in chunks.items():
         axis = (axes or {}).get(dim)
         axis = axis_index(cube, dim) if axis is None else axis
         chunk = F.floor(F.col("index") / size).cast("int").alias(f"{dim}_chunk")
         cube = cube.join(axis.select(dim, chunk), dim, "left")
-    return cube
+    return cube.select(*columns)
 
 
 def blank_cube(times: DataFrame, axes: list[DataFrame], names: list[str]) -> DataFrame:

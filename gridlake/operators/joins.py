@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from gridlake.functions.positions import broadcast_if_small
 from gridlake.model import KEYS, copy_attrs
+from gridlake.session import stored
 
-FANOUT = 16
+FANOUT = 4
+MAX_DEPTH = 25
 CELLS_PER_LEAF = 64
 
 
@@ -49,55 +51,36 @@ def nearest_pixels(cells: DataFrame, locations: DataFrame, per_leaf: int = CELLS
     ``cells`` holds the valid cells. Of equally near cells the first in row-major order
     is taken. The result is exact without comparing all pairs: boxes are refined level
     by level, and a box is dropped for a location once some other box is sure to hold a
-    nearer cell, so only the cells of the few boxes left are compared.
+    nearer cell, so only the cells of the few boxes left are compared. A box is refined
+    until it holds at most ``per_leaf`` cells; where all cells are that few, there is one.
     """
-    cells = cells.select("lat", "lon").distinct()
-    points = locations.select(F.col("lat").alias("_y"), F.col("lon").alias("_x")).distinct()
-    s = cells.agg(
-        F.count("*").alias("n"),
-        F.min("lat").alias("y0"),
-        F.max("lat").alias("y1"),
-        F.min("lon").alias("x0"),
-        F.max("lon").alias("x1"),
-    ).first()
-    depth = max(1, math.ceil(math.log(max(s.n, 1) / per_leaf, FANOUT**2))) if s.n > per_leaf else 1
-
-    def box(value: str, low: float | None, high: float | None, level: int) -> Column:
-        if low is None or high == low:
-            return F.lit(0).cast("long")
-        count = FANOUT**level
-        place = F.floor((F.col(value) - low) / F.lit(high - low) * count).cast("long")
-        return F.least(place, F.lit(count - 1))
-
-    found = points.select("*", F.lit(0).cast("long").alias("r"), F.lit(0).cast("long").alias("c"))
-    found = found.withColumn("_within", F.lit(float("inf")))
+    cells = stored(cells.select("lat", "lon").distinct(), "cells")
+    boxes = _Boxes(cells)
+    depth = boxes.depth(per_leaf)
+    y, x = F.col("_y"), F.col("_x")
+
+    # A fixed number of partitions: the rows are few for the work each of them causes.
+    slots = int(locations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = locations.select(F.col("lat").alias("_y"), F.col("lon").alias("_x"))
+    found = points.repartition(slots, "_y", "_x").distinct()
+    found = found.withColumns({"_within": F.lit(float("inf")), "r": _long(0), "c": _long(0)})
     for level in range(1, depth + 1):
-        boxes = cells.groupBy(
-            box("lat", s.y0, s.y1, level).alias("r"), box("lon", s.x0, s.x1, level).alias("c")
-        ).agg(
-            F.min("lat").alias("y0"), F.max("lat").alias("y1"), F.min("lon").alias("x0"), F.max("lon").alias("x1")
-        )
-        # At most FANOUT * FANOUT boxes per parent.
-        parents = boxes.groupBy(
-            F.floor(F.col("r") / FANOUT).alias("r"), F.floor(F.col("c") / FANOUT).alias("c")
-        ).agg(F.collect_list(F.struct("r", "c", "y0", "y1", "x0", "x1")).alias("boxes"))
-        if level == 1:
-            parents = broadcast_if_small(parents, 1)
-        found = _drop_far_boxes(found.join(parents, ["r", "c"]))
-
-    leaves = cells.select(
-        "lat", "lon", box("lat", s.y0, s.y1, depth).alias("r"), box("lon", s.x0, s.x1, depth).alias("c")
-    )
-    dy, dx = F.col("lat") - F.col("_y"), F.col("lon") - F.col("_x")
-    distance = F.sqrt(dx * dx + dy * dy)
+        found = _drop_far_boxes(found.join(boxes.children(level), ["r", "c"]))
+
+    leaves = cells.groupBy(*boxes.place(depth)).agg(F.collect_list(F.struct("lat", "lon")).alias("cells"))
+
+    def measured(cell: Column) -> Column:
+        dy, dx = cell["lat"] - y, cell["lon"] - x
+        return F.struct(F.sqrt(dx * dx + dy * dy).alias("distance"), cell["lat"].alias("lat"), cell["lon"].alias("lon"))
+
     nearest = (
         found.join(leaves, ["r", "c"])
-        .withColumn("distance", distance)
+        .select("_y", "_x", F.array_min(F.transform("cells", measured)).alias("best"))
         .groupBy("_y", "_x")
-        .agg(F.min(F.struct("distance", "lat", "lon")).alias("best"))
+        .agg(F.min("best").alias("best"))
         .select(
-            F.col("_y").alias("lat"),
-            F.col("_x").alias("lon"),
+            y.alias("lat"),
+            x.alias("lon"),
             F.col("best.lat").alias("pixel_lat"),
             F.col("best.lon").alias("pixel_lon"),
             F.col("best.distance").alias("distance"),
@@ -106,17 +89,68 @@ def nearest_pixels(cells: DataFrame, locations: DataFrame, per_leaf: int = CELLS
     return locations.join(nearest, ["lat", "lon"], "left")
 
 
+class _Boxes:
+    """Nested boxes over the cells: each level cuts a box into FANOUT x FANOUT."""
+
+    def __init__(self, cells: DataFrame):
+        self.cells = cells
+        self.bounds = cells.agg(
+            F.count("*").alias("n"),
+            *[f(c).alias(f"{c}_{f.__name__}") for c in ("lat", "lon") for f in (F.min, F.max)],
+        ).first()
+
+    def place(self, level: int) -> list[Column]:
+        """Row and column of the box a cell is in."""
+
+        def along(dim: str) -> Column:
+            low, high = self.bounds[f"{dim}_min"], self.bounds[f"{dim}_max"]
+            if level == 0 or low is None or low == high:
+                return _long(0)
+            count = FANOUT**level
+            step = F.floor((F.col(dim) - low) / F.lit(high - low) * count).cast("long")
+            return F.least(step, _long(count - 1))
+
+        return [along("lat").alias("r"), along("lon").alias("c")]
+
+    def depth(self, per_leaf: int) -> int:
+        """Levels needed until no box holds more than ``per_leaf`` cells."""
+        n = self.bounds["n"]
+        if n <= per_leaf:
+            return 0
+        level = max(1, math.ceil(math.log(n / per_leaf, FANOUT**2)))
+        while level < MAX_DEPTH:
+            fullest = self.cells.groupBy(*self.place(level)).count().agg(F.max("count")).first()[0]
+            if fullest <= per_leaf:
+                break
+            level += 1
+        return level
+
+    def children(self, level: int) -> DataFrame:
+        """The boxes of a level, with their true bounds, in an array for each parent."""
+        boxes = self.cells.groupBy(*self.place(level)).agg(
+            *[F.min(d).alias(f"{d}0") for d in ("lat", "lon")], *[F.max(d).alias(f"{d}1") for d in ("lat", "lon")]
+        )
+        parent = [F.floor(F.col(i) / FANOUT).alias(i) for i in ("r", "c")]
+        box = F.struct("r", "c", "lat0", "lat1", "lon0", "lon1")
+        return boxes.groupBy(*parent).agg(F.collect_list(box).alias("boxes"))
+
+
+def _long(value: int) -> Column:
+    return F.lit(value).cast("long")
+
+
 def _drop_far_boxes(found: DataFrame) -> DataFrame:
+    """Keep the boxes that may hold the nearest cell of a location."""
     y, x = F.col("_y"), F.col("_x")
 
     def nearest(b: Column) -> Column:
-        dy = F.greatest(b.y0 - y, y - b.y1, F.lit(0.0))
-        dx = F.greatest(b.x0 - x, x - b.x1, F.lit(0.0))
+        dy = F.greatest(b["lat0"] - y, y - b["lat1"], F.lit(0.0))
+        dx = F.greatest(b["lon0"] - x, x - b["lon1"], F.lit(0.0))
         return F.sqrt(dx * dx + dy * dy)
 
     def farthest(b: Column) -> Column:
-        dy = F.greatest(F.abs(y - b.y0), F.abs(y - b.y1))
-        dx = F.greatest(F.abs(x - b.x0), F.abs(x - b.x1))
+        dy = F.greatest(F.abs(y - b["lat0"]), F.abs(y - b["lat1"]))
+        dx = F.greatest(F.abs(x - b["lon0"]), F.abs(x - b["lon1"]))
         return F.sqrt(dx * dx + dy * dy)
 
     bound = F.least("_within", F.array_min(F.transform("boxes", farthest)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridlake.operators.aggregate import decompose
 from gridlake.operators.joins import nearest_pixels, series_at
+from gridlake.session import stored
 
 
 def gauge_pixels(height: DataFrame, gauges: DataFrame, variable: str) -> DataFrame:
@@ -20,6 +21,7 @@ def gauge_components(height: DataFrame, pressure: DataFrame, gauges: DataFrame)
     """Monthly total, barystatic and steric sea level at each gauge."""
     keys = ("gauge", "time")
     pixels = gauge_pixels(height, gauges, "SSH").select("gauge", "pixel_lat", "pixel_lon")
+    pixels = stored(pixels, "pixels")
     total = series_at(height, pixels).select(*keys, F.col("SSH").alias("total"))
     barystatic = series_at(pressure, pixels).select(*keys, F.col("OBP").alias("barystatic"))
     return decompose(total, barystatic, keys)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
 
@@ -49,6 +49,16 @@ def new_scratch(spark: SparkSession, name: str) -> str:
     return scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to scratch space and read back, so that it is computed once.
+
+    The table outlives lost executors, and its size is known to the optimizer.
+    """
+    path = new_scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

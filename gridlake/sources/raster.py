@@ -15,31 +15,28 @@ def geotransform(df: DataFrame) -> DataFrame:
 
     The half cell around the outer centres is half the first step of each axis.
     """
-    lon, lat = _axis_summary(df, "lon"), _axis_summary(df, "lat")
-
-    def edges(a):
-        half = (a["second"] - a["low"]) / 2
-        return a["low"] - half, a["high"] + half
-
-    left, right = edges(lon)
-    bottom, top = edges(lat)
-    return df.sparkSession.range(1).select(
-        F.lit(left).alias("left"),
-        F.lit((right - left) / lon["n"]).alias("x_step"),
-        F.lit(top).alias("top"),
-        F.lit((bottom - top) / lat["n"]).alias("y_step"),
-        F.lit(lon["n"]).alias("width"),
-        F.lit(lat["n"]).alias("height"),
-    )
-
-
-def _axis_summary(df: DataFrame, dim: str):
-    """Number of coordinates, the two lowest and the highest."""
-    axis = df.select(dim).distinct()
-    value = F.col(dim).cast("double")
-    all_ = axis.agg(F.count(dim).alias("n"), F.min(value).alias("low"), F.max(value).alias("high")).first()
-    second = axis.where(value > all_["low"]).agg(F.min(value)).first()[0]
-    return {**all_.asDict(), "second": second}
+    grid = _grid(axis_index(df, "lat"), axis_index(df, "lon"))
+    return df.sparkSession.range(1).select(*[F.lit(v).alias(k) for k, v in grid.items()])
+
+
+def _grid(lat: DataFrame, lon: DataFrame) -> dict:
+    def edges(axis: DataFrame, dim: str):
+        value = F.col(dim).cast("double")
+        n, low, high = axis.agg(F.count(dim), F.min(value), F.max(value)).first()
+        second = axis.where(value > low).agg(F.min(value)).first()[0]
+        half = (second - low) / 2
+        return low - half, high + half, n
+
+    left, right, width = edges(lon, "lon")
+    bottom, top, height = edges(lat, "lat")
+    return {
+        "left": left,
+        "x_step": (right - left) / width,
+        "top": top,
+        "y_step": (bottom - top) / height,
+        "width": width,
+        "height": height,
+    }
 
 
 def raster_tiles(
@@ -89,7 +86,7 @@ def raster_tiles(
     tiles = placed.groupBy("var", "label", "name", "tile_row", "tile_col").agg(
         F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("cells")
     )
-    g = geotransform(df).first()
+    g = _grid(rows, cols)
     transform = F.array(
         F.lit(g["left"]) + F.col("tile_col") * tile * g["x_step"],
         F.lit(g["x_step"]),

@@ -23,8 +23,6 @@ from gridlake.operators.quality import assert_unique_time
 from gridlake.session import path_exists, scratch_dir
 from gridlake.sources.sinks import write_partitions
 
-MAX_CHUNK_LIST = 10_000
-
 
 def write_cube(df: DataFrame, root: str, chunks: dict[str, int]) -> None:
     """Replace a cube on disk, partitioned by time chunk and clustered by cell chunk."""
@@ -110,13 +108,14 @@ def upsert_timesteps(
         assert_unique_time(axis)
         if not extend:
             new = new.join(axis.select("time"), "time", "left_semi")
-        touched = new.select("time_chunk").distinct()
-        listed = local_table(touched, MAX_CHUNK_LIST)
+        steps = new.select("time_chunk", *keys).distinct()
+        listed = local_table(steps)
         if listed is None:
-            stored = stored.join(touched, "time_chunk", "left_semi")
+            stored = stored.join(steps.select("time_chunk").distinct(), "time_chunk", "left_semi")
         else:
-            stored = stored.where(F.col("time_chunk").isin(listed.column(0).to_pylist()))
-        kept = stored.join(new.select(*keys).distinct(), list(keys), "left_anti")
+            stored = stored.where(F.col("time_chunk").isin(listed["time_chunk"].unique().to_pylist()))
+            steps = F.broadcast(spark.createDataFrame(listed, schema=steps.schema))
+        kept = stored.join(steps, ["time_chunk", *keys], "left_anti")
         merged = kept.unionByName(new, allowMissingColumns=True)
         _write_chunks(merged, staged, [], mode="static")
 

@@ -254,13 +254,15 @@ def _(t):
 
 @query(
     "a22_size_summary",
-    """SELECT count(length) AS count, avg(length / 1e6) AS mean, stddev_samp(length / 1e6) AS std, min(length / 1e6) AS min,
-  quantile_cont(length / 1e6, 0.25) AS q25, quantile_cont(length / 1e6, 0.5) AS q50, quantile_cont(length / 1e6, 0.75) AS q75,
-  max(length / 1e6) AS max FROM granules""",
+    """SELECT count(length) AS count, avg(length) AS mean, stddev_samp(length) AS std, min(length)::DOUBLE AS min,
+  quantile_cont(length, 0.25)::DOUBLE AS q25, quantile_cont(length, 0.5)::DOUBLE AS q50,
+  quantile_cont(length, 0.75)::DOUBLE AS q75, max(length)::DOUBLE AS max FROM granules""",
     "mean std min q25 q50 q75 max",
 )
 def _(t):
-    return a.size_summary(t.granules)
+    # In bytes again: quartiles of MB would end exactly on a half of the sixth decimal.
+    summary = a.size_summary(t.granules)
+    return summary.select("count", *[(F.col(c) * 1e6).alias(c) for c in summary.columns[1:]])
 
 
 @query("a23_valid_count", "SELECT count(TS) AS n FROM cube")
