@@ -19,19 +19,19 @@ def normalise_hhmm(text: Column | str) -> Column:
 
 
 def hhmm_timestamp(date: Column | str, hhmm: Column | str) -> Column:
-    """Date plus the hours and minutes of an ``HHMM`` text."""
+    """Date plus the hours and minutes of an ``HHMM`` text; missing where it is no number."""
     text = _col(hhmm)
-    hours = F.substring(text, 1, 2).cast("int")
-    minutes = F.substring(text, 3, 2).cast("int")
+    hours = F.substring(text, 1, 2).try_cast("int")
+    minutes = F.substring(text, 3, 2).try_cast("int")
     return to_ntz(_col(date)) + F.make_dt_interval(F.lit(0), hours, minutes)
 
 
 def clock_timestamp(date: Column | str, clock: Column | str) -> Column:
     """Date plus an ``HH:MM`` or ``HH:MM:SS`` clock text."""
     parts = F.split(_col(clock), ":")
-    seconds = F.coalesce(F.get(parts, F.lit(2)).cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)"))
+    seconds = F.coalesce(F.get(parts, F.lit(2)).try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)"))
     return to_ntz(_col(date)) + F.make_dt_interval(
-        F.lit(0), parts[0].cast("int"), F.get(parts, F.lit(1)).cast("int"), seconds
+        F.lit(0), parts[0].try_cast("int"), F.get(parts, F.lit(1)).try_cast("int"), seconds
     )
 
 

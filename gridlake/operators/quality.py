@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.positions import MAX_LOCAL_ROWS, local_table
@@ -84,7 +84,7 @@ def compare_cubes(
     def same(v: str):
         x, y = F.col(f"a_{v}"), F.col(f"b_{v}")
         if tolerance is None:
-            return x.cast("int").eqNullSafe(y.cast("int"))
+            return _truncated(x).eqNullSafe(_truncated(y))
         return F.coalesce(F.abs(x - y) <= tolerance, x.isNull() & y.isNull())
 
     counts = [F.count(F.when(~same(v), 1)).alias(v) for v in names]
@@ -95,6 +95,10 @@ def compare_cubes(
     )
 
 
+def _truncated(value: Column) -> Column:
+    return F.when(value < 0, F.ceil(value)).otherwise(F.floor(value))
+
+
 def duplicate_times(df: DataFrame, keys: tuple[str, ...] = ("time",)) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
 

@@ -55,6 +55,7 @@ def refresh_detections(
     Files that have not arrived are skipped, but a stored partition is not replaced by
     one that lacks an instrument unless ``force``.
     """
+    # A few names per day since the last run.
     wanted = wanted_files(read_store(spark, root), today).collect()
     arrived: dict[str, list[str]] = {}
     for file in wanted:

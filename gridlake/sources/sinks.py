@@ -67,6 +67,7 @@ def write_missing_years(df: DataFrame, root: str, date: str = "acq_date") -> Non
     done = f"{root}_years"
     dated = df.withColumn("year", F.year(date))
     if path_exists(spark, done):
+        # One number per year.
         finished = [r["year"] for r in spark.read.parquet(done).select("year").distinct().collect()]
         dated = dated.where(~F.col("year").isin(finished))
     write_partitions(dated, root, ("year",))

@@ -121,7 +121,12 @@ def _(t):
     return match_names(t.granules, ["*.1998", "0701.nc"]).select("path")
 
 
-@query("f17_scale_arithmetic", "SELECT time, lat, lon, PRECTOT * 3600 AS per_hour, SSH - OBP AS steric FROM cube JOIN monthly USING (time, lat, lon) UNION ALL SELECT time, lat, lon, NULL, SSH - OBP FROM monthly", "per_hour steric")
+@query(
+    "f17_scale_arithmetic",
+    "SELECT time, lat, lon, SSH - OBP AS steric, SSH * 1000 AS height_mm FROM monthly",
+    "steric height_mm",
+)
 def _(t):
-    steric = (F.col("SSH") - F.col("OBP")).alias("steric")
-    return t.monthly.select("time", "lat", "lon", F.lit(None).cast("double").alias("per_hour"), steric)
+    return t.monthly.select(
+        "time", "lat", "lon", (F.col("SSH") - F.col("OBP")).alias("steric"), (F.col("SSH") * 1000).alias("height_mm")
+    )

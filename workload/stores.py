@@ -24,6 +24,13 @@ from gridlake.sources.store import (
     upsert_timesteps,
     write_cube,
 )
+from gridlake.plans.gridstore import (
+    create_from_files,
+    forecast_cube,
+    hours_from_name,
+    time_from_name,
+    update_from_files,
+)
 from gridlake.streaming.landing import stream_cube
 from workload.registry import query
 
@@ -113,6 +120,71 @@ def _(t):
     return processed_files(t.spark, root)
 
 
+def _land(df, landing: str, day) -> None:
+    """One file per day, with the day in its name."""
+    name = F.concat(F.lit("weather."), F.date_format(day, "yyyyMMdd"), F.lit(".nc"))
+    df.withColumn("file", name).hint("rebalance", "file").write.mode("append").partitionBy("file").parquet(landing)
+
+
+@query(
+    "daily_files_create_and_update",
+    "SELECT date_trunc('day', time)::TIMESTAMP AS time, lat, lon, avg(TS) AS TS, avg(SWGNT) AS SWGNT FROM cube GROUP BY ALL",
+    "TS SWGNT",
+)
+def _(t):
+    base = t.scratch("files")
+    daily = resample_daily(_small(t))
+    by_name = time_from_name(r"file=weather\.(\d{8})\.nc/")
+
+    def prepare(df):
+        return by_name(df).drop("day", "file")
+
+
+    def land(part):
+        # The time inside the files is wrong.
+        wrong = F.lit("2000-01-01").cast("timestamp_ntz")
+        _land(part.withColumn("day", F.col("time")).withColumn("time", wrong), f"{base}/in", F.col("day"))
+
+    land(daily.where("time < '2024-01-11'"))
+    create_from_files(t.spark, f"{base}/in", f"{base}/store", 50, 86400, prepare)
+    land(daily.where("time >= '2024-01-11'"))
+    while update_from_files(t.spark, f"{base}/in", f"{base}/store", prepare):
+        pass
+    return read_cells(t.spark, f"{base}/store").drop("time_chunk")
+
+
+@query("hourly_files_create", "SELECT time, lat, lon, TS, SWGNT FROM cube", "TS SWGNT")
+def _(t):
+    base = t.scratch("files")
+    hourly = _small(t).withColumn("hour", F.hour("time") + 1)
+    _land(hourly.withColumn("day", F.to_date("time")).drop("time"), f"{base}/in", F.col("day"))
+    by_name = hours_from_name(r"file=weather\.(\d{8})\.nc/")
+
+    def prepare(df):
+        return by_name(df).drop("day", "file")
+
+    create_from_files(t.spark, f"{base}/in", f"{base}/store", 120, 3600, prepare)
+    return read_cells(t.spark, f"{base}/store").select("time", "lat", "lon", "TS", "SWGNT")
+
+
+@query(
+    "forecast_create",
+    """WITH ok AS (SELECT date FROM granules WHERE priority = '5-LOW' GROUP BY 1 HAVING bool_and(state <> 'P')),
+runs AS (SELECT date, path, length, priority = '5-LOW' AS f FROM granules WHERE priority IN ('1-URGENT', '5-LOW'))
+SELECT date::TIMESTAMP AS time, row_number() OVER (PARTITION BY date ORDER BY f, path) - 1 AS forecast, length::DOUBLE AS v
+FROM runs WHERE date IN (FROM ok) AND date IN (SELECT date FROM runs WHERE NOT f)
+UNION ALL SELECT date::TIMESTAMP, forecast, NULL
+FROM (SELECT DISTINCT date FROM runs WHERE NOT f AND date NOT IN (FROM ok)), (SELECT DISTINCT length(event_type) AS forecast FROM events)""",
+    "v",
+)
+def _(t):
+    base = t.granules.where("priority = '1-URGENT'").select("date", "path")
+    runs = t.granules.where("priority = '5-LOW'").select("date", "path", (F.col("state") != "P").alias("readable"))
+    cells = t.granules.select(F.lit(None).cast("timestamp_ntz").alias("time"), "path", F.col("length").cast("double").alias("v"))
+    leads = t.events.select(F.length("event_type").cast("long").alias("forecast")).distinct()
+    return forecast_cube(base, runs, cells, [leads], ["v"])
+
+
 @query(
     "i5_stream_cube",
     """SELECT time, lat, lon, TS, CASE WHEN time >= TIMESTAMP '2024-01-13' THEN SWGNT + 1000 ELSE SWGNT END AS SWGNT FROM cube""",
