@@ -59,6 +59,16 @@ PRECIPITATION = ("PRECCU", "PRECLS", "PRECSN")
 FLUXES = ("EVAP", "HFLUX", "EFLUX", "GHTSKIN")
 NEAR_SURFACE = ("PS", "T2M", "U2M", "V2M", "QV2M")
 
+# Dataset attributes that hold the extent, in the order of its columns.
+EXTENT_ATTRS = (
+    "SouthernmostLatitude",
+    "NorthernmostLatitude",
+    "WesternmostLongitude",
+    "EasternmostLongitude",
+    "RangeBeginningDate",
+    "RangeEndingDate",
+)
+
 # Attributes of the melt variable.
 MELT_ATTRS = {
     "long_name": "meltwater_production",

@@ -60,10 +60,8 @@ def point_wkb(lon: Column | str, lat: Column | str) -> Column:
     def encode(x: pd.Series, y: pd.Series) -> pd.Series:
         points = np.zeros(len(x), dtype=[("order", "u1"), ("kind", "<u4"), ("x", "<f8"), ("y", "<f8")])
         points["order"], points["kind"], points["x"], points["y"] = 1, 1, x, y
-        raw = points.tobytes()
-        size = points.dtype.itemsize
-        missing = (x.isna() | y.isna()).to_numpy()
-        return pd.Series([None if m else raw[i * size : (i + 1) * size] for i, m in enumerate(missing)])
+        encoded = pd.Series(points.view(f"V{points.dtype.itemsize}").tolist(), dtype=object)
+        return encoded.where((x.notna() & y.notna()).to_numpy(), None)
 
     return encode(lon, lat)
 

@@ -7,6 +7,8 @@ rows before a range is added from a table of at most ``MAX_SPLITS`` rows per gro
 
 from __future__ import annotations
 
+import json
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +25,12 @@ def local_table(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> pa.Table | Non
     return table if table.num_rows <= max_rows else None
 
 
+def array_of(values: list, kind: T.DataType) -> Column:
+    """A constant array. One literal however many values there are; it is folded once."""
+    texts = json.dumps([None if v is None else str(v) for v in values])
+    return F.from_json(F.lit(texts), "array<string>").cast(T.ArrayType(kind))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFrame:
     """``df`` marked for broadcast once its size is known to be bounded; otherwise as it is."""
     table = local_table(df, max_rows)

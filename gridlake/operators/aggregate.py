@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlake import fixed
 from gridlake.functions.positions import ordered_position
 from gridlake.functions.times import to_ntz
 from gridlake.model import KEYS, copy_attrs, variables
@@ -182,6 +183,14 @@ def extent(cube: DataFrame) -> DataFrame:
     )
 
 
+def dataset_attributes(cube: DataFrame, **more: str) -> DataFrame:
+    """One row with the attributes of a cube as a map: its extent and what is given."""
+    bounds = extent(cube)
+    pairs = [(name, F.col(column)) for name, column in zip(fixed.EXTENT_ATTRS, bounds.columns)]
+    pairs += [(name, F.lit(value)) for name, value in more.items()]
+    return bounds.select(F.create_map(*[c for name, value in pairs for c in (F.lit(name), value)]).alias("attrs"))
+
+
 def size_summary(manifest: DataFrame, column: str = "length") -> DataFrame:
     """Count, mean, deviation, minimum, quartiles and maximum of file sizes in MB.
 

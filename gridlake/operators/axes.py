@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from gridlake.functions.positions import MAX_LOCAL_ROWS, axis_index, local_table
+from gridlake.functions.positions import MAX_LOCAL_ROWS, array_of, axis_index, local_table
 
 SLOTS = 256
 
@@ -21,21 +20,13 @@ def spread_over(df: DataFrame, axis: DataFrame, max_rows: int = MAX_LOCAL_ROWS)
     (name,) = axis.columns
     table = local_table(axis, max_rows)
     if table is not None:
-        kind = axis.schema[name].dataType
-        values = [_literal(v, kind) for v in table.column(0).to_pylist()]
-        coordinates = F.array(*values) if values else F.array().cast(T.ArrayType(kind))
+        coordinates = array_of(table.column(0).to_pylist(), axis.schema[name].dataType)
         return df.withColumn(name, F.explode(coordinates))
     slot = F.pmod(F.xxhash64(name), F.lit(SLOTS)).cast("int")
     visits = df.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
     return visits.join(axis.withColumn("_slot", slot), "_slot").drop("_slot")
 
 
-def _literal(value, kind: T.DataType):
-    if isinstance(kind, (T.TimestampNTZType, T.DateType)) and value is not None:
-        return F.lit(value.isoformat()).cast(kind)
-    return F.lit(value).cast(kind)
-
-
 def complete(df: DataFrame, a: str, b: str, max_rows: int = MAX_LOCAL_ROWS) -> DataFrame:
     """All observed values of ``a`` with all observed values of ``b``."""
     return spread_over(df.select(a).distinct(), df.select(b).distinct(), max_rows)

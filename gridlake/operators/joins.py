@@ -23,10 +23,7 @@ def merge_cubes(*cubes: DataFrame, on: tuple[str, ...] = KEYS) -> DataFrame:
     A union with one aggregation: a single shuffle for any number of cubes, combined
     before it, so that a hot key is no large group.
     """
-    names = [c for cube in cubes for c in cube.columns if c not in on]
-    shared = sorted({n for n in names if names.count(n) > 1})
-    if shared:
-        raise ValueError(f"variables present in more than one cube: {shared}")
+    names = _refuse_shared(cubes, on)
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cubes)
     merged = stacked.groupBy(*on).agg(*[F.max(n).alias(n) for n in names])
     for cube in cubes:
@@ -34,13 +31,23 @@ def merge_cubes(*cubes: DataFrame, on: tuple[str, ...] = KEYS) -> DataFrame:
     return merged
 
 
+def _refuse_shared(cubes, on: tuple[str, ...]) -> list[str]:
+    names = [c for cube in cubes for c in cube.columns if c not in on]
+    shared = sorted({n for n in names if names.count(n) > 1})
+    if shared:
+        raise ValueError(f"variables present in more than one cube: {shared}")
+    return names
+
+
 def attach(cube: DataFrame, other: DataFrame, on: tuple[str, ...] = KEYS) -> DataFrame:
-    """Add the variables of ``other`` to the cells of ``cube``."""
+    """Add the variables of ``other`` to the cells of ``cube``; shared ones are an error."""
+    _refuse_shared([cube, other], on)
     return cube.join(other, list(on), "left")
 
 
 def combine(a: DataFrame, b: DataFrame, on: tuple[str, ...] = KEYS, **expressions: Column) -> DataFrame:
-    """Expressions over the cells both cubes have. Give their variables different names."""
+    """Expressions over the cells both cubes have; their variables need different names."""
+    _refuse_shared([a, b], on)
     joined = a.join(b, list(on), "inner")
     return joined.select(*on, *[e.alias(name) for name, e in expressions.items()])
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.functions.positions import MAX_LOCAL_ROWS, local_table
+from gridlake.functions.positions import MAX_LOCAL_ROWS, array_of, local_table
 from gridlake.functions.times import to_ntz
 from gridlake.model import KEYS
 from gridlake.operators.axes import complete
@@ -20,11 +20,10 @@ def missing_pairs(df: DataFrame, a: str, b: str, max_rows: int = MAX_LOCAL_ROWS)
     from all of them, so only missing pairs are produced. Otherwise all pairs are
     formed in slots and the observed ones removed.
     """
-    kind = df.schema[b].dataType.simpleString()
     table = local_table(df.select(b).where(F.col(b).isNotNull()).distinct(), max_rows)
     if table is None:
         return complete(df, a, b, max_rows).join(df.select(a, b).distinct(), [a, b], "left_anti")
-    every = F.array(*[F.lit(v).cast(kind) for v in table.column(0).to_pylist()])
+    every = array_of(table.column(0).to_pylist(), df.schema[b].dataType)
     seen = df.groupBy(a).agg(F.collect_set(b).alias("_seen"))
     return seen.select(a, F.explode(F.array_except(every, "_seen")).alias(b))
 

@@ -14,7 +14,7 @@ from gridlake.model import DETECTION_CSV
 from gridlake.operators.select import cast_matching
 from gridlake.operators.timeaxis import catch_up_dates, union_detections
 from gridlake.session import path_exists
-from gridlake.sources.manifests import expected_files
+from gridlake.sources.manifests import expected_files, record_failures
 from gridlake.sources.readers import read_instrument, read_store
 from gridlake.sources.sinks import write_store
 
@@ -48,20 +48,27 @@ def refresh_detections(
     today: dt.date,
     schema=DETECTION_CSV,
     force: bool = False,
+    failures: str | None = None,
 ) -> None:
     """Read the daily files from the last stored date to ``today`` and replace their partitions.
 
     ``landing`` is a path with ``{instrument}`` and ``{name}``. All dates are one job.
-    Files that have not arrived are skipped, but a stored partition is not replaced by
-    one that lacks an instrument unless ``force``.
+    Files that have not arrived are skipped and appended to the table ``failures``, but a
+    stored partition is not replaced by one that lacks an instrument unless ``force``.
     """
     # A few names per day since the last run.
     wanted = wanted_files(read_store(spark, root), today).collect()
     arrived: dict[str, list[str]] = {}
+    absent: list[tuple] = []
     for file in wanted:
         path = landing.format(instrument=file["instrument"], name=file["path"])
         if path_exists(spark, path):
             arrived.setdefault(file["instrument"], []).append(path)
+        else:
+            absent.append((file["date"], path, file["instrument"], "failed"))
+    if failures and absent:
+        sources = spark.createDataFrame(absent, "date date, path string, instrument string, status string")
+        record_failures(sources, failures)
     if not arrived:
         return
     frames = [read_instrument(spark, paths, name, schema) for name, paths in arrived.items()]

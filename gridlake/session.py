@@ -10,8 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 _local_scratch: dict[str, str] = {}
 
 
-def build_session(app: str = "gridlake", master: str | None = None, **conf) -> SparkSession:
-    """A session with the settings the library relies on; ``conf`` wins over them."""
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def build_session(
+    app: str = "gridlake", master: str | None = None, input_bytes: int | None = None, **conf
+) -> SparkSession:
+    """A session with the settings the library relies on; ``conf`` wins over them.
+
+    ``input_bytes`` sizes the shuffle so that a partition is about 128 MB. Adaptive
+    execution merges small partitions and splits skewed ones, but adds none otherwise.
+    """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -19,6 +28,8 @@ def build_session(app: str = "gridlake", master: str | None = None, **conf) -> S
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
     }
+    if input_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(max(200, -(-input_bytes // SHUFFLE_PARTITION_BYTES)))
     settings.update(conf)
     builder = SparkSession.builder.appName(app)
     if master:

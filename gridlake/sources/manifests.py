@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlake.functions.paths import base_name
 
@@ -64,6 +65,17 @@ def pending_files(wanted: DataFrame, present: DataFrame, force: bool = False) ->
     return wanted.join(present.select("filename", "length"), ["filename", "length"], "left_anti")
 
 
+def file_status(spark: SparkSession, manifest: DataFrame, schema: T.StructType) -> DataFrame:
+    """Add ``status``: ``failed`` for Parquet files that cannot be read or hold no row."""
+    # The list of files of a scan is on the driver anyway; their content is not.
+    paths = [r["path"] for r in manifest.select("path").distinct().collect()]
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*paths)
+    readable = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
+    marked = manifest.join(readable.withColumn("_read", F.lit(True)), "path", "left")
+    status = F.when(F.col("_read"), F.lit("read")).otherwise(F.lit("failed"))
+    return marked.withColumn("status", status).drop("_read")
+
+
 def record_failures(sources: DataFrame, path: str, status: str = "status") -> DataFrame:
     """Append failed sources to a table and return the others, so that the run goes on."""
     failed = F.col(status) == "failed"

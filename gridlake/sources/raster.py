@@ -24,6 +24,8 @@ def _grid(lat: DataFrame, lon: DataFrame) -> dict:
         value = F.col(dim).cast("double")
         n, low, high = axis.agg(F.count(dim), F.min(value), F.max(value)).first()
         second = axis.where(value > low).agg(F.min(value)).first()[0]
+        if second is None:
+            raise ValueError(f"a raster needs two coordinates of {dim}")
         half = (second - low) / 2
         return low - half, high + half, n
 

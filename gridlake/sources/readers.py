@@ -81,21 +81,21 @@ def read_store(
     """The partitioned detection store, pruned to any level of its directories.
 
     ``since`` and ``until`` bound ``acq_date``; the years they span prune directories,
-    which a filter on ``acq_date`` alone would not do. With a declared ``schema``, columns a file lacks are missing.
+    which a filter on ``acq_date`` alone would not do. With a declared ``schema``, columns
+    a file lacks are missing.
     """
-    if schema is not None:
-        parts = [T.StructField(k, T.IntegerType()) for k in ("year", "month", "mday")]
-        names = {f.name for f in parts} | {"version"}
-        fields = [f for f in schema.fields if f.name not in names]
-        schema = T.StructType(fields + parts + [T.StructField("version", T.StringType())])
-        df = spark.read.schema(schema).option("basePath", root).parquet(root)
-    else:
-        df = spark.read.option("basePath", root).parquet(root)
+    reader = spark.read.option("basePath", root)
+    # Without a type, the version "6.1" in a directory name would be read as a number.
+    parts = [T.StructField(k, T.IntegerType()) for k in ("year", "month", "mday")]
+    parts.append(T.StructField("version", T.StringType()))
+    names = {f.name for f in parts}
+    fields = [f for f in (schema or reader.parquet(root).schema).fields if f.name not in names]
+    df = reader.schema(T.StructType(fields + parts)).parquet(root)
     for name, value in {"year": year, "month": month, "mday": mday}.items():
         if value is not None:
             df = df.where(F.col(name) == value)
     if version is not None:
-        df = df.where(F.col("version").cast("string") == version)
+        df = df.where(F.col("version") == version)
     if since is not None:
         df = df.where((F.col("year") >= since.year) & (F.col("acq_date") >= F.lit(since)))
     if until is not None:

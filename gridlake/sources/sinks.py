@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.model import KEYS, STORE_KEYS
 from gridlake.functions.times import day_of_year, to_ntz
+from gridlake.model import KEYS, STORE_KEYS
 from gridlake.session import path_exists
+from gridlake.sources.readers import read_store
 
 
 class IncompletePartition(ValueError):
@@ -44,9 +45,8 @@ def write_store(df: DataFrame, root: str, keys: tuple[str, ...] = STORE_KEYS, fo
 
 
 def _refuse_loss(df: DataFrame, root: str, keys: tuple[str, ...]) -> None:
-    as_text = [F.col(k).cast("string").alias(k) for k in keys]
-    incoming = df.select(*as_text, "instrument").distinct()
-    stored = df.sparkSession.read.option("basePath", root).parquet(root).select(*as_text, "instrument").distinct()
+    incoming = df.select(*keys, "instrument").distinct()
+    stored = read_store(df.sparkSession, root).select(*keys, "instrument").distinct()
     lost = (
         stored.join(incoming.select(*keys).distinct(), list(keys), "left_semi")
         .join(incoming, [*keys, "instrument"], "left_anti")

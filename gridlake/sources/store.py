@@ -27,7 +27,9 @@ from gridlake.sources.sinks import write_partitions
 def write_cube(df: DataFrame, root: str, chunks: dict[str, int]) -> None:
     """Replace a cube on disk, partitioned by time chunk and clustered by cell chunk."""
     chunked = chunk_ids(df, chunks)
-    _write_chunks(chunked, root, [f"{d}_chunk" for d in chunks if d != "time"], mode="static")
+    clusters = [f"{d}_chunk" for d in chunks if d != "time"]
+    ordered = chunked.hint("rebalance", "time_chunk").sortWithinPartitions("time_chunk", *clusters, "time", "lat", "lon")
+    _write_chunks(ordered.drop(*clusters), root, mode="static")
 
 
 def rechunk(spark: SparkSession, source: str, target: str, chunks: dict[str, int]) -> None:
@@ -35,17 +37,14 @@ def rechunk(spark: SparkSession, source: str, target: str, chunks: dict[str, int
     write_cube(spark.read.parquet(source).drop("time_chunk"), target, chunks)
 
 
-def _write_chunks(df: DataFrame, root: str, clusters: list[str], mode: str) -> None:
-    cells = [k for k in ("lat", "lon", "forecast") if k in df.columns]
-    (
-        df.hint("rebalance", "time_chunk")
-        .sortWithinPartitions("time_chunk", *clusters, "time", *cells)
-        .drop(*clusters)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
-        .partitionBy("time_chunk")
-        .parquet(root)
-    )
+def _by_cell(df: DataFrame) -> DataFrame:
+    """Neighbouring cells together, so that row groups have narrow bounds."""
+    return df.sortWithinPartitions("time_chunk", "lat", "lon", "time")
+
+
+def _write_chunks(df: DataFrame, root: str, mode: str) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.partitionBy("time_chunk").parquet(root)
 
 
 def create_store(df: DataFrame, root: str, chunk: int, step_seconds: int) -> None:
@@ -63,7 +62,8 @@ def create_store(df: DataFrame, root: str, chunk: int, step_seconds: int) -> Non
     steps = spark.range(1).select(step_number(F.lit(last).cast("timestamp_ntz"), _origin(meta), step_seconds))
     last_chunk = (steps.first()[0] + 1) // chunk
     _axis_chunks(spark, meta, 0, last_chunk).write.mode("overwrite").partitionBy("time_chunk").parquet(f"{root}/axis")
-    _write_chunks(_with_chunk(df, meta), f"{root}/cells", [], mode="static")
+    cells = _with_chunk(df, meta).hint("rebalance", "time_chunk")
+    _write_chunks(_by_cell(cells), f"{root}/cells", mode="static")
 
 
 def read_cells(spark: SparkSession, root: str) -> DataFrame:
@@ -116,13 +116,13 @@ def upsert_timesteps(
             stored = stored.where(F.col("time_chunk").isin(listed["time_chunk"].unique().to_pylist()))
             steps = F.broadcast(spark.createDataFrame(listed, schema=steps.schema))
         kept = stored.join(steps, ["time_chunk", *keys], "left_anti")
-        merged = kept.unionByName(new, allowMissingColumns=True)
-        _write_chunks(merged, staged, [], mode="static")
+        merged = kept.unionByName(new, allowMissingColumns=True).hint("rebalance", "time_chunk")
+        _write_chunks(_by_cell(merged), staged, mode="static")
 
     table = spark.read.schema(schema).parquet(staged)
     if extend:
         _extend_axis(spark, root, meta, table)
-    write_partitions(table, f"{root}/cells", ("time_chunk",))
+    _write_chunks(_by_cell(table), f"{root}/cells", mode="dynamic")
     commit_ledger(spark, root, batch, paths)
 
 

@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlake import session
+from gridlake import fixed, session
+from gridlake.model import DETECTION_CSV
 from gridlake.operators.quality import check_ledger
-from gridlake.plans.detections import with_timestamps
+from gridlake.plans.detections import refresh_detections, with_timestamps
 from gridlake.sources import manifests, raster, readers, sinks, store
 from gridlake.streaming.landing import stream_cube
 from tests.conftest import rows
@@ -237,3 +238,43 @@ def test_raster_round_trip_with_gaps(spark, cube):
 def test_geotransform(spark):
     df = spark.createDataFrame([(a * 0.5, b * 2.0) for a in range(4) for b in range(3)], "lat double, lon double")
     assert tuple(raster.geotransform(df).first()) == (-1.0, 2.0, 1.75, -0.5, 3, 4)
+
+
+def test_unreadable_files_fail_and_the_run_goes_on(spark, cube, tmp_path):
+    cube.coalesce(1).write.parquet(str(tmp_path / "in"))
+    (tmp_path / "in" / "bad.parquet").write_bytes(b"PAR1 no parquet PAR1")
+    files = manifests.file_manifest(spark, str(tmp_path / "in"), "*.parquet")
+    kept = manifests.record_failures(manifests.file_status(spark, files, cube.schema), str(tmp_path / "failed"))
+    assert kept.count() == 1
+    assert [r.path.endswith("bad.parquet") for r in spark.read.parquet(str(tmp_path / "failed")).collect()] == [True]
+
+
+def test_version_stays_text(spark, tmp_path):
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), "6.10", "MODIS")], "acq_date date, version string, instrument string")
+    sinks.write_store(df.selectExpr("*", "2024 AS year", "1 AS month", "1 AS mday"), str(tmp_path / "v"))
+    assert readers.read_store(spark, str(tmp_path / "v"), version="6.10").first().version == "6.10"
+
+
+def test_refresh_records_files_that_did_not_arrive(spark, tmp_path):
+    root, landing = str(tmp_path / "s"), str(tmp_path / "in")
+    day = dt.date(2024, 1, 1)
+    row = (1.0, 2.0, 300.0, 1.0, 1.0, day, "03:12", "A", "MODIS", "n", "6.1", 290.0, 5.0, "D", 0.0)
+    df = spark.createDataFrame([row], DETECTION_CSV)
+    sinks.write_store(with_timestamps(df), root)
+    for d, time in ((day, "04:30"), (day + dt.timedelta(days=1), "1:05:09")):
+        out = df.drop("instrument").withColumns({"acq_date": F.lit(d), "acq_time": F.lit(time)})
+        sinks.write_daily_text(out, f"{landing}/MODIS", fixed.DAILY_FILES["MODIS"].split("%")[0])
+    where = landing + "/{instrument}/file_key={name}"
+    refresh_detections(spark, root, where, dt.date(2024, 1, 3), failures=str(tmp_path / "failed"))
+    got = readers.read_store(spark, root)
+    assert sorted((r.acq_date.day, r.acq_time, r.acq_timestr) for r in got.collect()) == [(1, "0430", "043000"), (2, "0105", "010500")]
+    assert spark.read.parquet(str(tmp_path / "failed")).count() == 7
+
+
+def test_upsert_reads_and_rewrites_only_touched_chunks(spark, cube, tmp_path):
+    root = str(tmp_path / "s")
+    store.create_store(cube, root, 24, 3600)
+    before = {c: os.listdir(f"{root}/cells/time_chunk={c}") for c in range(3)}
+    store.upsert_timesteps(root, days(cube, "2021-12-31", "2021-12-31"))
+    after = {c: os.listdir(f"{root}/cells/time_chunk={c}") for c in range(3)}
+    assert before[0] == after[0] and before[2] == after[2] and before[1] != after[1]

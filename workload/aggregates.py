@@ -252,6 +252,18 @@ def _(t):
     return a.extent(t.cube)
 
 
+@query(
+    "a21_dataset_attributes",
+    """UNPIVOT (SELECT min(lat)::VARCHAR AS SouthernmostLatitude, max(lat)::VARCHAR AS NorthernmostLatitude,
+  min(lon)::VARCHAR AS WesternmostLongitude, max(lon)::VARCHAR AS EasternmostLongitude,
+  strftime(min(time), '%Y-%m-%d %H:%M:%S') AS RangeBeginningDate,
+  strftime(max(time), '%Y-%m-%d %H:%M:%S') AS RangeEndingDate, 'daily' AS comment1 FROM cube)
+ON COLUMNS(*) INTO NAME key VALUE value""",
+)
+def _(t):
+    return a.dataset_attributes(t.cube, comment1="daily").select(F.explode("attrs"))
+
+
 @query(
     "a22_size_summary",
     """SELECT count(length) AS count, avg(length) AS mean, stddev_samp(length) AS std, min(length)::DOUBLE AS min,

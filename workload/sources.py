@@ -10,6 +10,7 @@ from gridlake.operators.select import rename_dims, suffix_variables
 from gridlake.sources.manifests import (
     expected_files,
     file_manifest,
+    file_status,
     granule_links,
     new_files,
     pending_files,
@@ -157,6 +158,13 @@ def _(t):
     return kept.select("path", "status").unionByName(t.spark.read.parquet(root).select("path", "status"))
 
 
+@query("q8_file_status", "SELECT DISTINCT strftime(time, '%Y-%m-%d') AS day, 'read' AS status FROM cube")
+def _(t):
+    files = file_manifest(t.spark, t.cube_files(), "*.parquet")
+    day = F.regexp_extract("path", r"day=([0-9-]+)", 1).alias("day")
+    return file_status(t.spark, files, t.cube.schema).select(day, "status").distinct()
+
+
 @query(
     "f1_date_from_path",
     "SELECT path, date AS from_nc, date AS from_tag, date AS from_offset FROM granules",
