@@ -39,6 +39,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFra
     return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
 
 
+def spread_out(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows over all shuffle partitions, for rows that are few but unfold to many.
+
+    The fixed number keeps adaptive execution from merging partitions by their present size.
+    """
+    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(slots, *columns)
+
+
 def axis_index(
     df: DataFrame,
     dim: str,

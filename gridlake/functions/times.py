@@ -35,6 +35,13 @@ def clock_timestamp(date: Column | str, clock: Column | str) -> Column:
     )
 
 
+def acquisition_timestamp(date: Column | str, time: Column | str) -> Column:
+    """Date plus a time given as ``HMM``, ``HHMM`` or clock text, to the second if it is there."""
+    text = _col(time).cast("string")
+    by_clock, by_digits = clock_timestamp(date, text), hhmm_timestamp(date, normalise_hhmm(text))
+    return F.when(text.contains(":"), by_clock).otherwise(by_digits)
+
+
 def clock_digits(timestamp: Column | str) -> Column:
     return F.date_format(_col(timestamp), "HHmmss")
 

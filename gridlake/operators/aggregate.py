@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake import fixed
-from gridlake.functions.positions import ordered_position
+from gridlake.functions.positions import ordered_position, spread_out
 from gridlake.functions.times import to_ntz
 from gridlake.model import KEYS, copy_attrs, variables
 from gridlake.operators.joins import combine
@@ -41,11 +41,9 @@ def resample_daily(
 
 def _fill_days(daily: DataFrame, keys: list[str]) -> DataFrame:
     one_day = F.expr("interval 1 day")
-    spine = (
-        daily.groupBy(*keys)
-        .agg(F.min("time").alias("_first"), F.max("time").alias("_last"))
-        .select(*keys, F.explode(F.sequence("_first", "_last", one_day)).alias("time"))
-    )
+    spans = daily.groupBy(*keys).agg(F.min("time").alias("_first"), F.max("time").alias("_last"))
+    days = F.explode(F.sequence("_first", "_last", one_day)).alias("time")
+    spine = spread_out(spans, *keys).select(*keys, days)
     return spine.join(daily, ["time", *keys], "left").select(*daily.columns)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.functions.positions import MAX_LOCAL_ROWS, array_of, axis_index, local_table
+from gridlake.functions.positions import MAX_LOCAL_ROWS, array_of, axis_index, local_table, spread_out
 
 SLOTS = 256
 
@@ -21,7 +21,7 @@ def spread_over(df: DataFrame, axis: DataFrame, max_rows: int = MAX_LOCAL_ROWS)
     table = local_table(axis, max_rows)
     if table is not None:
         coordinates = array_of(table.column(0).to_pylist(), axis.schema[name].dataType)
-        return df.withColumn(name, F.explode(coordinates))
+        return spread_out(df, *df.columns).withColumn(name, F.explode(coordinates))
     slot = F.pmod(F.xxhash64(name), F.lit(SLOTS)).cast("int")
     visits = df.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
     return visits.join(axis.withColumn("_slot", slot), "_slot").drop("_slot")

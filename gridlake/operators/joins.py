@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.functions.positions import broadcast_if_small
+from gridlake.functions.positions import broadcast_if_small, spread_out
 from gridlake.model import KEYS, copy_attrs
 from gridlake.session import stored
 
@@ -66,13 +66,11 @@ def nearest_pixels(cells: DataFrame, locations: DataFrame, per_leaf: int = CELLS
     depth = boxes.depth(per_leaf)
     y, x = F.col("_y"), F.col("_x")
 
-    # A fixed number of partitions: the rows are few for the work each of them causes.
-    slots = int(locations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     points = locations.select(F.col("lat").alias("_y"), F.col("lon").alias("_x"))
-    found = points.repartition(slots, "_y", "_x").distinct()
+    found = spread_out(points, "_y", "_x").distinct()
     found = found.withColumns({"_within": F.lit(float("inf")), "r": _long(0), "c": _long(0)})
     for level in range(1, depth + 1):
-        found = _drop_far_boxes(found.join(boxes.children(level), ["r", "c"]))
+        found = _drop_far_boxes(_visit(found, boxes.children(level), "boxes", root=level == 1))
 
     leaves = cells.groupBy(*boxes.place(depth)).agg(F.collect_list(F.struct("lat", "lon")).alias("cells"))
 
@@ -81,7 +79,7 @@ def nearest_pixels(cells: DataFrame, locations: DataFrame, per_leaf: int = CELLS
         return F.struct(F.sqrt(dx * dx + dy * dy).alias("distance"), cell["lat"].alias("lat"), cell["lon"].alias("lon"))
 
     nearest = (
-        found.join(leaves, ["r", "c"])
+        _visit(found, leaves, "cells", root=depth == 0)
         .select("_y", "_x", F.array_min(F.transform("cells", measured)).alias("best"))
         .groupBy("_y", "_x")
         .agg(F.min("best").alias("best"))
@@ -96,6 +94,18 @@ def nearest_pixels(cells: DataFrame, locations: DataFrame, per_leaf: int = CELLS
     return locations.join(nearest, ["lat", "lon"], "left")
 
 
+def _visit(found: DataFrame, groups: DataFrame, name: str, root: bool) -> DataFrame:
+    """Give each location the members of the boxes it visits.
+
+    All locations visit the root, so its few members are a constant instead of a join.
+    """
+    if not root:
+        return found.join(groups, ["r", "c"])
+    members = groups.select(F.to_json(name)).first()
+    text = F.lit(members[0] if members else None).cast("string")
+    return found.withColumn(name, F.from_json(text, groups.schema[name].dataType)).where(F.col(name).isNotNull())
+
+
 class _Boxes:
     """Nested boxes over the cells: each level cuts a box into FANOUT x FANOUT."""
 

@@ -88,18 +88,21 @@ def sel(df: DataFrame, **labels) -> DataFrame:
     return df
 
 
-def sel_nearest(df: DataFrame, **targets: float) -> DataFrame:
+def sel_nearest(df: DataFrame, axes: dict[str, DataFrame] | None = None, **targets: float) -> DataFrame:
     """Rows at the label nearest to each target, axis by axis; the larger label wins a tie.
 
-    The labels reach the scan as filters.
+    The labels reach the scan as filters. ``axes`` (from ``axis_index``) saves the scan
+    that finds them.
     """
-    nearest = df.agg(
-        *[
-            F.min_by(c, F.struct(F.abs(F.col(c) - v), -F.col(c))).alias(c)
-            for c, v in targets.items()
-        ]
-    ).first()
-    return sel(df, **nearest.asDict())
+
+    def nearest(dim: str, target: float) -> Column:
+        return F.min_by(dim, F.struct(F.abs(F.col(dim) - target), -F.col(dim))).alias(dim)
+
+    given = {d: axes[d].agg(nearest(d, v)).first()[0] for d, v in targets.items() if d in (axes or {})}
+    others = [nearest(d, v) for d, v in targets.items() if d not in given]
+    if others:
+        given.update(df.agg(*others).first().asDict())
+    return sel(df, **given)
 
 
 def add_dim(df: DataFrame, name: str, value, type_name: str) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.functions.positions import ordered_position
+from gridlake.functions.positions import ordered_position, spread_out
 from gridlake.functions.times import to_ntz
 from gridlake.model import KEYS
 
@@ -51,7 +51,7 @@ def pad_time(cube: DataFrame, chunk: int, step_seconds: int, dense: bool = False
     offsets = F.sequence(F.lit(1), F.lit(missing))
     cells = [k for k in KEYS[1:] + ("forecast",) if k in cube.columns]
     spark = cube.sparkSession
-    rows = cube.select(*cells).distinct() if dense else spark.range(1).select()
+    rows = spread_out(cube.select(*cells).distinct(), *cells) if dense else spark.range(1).select()
     ahead = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("_n") * step_seconds).cast("decimal(18,6)"))
     start = F.lit(last).cast("timestamp_ntz")
     new = rows.withColumn("_n", F.explode(offsets)).withColumn("time", start + ahead).drop("_n")

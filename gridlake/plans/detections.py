@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridlake import fixed
 from gridlake.functions.geo import point_wkb
-from gridlake.functions.times import clock_digits, hhmm_timestamp, normalise_hhmm, with_ymd
+from gridlake.functions.times import acquisition_timestamp, clock_digits, normalise_hhmm, with_ymd
 from gridlake.model import DETECTION_CSV
 from gridlake.operators.select import cast_matching
 from gridlake.operators.timeaxis import catch_up_dates, union_detections
@@ -21,8 +21,8 @@ from gridlake.sources.sinks import write_store
 
 def with_timestamps(df: DataFrame) -> DataFrame:
     """Normalised ``acq_time``, the timestamp it gives, and the partition keys."""
+    df = df.withColumn("acq_timestamp", acquisition_timestamp("acq_date", "acq_time"))
     df = df.withColumn("acq_time", normalise_hhmm("acq_time"))
-    df = df.withColumn("acq_timestamp", hhmm_timestamp("acq_date", "acq_time"))
     return with_ymd(df.withColumn("acq_timestr", clock_digits("acq_timestamp")))
 
 
@@ -56,8 +56,10 @@ def refresh_detections(
     Files that have not arrived are skipped and appended to the table ``failures``, but a
     stored partition is not replaced by one that lacks an instrument unless ``force``.
     """
+    store = read_store(spark, root)
+    newest = store.agg(F.max("year")).first()[0]
     # A few names per day since the last run.
-    wanted = wanted_files(read_store(spark, root), today).collect()
+    wanted = wanted_files(store.where(F.col("year") == newest), today).collect()
     arrived: dict[str, list[str]] = {}
     absent: list[tuple] = []
     for file in wanted:

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from gridlake.operators.aggregate import decompose
 from gridlake.operators.joins import nearest_pixels, series_at
+from gridlake.operators.select import sel
 from gridlake.session import stored
 
 
 def gauge_pixels(height: DataFrame, gauges: DataFrame, variable: str) -> DataFrame:
     """The nearest pixel of each gauge among those valid in the first month."""
-    first = height.agg(F.min("time").alias("time"))
-    valid = height.where(F.col(variable).isNotNull()).join(first, "time", "left_semi")
+    first = height.agg(F.min("time")).first()[0]
+    valid = height.transform(sel, time=first).where(F.col(variable).isNotNull())
     return nearest_pixels(valid, gauges)
 
 

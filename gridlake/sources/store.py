@@ -23,6 +23,9 @@ from gridlake.operators.quality import assert_unique_time
 from gridlake.session import path_exists, scratch_dir
 from gridlake.sources.sinks import write_partitions
 
+AXIS = "time timestamp_ntz, time_chunk int"
+ABOUT = "origin timestamp_ntz, step_seconds int, chunk int"
+
 
 def write_cube(df: DataFrame, root: str, chunks: dict[str, int]) -> None:
     """Replace a cube on disk, partitioned by time chunk and clustered by cell chunk."""
@@ -71,7 +74,7 @@ def read_cells(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_axis(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/axis")
+    return spark.read.schema(AXIS).parquet(f"{root}/axis")
 
 
 def upsert_timesteps(
@@ -96,16 +99,16 @@ def upsert_timesteps(
     batch = batch or uuid.uuid4().hex
     if _committed(spark, root, batch):
         return
-    meta = spark.read.parquet(f"{root}/about").first()
+    meta = spark.read.schema(ABOUT).parquet(f"{root}/about").first()
     name = root.strip("/").replace("/", "_").replace(":", "_")
     staged = scratch_dir(spark, f"staged/{name}/{batch}")
 
     new = _with_chunk(new, meta)
     stored = read_cells(spark, root)
+    on_axis = _axis_summary(spark, root)
     schema = stored.unionByName(new, allowMissingColumns=True).schema
     if not path_exists(spark, f"{staged}/_SUCCESS"):
         axis = read_axis(spark, root)
-        assert_unique_time(axis)
         if not extend:
             new = new.join(axis.select("time"), "time", "left_semi")
         steps = new.select("time_chunk", *keys).distinct()
@@ -121,7 +124,7 @@ def upsert_timesteps(
 
     table = spark.read.schema(schema).parquet(staged)
     if extend:
-        _extend_axis(spark, root, meta, table)
+        _extend_axis(spark, root, meta, on_axis, table)
     _write_chunks(_by_cell(table), f"{root}/cells", mode="dynamic")
     commit_ledger(spark, root, batch, paths)
 
@@ -145,12 +148,21 @@ def _axis_chunks(spark: SparkSession, meta: Row, first: int, last: int) -> DataF
     )
 
 
-def _extend_axis(spark: SparkSession, root: str, meta: Row, table: DataFrame) -> None:
-    low, high = read_axis(spark, root).agg(F.min("time_chunk"), F.max("time_chunk")).first()
+def _axis_summary(spark: SparkSession, root: str) -> Row:
+    """First and last chunk; an error when a time is on the axis twice."""
+    axis = read_axis(spark, root)
+    n, times = F.count("*").alias("n"), F.count_distinct("time").alias("times")
+    summary = axis.agg(n, times, F.min("time_chunk").alias("low"), F.max("time_chunk").alias("high")).first()
+    if summary["n"] != summary["times"]:
+        assert_unique_time(axis)
+    return summary
+
+
+def _extend_axis(spark: SparkSession, root: str, meta: Row, on_axis: Row, table: DataFrame) -> None:
     first, last = table.agg(F.min("time_chunk"), F.max("time_chunk")).first()
     if first is None:
         return
-    for a, b in ((high + 1, last), (first, low - 1)):
+    for a, b in ((on_axis["high"] + 1, last), (first, on_axis["low"] - 1)):
         if a <= b:
             write_partitions(_axis_chunks(spark, meta, a, b), f"{root}/axis", ("time_chunk",))
 

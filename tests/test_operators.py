@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridlake import fixed
+from gridlake.functions.positions import axis_index
 from gridlake.model import KEYS
 from gridlake.operators import aggregate, energy, joins, quality, select, timeaxis
 from gridlake.operators.axes import chunk_ids, complete, spread_over
@@ -40,6 +41,8 @@ def test_time_slice_covers_the_last_day(spark, cube):
 
 def test_nearest_label_ties_take_the_larger(spark, cube):
     got = select.sel_nearest(cube, lat=61.5, lon=10.2)
+    by_axis = select.sel_nearest(cube, axes={"lat": axis_index(cube, "lat")}, lat=61.5, lon=10.2)
+    assert rows(by_axis) == rows(got)
     assert {(r.lat, r.lon) for r in got.collect()} == {(62.0, 10.0)}
 
 

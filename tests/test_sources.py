@@ -267,7 +267,7 @@ def test_refresh_records_files_that_did_not_arrive(spark, tmp_path):
     where = landing + "/{instrument}/file_key={name}"
     refresh_detections(spark, root, where, dt.date(2024, 1, 3), failures=str(tmp_path / "failed"))
     got = readers.read_store(spark, root)
-    assert sorted((r.acq_date.day, r.acq_time, r.acq_timestr) for r in got.collect()) == [(1, "0430", "043000"), (2, "0105", "010500")]
+    assert sorted((r.acq_date.day, r.acq_time, r.acq_timestr) for r in got.collect()) == [(1, "0430", "043000"), (2, "0105", "010509")]
     assert spark.read.parquet(str(tmp_path / "failed")).count() == 7
 
 
