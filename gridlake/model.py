@@ -7,7 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEYS = ("time", "lat", "lon")
-COORDINATES = ("time", "lat", "lon", "forecast", "time_chunk", "lat_chunk", "lon_chunk", "path")
+COORDINATES = (
+    "time",
+    "lat",
+    "lon",
+    "forecast",
+    "northing_m",
+    "easting_m",
+    "row",
+    "col",
+    "time_chunk",
+    "lat_chunk",
+    "lon_chunk",
+    "path",
+)
 
 DETECTION_SCHEMA = T.StructType(
     [

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridlake import fixed
 from gridlake.functions.positions import ordered_position, spread_out
 from gridlake.functions.times import to_ntz
-from gridlake.model import KEYS, copy_attrs, variables
+from gridlake.model import COORDINATES, KEYS, copy_attrs, variables
 from gridlake.operators.joins import combine
 
 
@@ -33,7 +33,7 @@ def resample_daily(
     else:
         raise ValueError(f"unknown resampling {how!r}")
     day = to_ntz(F.to_date("time")).alias("time")
-    keys = [k for k in cube.columns if k in KEYS[1:] + ("forecast",)]
+    keys = [k for k in cube.columns if k in COORDINATES[1:6]]
     out = cube.groupBy(day, *keys).agg(*[e.alias(v) for v, e in daily.items()])
     out = copy_attrs(cube, out)
     return _fill_days(out, keys) if fill_gaps else out
@@ -234,8 +234,16 @@ def valid_count(cube: DataFrame, variable: str) -> DataFrame:
 
 
 def chunk_plan(manifest: DataFrame, per_chunk: int, path: str = "path") -> DataFrame:
-    """Files in path order cut into chunks: number of files, first and last of each."""
-    placed = ordered_position(manifest.select(path), [path], name="_place")
-    return placed.groupBy(F.floor(F.col("_place") / per_chunk).alias("chunk")).agg(
-        F.count("*").alias("n_files"), F.min(path).alias("first_path"), F.max(path).alias("last_path")
+    """Files in path order cut into chunks: number of files, first and last of each.
+
+    Copies of a path are counted first and dealt to chunks by arithmetic.
+    """
+    counted = manifest.groupBy(path).agg(F.count("*").alias("_n"))
+    placed = ordered_position(counted, [path], name="_first", weight="_n")
+    end = F.col("_first") + F.col("_n")
+    chunks = F.sequence(F.floor(F.col("_first") / per_chunk), F.floor((end - 1) / per_chunk))
+    dealt = placed.withColumn("chunk", F.explode(chunks))
+    here = F.least(end, (F.col("chunk") + 1) * per_chunk) - F.greatest(F.col("_first"), F.col("chunk") * per_chunk)
+    return dealt.groupBy("chunk").agg(
+        F.sum(here).alias("n_files"), F.min(path).alias("first_path"), F.max(path).alias("last_path")
     )

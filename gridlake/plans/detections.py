@@ -15,8 +15,8 @@ from gridlake.operators.select import cast_matching
 from gridlake.operators.timeaxis import catch_up_dates, union_detections
 from gridlake.session import path_exists
 from gridlake.sources.manifests import expected_files, record_failures
-from gridlake.sources.readers import read_instrument, read_store
-from gridlake.sources.sinks import write_store
+from gridlake.sources.readers import read_detections, read_instrument, read_store
+from gridlake.sources.sinks import write_missing_years, write_store
 
 
 def with_timestamps(df: DataFrame) -> DataFrame:
@@ -31,6 +31,17 @@ def with_geometry(df: DataFrame) -> DataFrame:
     return df.withColumn("geometry", point_wkb("longitude", "latitude")).drop("longitude", "latitude")
 
 
+def archive_to_store(spark: SparkSession, raw: str, yearly: str, root: str) -> None:
+    """Archive and near-real-time text to yearly tables with geometry, then to the store.
+
+    Years that an earlier run finished are not read into the yearly tables again.
+    """
+    for kind in ("archive", "nrt"):
+        table = f"{yearly}/{kind}"
+        write_missing_years(read_detections(spark, raw, kind).transform(with_geometry), table)
+        write_store(spark.read.parquet(table).drop("year").transform(with_timestamps), root)
+
+
 def wanted_files(store: DataFrame, today: dt.date) -> DataFrame:
     """Expected daily files of every instrument from the last stored date to ``today``."""
     dates = catch_up_dates(store, today)

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from gridlake import fixed
 from gridlake.functions.geo import wrap_lon
 from gridlake.model import KEYS, copy_attrs, set_attrs, variables
 from gridlake.operators.aggregate import resample_daily, spatial_mean
 from gridlake.operators.energy import energy_flux, melt_rate, previous_value, surface_temperature
 from gridlake.operators.joins import attach
 from gridlake.operators.select import bbox
+from gridlake.sources.readers import read_cube
+from gridlake.sources.sinks import write_missing_years
 
 
 def regional_daily_mean(cube: DataFrame, region: str) -> DataFrame:
@@ -52,6 +55,26 @@ def daily_melt(rad: DataFrame, int_: DataFrame, flx: DataFrame, slv: DataFrame,
     return set_attrs(daily, "TScalc", dict(rad.schema["TS"].metadata))
 
 
+def melt_from_files(
+    spark: SparkSession, products: dict[str, str | list[str]], root: str, region: str
+) -> None:
+    """Daily melt product from the hourly files of the products ``rad``, ``int``, ``flx`` and ``slv``.
+
+    Box and variable lists reach the scans. The result is partitioned by year, and years
+    finished by an earlier run are left out.
+    """
+    lists = {
+        "rad": fixed.RADIATION,
+        "int": fixed.PRECIPITATION,
+        "flx": fixed.FLUXES,
+        "slv": fixed.NEAR_SURFACE,
+    }
+    cubes = [
+        read_cube(spark, products[name], bbox=region, variables=list(names)) for name, names in lists.items()
+    ]
+    write_missing_years(daily_melt(*cubes, region), root, "time")
+
+
 def daily_mass(
     smb: DataFrame, temperature: DataFrame, runoff: DataFrame | None = None, step_seconds: int = 3600
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake.functions.paths import base_name
+from gridlake.operators.timeaxis import first_per
 
 _PIECES = {"yyyy": "yyyy", "mm": "MM", "dd": "dd", "doy": "DDD"}
 
@@ -54,7 +55,10 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 def new_files(manifest: DataFrame, ledger: DataFrame, limit: int | None = None) -> DataFrame:
     """Files not in the ledger, in path order; at most ``limit`` of them per run."""
     done = ledger.select("path").where(F.trim("path") != "")
-    fresh = manifest.join(done, "path", "left_anti").dropDuplicates(["path"]).orderBy("path")
+    rest = [c for c in manifest.columns if c != "path"]
+    # Copies of a path are merged before the shuffle, which the join then uses as well.
+    files = first_per(manifest, ["path"], rest) if rest else manifest.distinct()
+    fresh = files.join(done, "path", "left_anti").orderBy("path")
     return fresh if limit is None else fresh.limit(limit)
 
 

@@ -102,5 +102,9 @@ def series_long(series: DataFrame, keys: tuple[str, ...] = KEYS[1:]) -> DataFram
     )
 
 
-def write_series_csv(series: DataFrame, path: str, keys: tuple[str, ...] = KEYS[1:]) -> None:
-    series_long(series, keys).write.mode("overwrite").option("header", True).csv(path)
+def write_series_csv(
+    series: DataFrame, path: str, keys: tuple[str, ...] = KEYS[1:], value_name: str = "SSH (m)"
+) -> None:
+    """The long series as text in its order, with a header."""
+    long = series_long(series, keys).withColumnRenamed("value", value_name)
+    long.write.mode("overwrite").option("header", True).csv(path)

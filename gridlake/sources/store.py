@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from gridlake.functions.positions import local_table
 from gridlake.functions.times import step_number
-from gridlake.model import KEYS
 from gridlake.operators.axes import chunk_ids
 from gridlake.operators.quality import assert_unique_time
 from gridlake.session import path_exists, scratch_dir

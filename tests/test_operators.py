@@ -251,3 +251,10 @@ def test_daily_mean_of_numpy(spark, cube):
     want = frame.groupby(["day", "lat", "lon"]).TS.mean()
     got = aggregate.resample_daily(cube).toPandas().set_index(["time", "lat", "lon"]).TS
     assert np.allclose(got.sort_index().to_numpy(float), want.sort_index().to_numpy(), equal_nan=True)
+
+
+def test_chunk_plan_with_copies(spark):
+    paths = ["a"] + ["b"] * 10 + ["c", "d", "e"]
+    got = aggregate.chunk_plan(spark.createDataFrame([(p,) for p in paths], "path string"), 4)
+    want = [tuple([i, len(c), c[0], c[-1]]) for i, c in enumerate(paths[k : k + 4] for k in range(0, len(paths), 4))]
+    assert rows(got) == want

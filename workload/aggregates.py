@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridlake import fixed
+from gridlake.functions.geo import wrap_lon
 from gridlake.functions.times import month_index
 from gridlake.operators import aggregate as a
 from gridlake.operators.energy import energy_flux, melt_rate, previous_value, surface_temperature
-from gridlake.plans.reanalysis import daily_mass, daily_melt, regional_daily_mean
+from gridlake.plans.reanalysis import daily_mass, daily_melt, melt_from_files, regional_daily_mean
 from workload.registry import query
 
 _K = ["time", "lat", "lon"]
@@ -242,6 +243,31 @@ def _(t):
     return daily_melt(rad, int_, flx, slv, (55.0, 90.0, 0.0, 360.0))
 
 
+@query(
+    "daily_melt_from_files",
+    f"""SELECT {_DAY}, lat, lon, avg(SWGNT / 300) AS ALBEDO, avg(LWGAB) AS LWGAB, avg(LWGAB + 1) AS LWGEM, -1::DOUBLE AS LWGNT,
+  avg(SWGNT * 1.3::DOUBLE) AS SWGDN, avg(SWGNT) AS SWGNT, avg(TS) AS TS, avg(TScalc) AS TScalc, avg(SMELT) AS SMELT,
+  avg(PRECTOT) AS PRECCU, avg(PRECTOT / 3) AS PRECLS, avg(PRECTOT / 7) AS PRECSN, avg(PRECTOT / 11) AS EVAP,
+  avg(HFLUX) AS HFLUX, avg(EFLUX) AS EFLUX, avg(GHTSKIN) AS GHTSKIN, avg(SWGNT / 13) AS PS, avg(TS - 1) AS T2M,
+  avg(SWGNT / 17) AS U2M, avg(SWGNT / 19) AS V2M, avg(SWGNT / 23) AS QV2M
+FROM {_MELTED.replace('FROM cube', 'FROM ' + _WRAPPED + ' c')} WHERE {_GREENLAND} GROUP BY ALL""",
+    "ALBEDO LWGAB LWGEM LWGNT SWGDN SWGNT TS TScalc SMELT PRECCU PRECLS PRECSN EVAP HFLUX EFLUX GHTSKIN PS T2M U2M V2M QV2M",
+)
+def _(t):
+    root = t.scratch("melt")
+    cube = wrap_lon(t.cube)
+    products = {
+        "rad": "SWGNT / 300 AS ALBEDO, LWGAB, LWGAB + 1 AS LWGEM, -1D AS LWGNT, SWGNT * 1.3D AS SWGDN, SWGNT, TS",
+        "int": "PRECTOT AS PRECCU, PRECTOT / 3 AS PRECLS, PRECTOT / 7 AS PRECSN",
+        "flx": "PRECTOT / 11 AS EVAP, HFLUX, EFLUX, GHTSKIN",
+        "slv": "SWGNT / 13 AS PS, TS - 1 AS T2M, SWGNT / 17 AS U2M, SWGNT / 19 AS V2M, SWGNT / 23 AS QV2M",
+    }
+    for name, columns in products.items():
+        cube.selectExpr(*_K, *columns.split(", ")).write.parquet(f"{root}/{name}")
+    melt_from_files(t.spark, {name: f"{root}/{name}" for name in products}, f"{root}/daily", "GrIS")
+    return t.spark.read.parquet(f"{root}/daily").drop("year")
+
+
 @query(
     "a21_extent",
     """SELECT min(lat)::VARCHAR AS southernmost, max(lat)::VARCHAR AS northernmost, min(lon)::VARCHAR AS westernmost,

@@ -17,7 +17,7 @@ from gridlake.operators.axes import complete
 from gridlake.operators.quality import missing_pairs
 from gridlake.operators.select import on_date, since, time_between_open, where_label
 from gridlake.operators.timeaxis import catch_up_dates, distinct_keys, union_detections
-from gridlake.plans.detections import refresh_detections, with_geometry, with_timestamps, wanted_files
+from gridlake.plans.detections import archive_to_store, refresh_detections, with_geometry, with_timestamps, wanted_files
 from gridlake.sources.readers import read_detections, read_instrument, read_store
 from gridlake.sources.sinks import write_daily_text, write_missing_years, write_store
 from workload.registry import query
@@ -137,6 +137,26 @@ def _(t):
     return t.spark.read.parquet(root).select("time", "lat", "lon", "SSH")
 
 
+@query(
+    "archive_to_store",
+    f"""SELECT acq_date, acq_time, satellite, instrument, version, longitude, latitude, frp, type,
+  acq_date + to_hours(CAST(acq_time[1:2] AS BIGINT)) + to_minutes(CAST(acq_time[3:4] AS BIGINT)) AS acq_timestamp FROM det""",
+    "frp",
+)
+def _(t):
+    base = t.scratch("archive")
+    rows = t.det_csv()
+    rows.where("type IS NOT NULL").write.option("header", True).csv(f"{base}/raw/fire_archive_1.csv")
+    rows.where("type IS NULL").drop("type").write.option("header", True).csv(f"{base}/raw/fire_nrt_1.csv")
+    for _ in range(2):
+        archive_to_store(t.spark, f"{base}/raw", f"{base}/yearly", f"{base}/store")
+    xy = wkb_xy("geometry")
+    return read_store(t.spark, f"{base}/store").select(
+        "acq_date", "acq_time", "satellite", "instrument", "version",
+        xy["lon"].alias("longitude"), xy["lat"].alias("latitude"), "frp", "type", "acq_timestamp",
+    )
+
+
 @query(
     "i4_refresh_detections",
     f"""SELECT acq_date, acq_time, satellite, {_INSTRUMENT} AS instrument, version, longitude, latitude, frp,

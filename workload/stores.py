@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridlake.functions.geo import wrap_lon
 from gridlake.functions.positions import axis_index
 from gridlake.operators.aggregate import resample_daily
 from gridlake.operators.quality import (
@@ -14,6 +15,16 @@ from gridlake.operators.quality import (
     duplicate_times,
     rebuild_ledger,
 )
+from gridlake.plans.gridstore import (
+    create_from_files,
+    forecast_cube,
+    hours_from_name,
+    time_from_name,
+    update_from_files,
+)
+from gridlake.plans.rasters import monthly_rasters
+from gridlake.plans.sealevel import height_change_tiles
+from gridlake.plans.soil import soil_cube
 from gridlake.sources.raster import geotransform, raster_tiles, tile_cells
 from gridlake.sources.store import (
     create_store,
@@ -24,13 +35,6 @@ from gridlake.sources.store import (
     upsert_timesteps,
     write_cube,
 )
-from gridlake.plans.gridstore import (
-    create_from_files,
-    forecast_cube,
-    hours_from_name,
-    time_from_name,
-    update_from_files,
-)
 from gridlake.streaming.landing import stream_cube
 from workload.registry import query
 
@@ -312,6 +316,54 @@ def _(t):
     return cells.join(rows, "row").join(axis_index(static, "lon", name="col"), "col").drop("row", "col")
 
 
+@query(
+    "height_change_raster",
+    """SELECT 'change' AS var, lat, lon, (b - a)::FLOAT::DOUBLE AS value FROM (SELECT lat, lon,
+  CASE WHEN count(SSH) FILTER (WHERE year(time) = 1996) = 12 THEN sum(SSH) FILTER (WHERE year(time) = 1996) / 12 END AS a,
+  CASE WHEN count(SSH) FILTER (WHERE year(time) = 2000) = 12 THEN sum(SSH) FILTER (WHERE year(time) = 2000) / 12 END AS b
+  FROM monthly GROUP BY 1, 2) WHERE a IS NOT NULL AND b IS NOT NULL""",
+    "value",
+)
+def _(t):
+    cells = tile_cells(height_change_tiles(t.monthly, 1996, 2000, tile=8), 8).drop("label")
+    rows = axis_index(t.monthly, "lat", descending=True, name="row")
+    return cells.join(rows, "row").join(axis_index(t.monthly, "lon", name="col"), "col").drop("row", "col")
+
+
+@query(
+    "monthly_rasters",
+    """SELECT 'PRECTOT' AS var, strftime(time, '%Y-%m') AS label, lat, CASE WHEN lon > 180 THEN lon - 360 ELSE lon END AS lon,
+  avg(PRECTOT)::FLOAT::DOUBLE AS value FROM cube GROUP BY ALL""",
+    "value",
+)
+def _(t):
+    month = F.date_trunc("MONTH", "time").cast("timestamp_ntz").alias("time")
+    cube = t.cube.groupBy(month, "lat", "lon").agg(F.avg("PRECTOT").alias("PRECTOT"))
+    cells = tile_cells(monthly_rasters(cube, "gravity", tile=8), 8)
+    rows = axis_index(cube, "lat", descending=True, name="row")
+    return cells.join(rows, "row").join(axis_index(wrap_lon(cube), "lon", name="col"), "col").drop("row", "col")
+
+
+@query(
+    "soil_moisture_cube",
+    """SELECT time, northing_m, easting_m, avg(value) FILTER (WHERE am) AS soil_moisture, avg(frac) FILTER (WHERE am) AS albedo,
+  avg(value) FILTER (WHERE NOT am) AS soil_moisture_pm FROM (SELECT date_trunc('day', ts)::TIMESTAMP AS time, hour(ts) < 12 AS am,
+    value / 0.97::DOUBLE AS value, user_id / 7919 AS frac,
+    7314540.83::DOUBLE - 0.5 * 36032.22::DOUBLE - 36032.22::DOUBLE * (user_id % 406) AS northing_m,
+    -17367530.45::DOUBLE + 0.5 * 36032.22::DOUBLE + 36032.22::DOUBLE * (user_id // 406 % 964) AS easting_m FROM events) GROUP BY 1, 2, 3""",
+    "northing_m easting_m soil_moisture albedo soil_moisture_pm",
+)
+def _(t):
+    cells = t.events.selectExpr(
+        "concat('in/SOIL_SM_P_', date_format(ts, 'yyyyMMdd'), '_R1.h5') AS path", "hour(ts) < 12 AS am",
+        "user_id % 406 AS row", "user_id DIV 406 % 964 AS col", "value / 0.97D AS v", "user_id / 7919 AS frac",
+    )
+    keys = ["path", "row", "col"]
+    am = cells.where("am").groupBy(*keys).agg(F.avg("v").alias("soil_moisture"), F.avg("frac").alias("albedo"))
+    pm = cells.where("NOT am").groupBy(*keys).agg(F.avg("v").alias("soil_moisture_pm"))
+    return soil_cube(am, pm)
+
+
 _STEP = "(SELECT min({d}) FROM cube WHERE {d} > (SELECT min({d}) FROM cube)) - min({d})"
 
 
