@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.functions.positions import ordered_position, spread_out
+from gridlake.functions.positions import broadcast_if_small, ordered_position, spread_out
 from gridlake.functions.times import to_ntz
 from gridlake.model import KEYS
 
@@ -89,7 +89,8 @@ def relabel_time(cube: DataFrame, bad: dt.datetime, good: dt.datetime) -> DataFr
 
 def stored_times(new: DataFrame, axis: DataFrame, present: bool = True) -> DataFrame:
     """Rows whose time is on a stored axis, or those whose time is not."""
-    return new.join(axis.select("time").distinct(), "time", "left_semi" if present else "left_anti")
+    times = broadcast_if_small(axis.select("time").distinct())
+    return new.join(times, "time", "left_semi" if present else "left_anti")
 
 
 def classify_dates(base: DataFrame, forecasts: DataFrame, mode: str = "blank") -> DataFrame:

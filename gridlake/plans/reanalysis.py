@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridlake import fixed
 from gridlake.functions.geo import wrap_lon
@@ -14,7 +15,7 @@ from gridlake.operators.energy import energy_flux, melt_rate, previous_value, su
 from gridlake.operators.joins import attach
 from gridlake.operators.select import bbox
 from gridlake.sources.readers import read_cube
-from gridlake.sources.sinks import write_missing_years
+from gridlake.sources.sinks import finished_years, write_missing_years
 
 
 def regional_daily_mean(cube: DataFrame, region: str) -> DataFrame:
@@ -60,9 +61,11 @@ def melt_from_files(
 ) -> None:
     """Daily melt product from the hourly files of the products ``rad``, ``int``, ``flx`` and ``slv``.
 
-    Box and variable lists reach the scans. The result is partitioned by year, and years
-    finished by an earlier run are left out.
+    Box and variable lists reach the scans. The result is partitioned by year. Years
+    finished by an earlier run are left out before anything is computed; no value depends
+    on another year.
     """
+    done = finished_years(spark, root)
     lists = {
         "rad": fixed.RADIATION,
         "int": fixed.PRECIPITATION,
@@ -70,7 +73,8 @@ def melt_from_files(
         "slv": fixed.NEAR_SURFACE,
     }
     cubes = [
-        read_cube(spark, products[name], bbox=region, variables=list(names)) for name, names in lists.items()
+        read_cube(spark, products[name], bbox=region, variables=list(names)).where(~F.year("time").isin(done))
+        for name, names in lists.items()
     ]
     write_missing_years(daily_melt(*cubes, region), root, "time")
 

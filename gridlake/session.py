@@ -73,3 +73,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def partition_values(spark: SparkSession, root: str, key: str) -> list[str]:
+    """Values of the first partition column of a table, from its directory names."""
+    if not path_exists(spark, root):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listed = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    names = [status.getPath().getName() for status in listed]
+    return [n.split("=", 1)[1] for n in names if n.startswith(f"{key}=")]

@@ -6,12 +6,12 @@ a partition that holds much of the data is cut into several files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.functions.times import day_of_year, to_ntz
 from gridlake.model import KEYS, STORE_KEYS
-from gridlake.session import path_exists
+from gridlake.session import partition_values, path_exists
 from gridlake.sources.readers import read_store
 
 
@@ -57,6 +57,14 @@ def _refuse_loss(df: DataFrame, root: str, keys: tuple[str, ...]) -> None:
         raise IncompletePartition(f"would drop {lost[0].asDict()}")
 
 
+def finished_years(spark: SparkSession, root: str) -> list[int]:
+    """Years that ``write_missing_years`` completed."""
+    done = f"{root}_years"
+    if not path_exists(spark, done):
+        return []
+    return sorted(r["year"] for r in spark.read.schema("year int").parquet(done).distinct().collect())
+
+
 def write_missing_years(df: DataFrame, root: str, date: str = "acq_date") -> None:
     """Write one partition per year, leaving out years that were finished before.
 
@@ -64,14 +72,24 @@ def write_missing_years(df: DataFrame, root: str, date: str = "acq_date") -> Non
     lost job left half written is written again.
     """
     spark = df.sparkSession
-    done = f"{root}_years"
-    dated = df.withColumn("year", F.year(date))
-    if path_exists(spark, done):
-        # One number per year.
-        finished = [r["year"] for r in spark.read.parquet(done).select("year").distinct().collect()]
-        dated = dated.where(~F.col("year").isin(finished))
+    done = finished_years(spark, root)
+    pending = F.coalesce(~F.col("year").isin(done), F.lit(True))
+    dated = df.withColumn("year", F.year(date)).where(pending)
+    before = set(_years_on_disk(spark, root))
     write_partitions(dated, root, ("year",))
-    dated.select("year").distinct().write.mode("append").parquet(done)
+    written = set(_years_on_disk(spark, root)) - before
+    # Left by a lost job and, if the input still has them, written again just now.
+    leftover = sorted(before - set(done))
+    if leftover:
+        again = dated.where(F.col("year").isin(leftover)).select("year").distinct()
+        written |= {r["year"] for r in again.collect()}
+    if written:
+        years = spark.createDataFrame([(y,) for y in sorted(written)], "year int")
+        years.write.mode("append").parquet(f"{root}_years")
+
+
+def _years_on_disk(spark: SparkSession, root: str) -> list[int]:
+    return [int(v) for v in partition_values(spark, root, "year") if v.isdigit()]
 
 
 def write_daily_text(df: DataFrame, root: str, prefix: str, date: str = "acq_date") -> None:

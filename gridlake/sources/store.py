@@ -19,6 +19,7 @@ from gridlake.functions.positions import local_table
 from gridlake.functions.times import step_number
 from gridlake.operators.axes import chunk_ids
 from gridlake.operators.quality import assert_unique_time
+from gridlake.operators.timeaxis import stored_times
 from gridlake.session import path_exists, scratch_dir
 from gridlake.sources.sinks import write_partitions
 
@@ -107,9 +108,8 @@ def upsert_timesteps(
     on_axis = _axis_summary(spark, root)
     schema = stored.unionByName(new, allowMissingColumns=True).schema
     if not path_exists(spark, f"{staged}/_SUCCESS"):
-        axis = read_axis(spark, root)
         if not extend:
-            new = new.join(axis.select("time"), "time", "left_semi")
+            new = stored_times(new, read_axis(spark, root))
         steps = new.select("time_chunk", *keys).distinct()
         listed = local_table(steps)
         if listed is None:

@@ -5,6 +5,8 @@ import json
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +14,7 @@ from gridlake import fixed, session
 from gridlake.model import DETECTION_CSV
 from gridlake.operators.quality import check_ledger
 from gridlake.plans.detections import refresh_detections, with_timestamps
+from gridlake.plans.reanalysis import melt_from_files
 from gridlake.sources import manifests, raster, readers, sinks, store
 from gridlake.streaming.landing import stream_cube
 from tests.conftest import rows
@@ -278,3 +281,45 @@ def test_upsert_reads_and_rewrites_only_touched_chunks(spark, cube, tmp_path):
     store.upsert_timesteps(root, days(cube, "2021-12-31", "2021-12-31"))
     after = {c: os.listdir(f"{root}/cells/time_chunk={c}") for c in range(3)}
     assert before[0] == after[0] and before[2] == after[2] and before[1] != after[1]
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(parts=st.lists(st.sets(st.integers(0, 5), min_size=1), min_size=1, max_size=3), chunk=st.sampled_from([5, 24]))
+def test_any_sequence_of_upserts_keeps_axis_and_cells(spark, cube, tmp_path_factory, parts, chunk):
+    root = str(tmp_path_factory.mktemp("u"))
+    half_days = F.floor(F.timestamp_diff("HOUR", F.lit("2021-12-30").cast("timestamp_ntz"), F.col("time")) / 12)
+    cells = cube.withColumn("h", half_days)
+    store.create_store(cells.where("h = 2").drop("h"), root, chunk, 3600)
+    latest = {2: 0.0}
+    for i, chosen in enumerate(parts, 1):
+        store.upsert_timesteps(root, cells.where(F.col("h").isin(list(chosen))).drop("h").withColumn("SWGNT", F.col("SWGNT") + 100 * i))
+        latest.update({h: 100.0 * i for h in chosen})
+    shift = F.create_map(*[F.lit(v) for h, s in latest.items() for v in (h, s)])
+    want = cells.where(F.col("h").isin(list(latest))).withColumn("SWGNT", F.col("SWGNT") + shift[F.col("h").cast("int")]).drop("h")
+    assert rows(store.read_cells(spark, root).drop("time_chunk")) == rows(want)
+    times = sorted(r.time for r in store.read_axis(spark, root).collect())
+    assert len(times) % chunk == 0
+    assert {b - a for a, b in zip(times, times[1:])} == {dt.timedelta(hours=1)}
+    assert {r.time for r in want.select("time").distinct().collect()} <= set(times)
+
+
+def test_melt_skips_finished_years(spark, tmp_path):
+    products = {"rad": fixed.RADIATION, "int": fixed.PRECIPITATION, "flx": fixed.FLUXES, "slv": fixed.NEAR_SURFACE}
+
+    def land(n, temperature):
+        hours = spark.range(n).selectExpr(
+            "TIMESTAMP_NTZ '2020-12-31 00:00:00' + make_dt_interval(0, CAST(id AS INT)) AS time", "70D AS lat", "-40D AS lon"
+        )
+        for name, names in products.items():
+            values = {v: F.lit(temperature if v == "TS" else 1.0) for v in names}
+            hours.withColumns(values).write.mode("overwrite").parquet(str(tmp_path / name))
+
+    where = {name: str(tmp_path / name) for name in products}
+    root = str(tmp_path / "daily")
+    land(24, 300.0)
+    melt_from_files(spark, where, root, "GrIS")
+    land(48, 250.0)
+    melt_from_files(spark, where, root, "GrIS")
+    got = {r.year: r for r in spark.read.parquet(root).collect()}
+    assert (got[2020].TS, got[2021].TS) == (300.0, 250.0)
+    assert got[2020].TScalc == pytest.approx(273.15) and got[2020].SMELT < 0 and got[2021].SMELT == 0

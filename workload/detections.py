@@ -125,6 +125,21 @@ def _(t):
     return read_store(t.spark, root).select("event_id", "acq_date", "version", "frp")
 
 
+@query(
+    "s9_overwrite_by_date",
+    """SELECT event_id, acq_date, version, frp FROM det WHERE acq_date < DATE '2024-01-20'
+UNION ALL SELECT event_id, acq_date, version, frp * 2 FROM det WHERE acq_date >= DATE '2024-01-20' AND version = '6.1'""",
+    "frp",
+)
+def _(t):
+    # By date alone, a later write replaces every version of its dates.
+    root, keys = t.scratch("store"), ("year", "month", "mday")
+    write_store(t.det.transform(with_timestamps), root, keys)
+    later = t.det.where("acq_date >= DATE '2024-01-20' AND version = '6.1'").withColumn("frp", F.col("frp") * 2)
+    write_store(later.transform(with_timestamps), root, keys)
+    return t.spark.read.parquet(root).select("event_id", "acq_date", "version", "frp")
+
+
 @query(
     "s10_missing_years",
     "SELECT time, lat, lon, CASE WHEN year(time) <= 1997 THEN SSH ELSE SSH + 1 END AS SSH FROM monthly",
