@@ -183,7 +183,11 @@ def _drop_far_boxes(found: DataFrame) -> DataFrame:
 def series_at(cube: DataFrame, pixels: DataFrame) -> DataFrame:
     """The series of the cube at matched pixels, one for each location.
 
-    ``pixels`` comes from ``nearest_pixels``; the cube is read once.
+    ``pixels`` comes from ``nearest_pixels``; the cube is read once, within their bounds.
     """
+    pixels = broadcast_if_small(pixels)
     names = {"lat": "pixel_lat", "lon": "pixel_lon"}
-    return cube.withColumnsRenamed(names).join(broadcast_if_small(pixels), list(names.values()))
+    b = pixels.agg(*[f(c).alias(f"{c}_{f.__name__}") for c in names.values() for f in (F.min, F.max)]).first()
+    for dim, pixel in names.items():
+        cube = cube.where(F.col(dim).between(b[f"{pixel}_min"], b[f"{pixel}_max"]))
+    return cube.withColumnsRenamed(names).join(pixels, list(names.values()))

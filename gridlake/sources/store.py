@@ -10,9 +10,10 @@ chunks it touches without reading the store, and only those are rewritten.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.functions.positions import local_table
@@ -69,8 +70,31 @@ def create_store(df: DataFrame, root: str, chunk: int, step_seconds: int) -> Non
     _write_chunks(_by_cell(cells), f"{root}/cells", mode="static")
 
 
-def read_cells(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/cells")
+def read_cells(
+    spark: SparkSession, root: str, since: dt.datetime | None = None, until: dt.datetime | None = None
+) -> DataFrame:
+    """The cells of a store, at the times from ``since`` to ``until``, both included.
+
+    The bounds prune the directories of time chunks, which a filter on ``time`` would not.
+    """
+    cells = spark.read.parquet(f"{root}/cells")
+    if since is None and until is None:
+        return cells
+    meta = spark.read.schema(ABOUT).parquet(f"{root}/about").first()
+    if since is not None:
+        cells = cells.where((F.col("time_chunk") >= _chunk_of(since, meta)) & (F.col("time") >= _ntz(since)))
+    if until is not None:
+        cells = cells.where((F.col("time_chunk") <= _chunk_of(until, meta)) & (F.col("time") <= _ntz(until)))
+    return cells
+
+
+def _chunk_of(time: dt.datetime, meta: Row) -> int:
+    steps = (time - meta["origin"]) // dt.timedelta(seconds=meta["step_seconds"])
+    return steps // meta["chunk"]
+
+
+def _ntz(time: dt.datetime) -> Column:
+    return F.lit(time.isoformat()).cast("timestamp_ntz")
 
 
 def read_axis(spark: SparkSession, root: str) -> DataFrame:
@@ -128,8 +152,8 @@ def upsert_timesteps(
     commit_ledger(spark, root, batch, paths)
 
 
-def _origin(meta: Row):
-    return F.lit(meta["origin"].isoformat()).cast("timestamp_ntz")
+def _origin(meta: Row) -> Column:
+    return _ntz(meta["origin"])
 
 
 def _with_chunk(df: DataFrame, meta: Row) -> DataFrame:

@@ -323,3 +323,15 @@ def test_melt_skips_finished_years(spark, tmp_path):
     got = {r.year: r for r in spark.read.parquet(root).collect()}
     assert (got[2020].TS, got[2021].TS) == (300.0, 250.0)
     assert got[2020].TScalc == pytest.approx(273.15) and got[2020].SMELT < 0 and got[2021].SMELT == 0
+
+
+@pytest.mark.parametrize("chunk", [5, 24])
+def test_time_bounds_prune_chunks(spark, cube, tmp_path, chunk):
+    root = str(tmp_path / "s")
+    store.create_store(days(cube, "2021-12-31", "2021-12-31"), root, chunk, 3600)
+    store.upsert_timesteps(root, days(cube, "2021-12-30", "2022-01-01"))
+    since, until = dt.datetime(2021, 12, 30, 22, 30), dt.datetime(2021, 12, 31, 4)
+    got = store.read_cells(spark, root, since, until)
+    assert "time_chunk" in got._jdf.queryExecution().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert rows(got.drop("time_chunk")) == rows(cube.where(F.col("time").between(F.lit(since), F.lit(until))))
+    assert store.read_cells(spark, root, until=dt.datetime(2021, 12, 29)).count() == 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from gridlake.functions.geo import wrap_lon
@@ -80,6 +82,17 @@ def _(t):
     return read_cells(t.spark, _upserted(t)).drop("time_chunk")
 
 
+@query(
+    "p6_time_slice_of_store",
+    """SELECT time, lat, lon, TS, CASE WHEN time >= TIMESTAMP '2024-01-14' THEN SWGNT + 1000 ELSE SWGNT END AS SWGNT FROM cube
+WHERE time BETWEEN TIMESTAMP '2024-01-03 07:00:00' AND TIMESTAMP '2024-01-15 09:00:00'""",
+    "TS SWGNT",
+)
+def _(t):
+    since, until = dt.datetime(2024, 1, 3, 7), dt.datetime(2024, 1, 15, 9)
+    return read_cells(t.spark, _upserted(t), since, until).drop("time_chunk")
+
+
 @query(
     "i2_extended_axis",
     """SELECT origin + to_hours(i) AS time, i // 120 - 1000 AS time_chunk FROM (
