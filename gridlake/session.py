@@ -75,11 +75,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def partition_values(spark: SparkSession, root: str, key: str) -> list[str]:
-    """Values of the first partition column of a table, from its directory names."""
+def list_names(spark: SparkSession, root: str) -> list[str]:
+    """Names directly below a path; none where it does not exist."""
     if not path_exists(spark, root):
         return []
     target = spark._jvm.org.apache.hadoop.fs.Path(root)
     listed = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
-    names = [status.getPath().getName() for status in listed]
-    return [n.split("=", 1)[1] for n in names if n.startswith(f"{key}=")]
+    return [status.getPath().getName() for status in listed]
+
+
+def partition_values(spark: SparkSession, root: str, key: str) -> list[str]:
+    """Values of the first partition column of a table, from its directory names."""
+    return [n.split("=", 1)[1] for n in list_names(spark, root) if n.startswith(f"{key}=")]

@@ -11,6 +11,7 @@ chunks it touches without reading the store, and only those are rewritten.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -21,7 +22,7 @@ from gridlake.functions.times import step_number
 from gridlake.operators.axes import chunk_ids
 from gridlake.operators.quality import assert_unique_time
 from gridlake.operators.timeaxis import stored_times
-from gridlake.session import path_exists, scratch_dir
+from gridlake.session import list_names, partition_values, path_exists, scratch_dir
 from gridlake.sources.sinks import write_partitions
 
 AXIS = "time timestamp_ntz, time_chunk int"
@@ -115,41 +116,67 @@ def upsert_timesteps(
     extends it by as many chunks as needed, and an earlier one is inserted. With
     ``extend=False`` only steps on the axis are taken. Steps stored twice are an error.
 
-    The merged chunks are staged first and then published, and the ledger comes last. A
-    job that dies can be run again with the same ``batch``: it continues from the staged
-    table, and does nothing if the batch is in the ledger.
+    The merged chunks are staged first and then published, and the ledger comes last.
+    What a lost job staged is published before anything else, and a ``batch`` that is in
+    the ledger is not taken again. A store has one writer at a time.
     """
     spark = new.sparkSession
     batch = batch or uuid.uuid4().hex
+    if not re.fullmatch(r"[\w.-]+", batch):
+        raise ValueError(f"a batch name has letters, digits, dots and dashes, not {batch!r}")
+    recover(spark, root)
     if _committed(spark, root, batch):
         return
     meta = spark.read.schema(ABOUT).parquet(f"{root}/about").first()
-    name = root.strip("/").replace("/", "_").replace(":", "_")
-    staged = scratch_dir(spark, f"staged/{name}/{batch}")
-
-    new = _with_chunk(new, meta)
-    stored = read_cells(spark, root)
     on_axis = _axis_summary(spark, root)
-    schema = stored.unionByName(new, allowMissingColumns=True).schema
-    if not path_exists(spark, f"{staged}/_SUCCESS"):
-        if not extend:
-            new = stored_times(new, read_axis(spark, root))
-        steps = new.select("time_chunk", *keys).distinct()
-        listed = local_table(steps)
-        if listed is None:
-            stored = stored.join(steps.select("time_chunk").distinct(), "time_chunk", "left_semi")
-        else:
-            stored = stored.where(F.col("time_chunk").isin(listed["time_chunk"].unique().to_pylist()))
-            steps = F.broadcast(spark.createDataFrame(listed, schema=steps.schema))
-        kept = stored.join(steps, ["time_chunk", *keys], "left_anti")
-        merged = kept.unionByName(new, allowMissingColumns=True).hint("rebalance", "time_chunk")
-        _write_chunks(_by_cell(merged), staged, mode="static")
-
-    table = spark.read.schema(schema).parquet(staged)
-    if extend:
-        _extend_axis(spark, root, meta, on_axis, table)
-    _write_chunks(_by_cell(table), f"{root}/cells", mode="dynamic")
-    commit_ledger(spark, root, batch, paths)
+    if not extend:
+        new = stored_times(new, read_axis(spark, root))
+    new = _with_chunk(new, meta)
+    merged = _merged(read_cells(spark, root), new, keys)
+
+    staged = f"{_staging(spark, root)}/{batch}"
+    if paths is not None:
+        paths.select("path").write.mode("overwrite").parquet(f"{staged}/paths")
+    _write_chunks(_by_cell(merged.hint("rebalance", "time_chunk")), f"{staged}/cells", mode="static")
+    _publish(spark, root, meta, on_axis, batch, extend)
+
+
+def _merged(stored: DataFrame, new: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The chunks that ``new`` touches, with its steps in place of the stored ones."""
+    steps = new.select("time_chunk", *keys).distinct()
+    listed = local_table(steps)
+    if listed is None:
+        stored = stored.join(steps.select("time_chunk").distinct(), "time_chunk", "left_semi")
+    else:
+        stored = stored.where(F.col("time_chunk").isin(listed["time_chunk"].unique().to_pylist()))
+        steps = F.broadcast(new.sparkSession.createDataFrame(listed, schema=steps.schema))
+    kept = stored.join(steps, ["time_chunk", *keys], "left_anti")
+    return kept.unionByName(new, allowMissingColumns=True)
+
+
+def recover(spark: SparkSession, root: str) -> None:
+    """Publish what a lost job staged but did not enter in the ledger."""
+    staging = _staging(spark, root)
+    for batch in list_names(spark, staging):
+        whole = path_exists(spark, f"{staging}/{batch}/cells/_SUCCESS")
+        if whole and not _committed(spark, root, batch):
+            meta = spark.read.schema(ABOUT).parquet(f"{root}/about").first()
+            _publish(spark, root, meta, _axis_summary(spark, root), batch, extend=True)
+
+
+def _publish(spark: SparkSession, root: str, meta: Row, on_axis: Row, batch: str, extend: bool) -> None:
+    staged = f"{_staging(spark, root)}/{batch}"
+    chunks = [int(c) for c in partition_values(spark, f"{staged}/cells", "time_chunk")]
+    if chunks:
+        if extend:
+            _extend_axis(spark, root, meta, on_axis, min(chunks), max(chunks))
+        _write_chunks(_by_cell(spark.read.parquet(f"{staged}/cells")), f"{root}/cells", mode="dynamic")
+    paths = f"{staged}/paths"
+    commit_ledger(spark, root, batch, spark.read.schema("path string").parquet(paths) if path_exists(spark, paths) else None)
+
+
+def _staging(spark: SparkSession, root: str) -> str:
+    return scratch_dir(spark, "staged/" + root.strip("/").replace("/", "_").replace(":", "_"))
 
 
 def _origin(meta: Row) -> Column:
@@ -181,10 +208,7 @@ def _axis_summary(spark: SparkSession, root: str) -> Row:
     return summary
 
 
-def _extend_axis(spark: SparkSession, root: str, meta: Row, on_axis: Row, table: DataFrame) -> None:
-    first, last = table.agg(F.min("time_chunk"), F.max("time_chunk")).first()
-    if first is None:
-        return
+def _extend_axis(spark: SparkSession, root: str, meta: Row, on_axis: Row, first: int, last: int) -> None:
     for a, b in ((on_axis["high"] + 1, last), (first, on_axis["low"] - 1)):
         if a <= b:
             write_partitions(_axis_chunks(spark, meta, a, b), f"{root}/axis", ("time_chunk",))

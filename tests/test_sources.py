@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import shutil
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -170,19 +171,25 @@ def test_populate_leaves_other_leads(spark, cube, tmp_path):
 
 def test_repeated_batch_is_taken_once_and_continues_from_staging(spark, cube, tmp_path, monkeypatch):
     root = str(tmp_path / "s")
-    store.create_store(days(cube, "2021-12-30", "2021-12-30"), root, 24, 3600)
+    store.create_store(days(cube, "2021-12-30", "2021-12-30"), root, 48, 3600)
     new = days(cube, "2021-12-31", "2021-12-31")
 
+    files = spark.createDataFrame([("f1",)], "path string")
     with monkeypatch.context() as m:
-        m.setattr(store, "write_partitions", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        m.setattr(store, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
         with pytest.raises(RuntimeError):
-            store.upsert_timesteps(root, new, batch="b1")
-    # The retry publishes what was staged, whatever it is given now.
-    store.upsert_timesteps(root, new.limit(0), batch="b1")
-    want = rows(days(cube, "2021-12-30", "2021-12-31"))
-    assert rows(store.read_cells(spark, root).drop("time_chunk")) == want
+            store.upsert_timesteps(root, new, batch="b1", paths=files)
+    # Half published: the chunk of both days was removed and not yet put back.
+    shutil.rmtree(f"{root}/cells/time_chunk=0")
+    # The next batch, whichever it is, first publishes what was staged.
+    store.upsert_timesteps(root, days(cube, "2022-01-01", "2022-01-01"), batch="b2")
+    assert rows(store.read_cells(spark, root).drop("time_chunk")) == rows(cube)
+    assert [r.path for r in store.processed_files(spark, root).collect()] == ["f1"]
+    # A batch in the ledger is not taken again.
     store.upsert_timesteps(root, new.withColumn("TS", F.lit(0.0)), batch="b1")
-    assert rows(store.read_cells(spark, root).drop("time_chunk")) == want
+    assert rows(store.read_cells(spark, root).drop("time_chunk")) == rows(cube)
+    with pytest.raises(ValueError, match="batch name"):
+        store.upsert_timesteps(root, new, batch="a/b")
 
 
 def test_duplicate_axis_stops_the_upsert(spark, cube, tmp_path):
