@@ -12,9 +12,9 @@ from gridlake.functions.geo import point_wkb
 from gridlake.functions.times import acquisition_timestamp, clock_digits, normalise_hhmm, with_ymd
 from gridlake.model import DETECTION_CSV
 from gridlake.operators.select import cast_matching
-from gridlake.operators.timeaxis import catch_up_dates, union_detections
+from gridlake.operators.timeaxis import union_detections
 from gridlake.session import path_exists
-from gridlake.sources.manifests import expected_files, record_failures
+from gridlake.sources.manifests import date_range, expected_files, record_failures
 from gridlake.sources.readers import read_detections, read_instrument, read_store
 from gridlake.sources.sinks import write_missing_years, write_store
 
@@ -42,9 +42,8 @@ def archive_to_store(spark: SparkSession, raw: str, yearly: str, root: str) -> N
         write_store(spark.read.parquet(table).drop("year").transform(with_timestamps), root)
 
 
-def wanted_files(store: DataFrame, today: dt.date) -> DataFrame:
-    """Expected daily files of every instrument from the last stored date to ``today``."""
-    dates = catch_up_dates(store, today)
+def wanted_files(dates: DataFrame) -> DataFrame:
+    """Expected daily files of every instrument."""
     frames = [
         expected_files(dates, template).withColumn("instrument", F.lit(instrument))
         for instrument, template in fixed.DAILY_FILES.items()
@@ -66,11 +65,13 @@ def refresh_detections(
     ``landing`` is a path with ``{instrument}`` and ``{name}``. All dates are one job.
     Files that have not arrived are skipped and appended to the table ``failures``, but a
     stored partition is not replaced by one that lacks an instrument unless ``force``.
+    A run that dies is repeated by the next: dates count as done once the whole run is.
     """
-    store = read_store(spark, root)
-    newest = store.agg(F.max("year")).first()[0]
+    start = _first_open_date(spark, root)
+    if start is None or start >= today:
+        return
     # A few names per day since the last run.
-    wanted = wanted_files(store.where(F.col("year") == newest), today).collect()
+    wanted = wanted_files(date_range(spark, start, today)).collect()
     arrived: dict[str, list[str]] = {}
     absent: list[tuple] = []
     for file in wanted:
@@ -82,9 +83,26 @@ def refresh_detections(
     if failures and absent:
         sources = spark.createDataFrame(absent, "date date, path string, instrument string, status string")
         record_failures(sources, failures)
-    if not arrived:
-        return
-    frames = [read_instrument(spark, paths, name, schema) for name, paths in arrived.items()]
-    rows = union_detections(*frames).transform(cast_matching, "^bright_", "double")
-    rows = rows.transform(with_timestamps).transform(with_geometry)
-    write_store(rows, root, force=force)
+    if arrived:
+        frames = [read_instrument(spark, paths, name, schema) for name, paths in arrived.items()]
+        rows = union_detections(*frames).transform(cast_matching, "^bright_", "double")
+        write_store(rows.transform(with_timestamps).transform(with_geometry), root, force=force)
+    _mark_done(spark, root, today)
+
+
+def _first_open_date(spark: SparkSession, root: str) -> dt.date | None:
+    """The last stored date, or the end of the last complete run if that is earlier."""
+    store = read_store(spark, root)
+    newest = store.agg(F.max("year")).first()[0]
+    latest = store.where(F.col("year") == newest).agg(F.max("acq_date")).first()[0]
+    if latest is None:
+        return None
+    if path_exists(spark, f"{root}_refreshed"):
+        done = spark.read.schema("date date").parquet(f"{root}_refreshed").agg(F.max("date")).first()[0]
+        return min(latest, done)
+    _mark_done(spark, root, latest)
+    return latest
+
+
+def _mark_done(spark: SparkSession, root: str, date: dt.date) -> None:
+    spark.createDataFrame([(date,)], "date date").write.mode("append").parquet(f"{root}_refreshed")

@@ -279,6 +279,32 @@ def test_refresh_records_files_that_did_not_arrive(spark, tmp_path):
     got = readers.read_store(spark, root)
     assert sorted((r.acq_date.day, r.acq_time, r.acq_timestr) for r in got.collect()) == [(1, "0430", "043000"), (2, "0105", "010509")]
     assert spark.read.parquet(str(tmp_path / "failed")).count() == 7
+    # Nothing is open on the same day; the next run starts from the last stored date again.
+    refresh_detections(spark, root, where, dt.date(2024, 1, 2), failures=str(tmp_path / "none"))
+    assert not session.path_exists(spark, str(tmp_path / "none"))
+    refresh_detections(spark, root, where, dt.date(2024, 1, 4), failures=str(tmp_path / "next"))
+    assert spark.read.parquet(str(tmp_path / "next")).agg(F.min("date")).first()[0] == dt.date(2024, 1, 2)
+
+
+def test_dead_refresh_is_repeated(spark, tmp_path, monkeypatch):
+    root, landing = str(tmp_path / "s"), str(tmp_path / "in")
+    row = (1.0, 2.0, 300.0, 1.0, 1.0, dt.date(2024, 1, 1), "0312", "A", "MODIS", "n", "6.1", 290.0, 5.0, "D", 0.0)
+    df = spark.createDataFrame([row], DETECTION_CSV)
+    sinks.write_store(with_timestamps(df), root)
+    for i in range(4):
+        sinks.write_daily_text(df.drop("instrument").withColumn("acq_date", F.lit(dt.date(2024, 1, 1 + i))), f"{landing}/MODIS", "MODIS_C6_1_Global_MCD14DL_NRT_")
+    where = landing + "/{instrument}/file_key={name}"
+
+    def lose_a_day(rows, target, **k):
+        sinks.write_store(rows.where("mday <> 2"), target, **k)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr("gridlake.plans.detections.write_store", lose_a_day)
+        with pytest.raises(RuntimeError):
+            refresh_detections(spark, root, where, dt.date(2024, 1, 4))
+    refresh_detections(spark, root, where, dt.date(2024, 1, 4))
+    assert sorted(r.acq_date.day for r in readers.read_store(spark, root).collect()) == [1, 2, 3, 4]
 
 
 def test_upsert_reads_and_rewrites_only_touched_chunks(spark, cube, tmp_path):

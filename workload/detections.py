@@ -200,7 +200,7 @@ FROM (SELECT unnest(generate_series((SELECT max(acq_date) FROM det)::TIMESTAMP,
     ('NOAA-20-VIIRS', 'J1_VIIRS_C2_Global_VJ114IMGTDL_NRT_')) AS v(instrument, prefix)""",
 )
 def _(t):
-    return wanted_files(t.det, dt.date(2024, 2, 3))
+    return wanted_files(catch_up_dates(t.det, dt.date(2024, 2, 3)))
 
 
 @query(
