@@ -72,6 +72,7 @@ def nearest_pixels(cells: DataFrame, locations: DataFrame, per_leaf: int = CELLS
     for level in range(1, depth + 1):
         found = _drop_far_boxes(_visit(found, boxes.children(level), "boxes", root=level == 1))
 
+    # At most per_leaf cells in an array.
     leaves = cells.groupBy(*boxes.place(depth)).agg(F.collect_list(F.struct("lat", "lon")).alias("cells"))
 
     def measured(cell: Column) -> Column:
@@ -149,6 +150,7 @@ class _Boxes:
         )
         parent = [F.floor(F.col(i) / FANOUT).alias(i) for i in ("r", "c")]
         box = F.struct("r", "c", "lat0", "lat1", "lon0", "lon1")
+        # At most FANOUT * FANOUT boxes in an array.
         return boxes.groupBy(*parent).agg(F.collect_list(box).alias("boxes"))
 
 

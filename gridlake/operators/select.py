@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake import fixed
+from gridlake.functions.geo import wrap_lon
 from gridlake.functions.positions import axis_index
 from gridlake.model import KEYS, variables
 
@@ -46,6 +47,19 @@ def bbox(df: DataFrame, region: str | tuple[float, float, float, float]) -> Data
     return df.where(F.col("lat").between(lat0, lat1) & F.col("lon").between(lon0, lon1))
 
 
+def wrapped_bbox(df: DataFrame, region: str | tuple[float, float, float, float]) -> DataFrame:
+    """A box in longitudes -180..180 on a cube in longitudes 0..360, which is wrapped.
+
+    The box is stated in the cube's own longitudes first, a little wide, so that it
+    reaches the scan; after wrapping it is applied exactly.
+    """
+    lat0, lat1, lon0, lon1 = fixed.REGIONS[region] if isinstance(region, str) else region
+    east = F.col("lon").between(lon0 - 1e-6, lon1 + 1e-6)
+    west = F.col("lon").between(lon0 + 360 - 1e-6, lon1 + 360 + 1e-6)
+    near = df.where(F.col("lat").between(lat0, lat1) & (east | west))
+    return near.transform(wrap_lon).transform(bbox, region)
+
+
 def time_slice(df: DataFrame, first: dt.date, last: dt.date, time: str = "time") -> DataFrame:
     """Times from the start of ``first`` to the end of ``last``."""
     after = last + dt.timedelta(days=1)

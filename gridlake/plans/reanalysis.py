@@ -8,24 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake import fixed
-from gridlake.functions.geo import wrap_lon
 from gridlake.model import KEYS, copy_attrs, set_attrs, variables
 from gridlake.operators.aggregate import resample_daily, spatial_mean
 from gridlake.operators.energy import energy_flux, melt_rate, previous_value, surface_temperature
 from gridlake.operators.joins import attach
-from gridlake.operators.select import bbox
+from gridlake.operators.select import bbox, wrapped_bbox
 from gridlake.sources.readers import read_cube
 from gridlake.sources.sinks import finished_years, write_missing_years
 
 
 def regional_daily_mean(cube: DataFrame, region: str) -> DataFrame:
     """Daily means over a region, cells weighted equally."""
-    return (
-        cube.transform(wrap_lon)
-        .transform(bbox, region)
-        .transform(resample_daily, "mean")
-        .transform(spatial_mean)
-    )
+    return cube.transform(wrapped_bbox, region).transform(resample_daily, "mean").transform(spatial_mean)
 
 
 def hourly_melt(rad: DataFrame, flx: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridlake import fixed
+from gridlake.functions.geo import wrap_lon
 from gridlake.functions.positions import axis_index
 from gridlake.model import KEYS
 from gridlake.operators import aggregate, energy, joins, quality, select, timeaxis
@@ -34,6 +35,15 @@ def test_bbox_and_variables_reach_the_scan(spark, cube, tmp_path):
     assert "SWGNT" not in plan.split("ReadSchema")[-1]
 
 
+@pytest.mark.parametrize("region", ["GrIS", (0.0, 80.0, -10.0, 20.0), (0.0, 80.0, 170.0, 180.0)])
+def test_wrapped_bbox(spark, tmp_path, region):
+    spark.range(721).selectExpr("id / 2 AS lon", "60D AS lat").write.parquet(str(tmp_path / "c"))
+    df = spark.read.parquet(str(tmp_path / "c"))
+    got = select.wrapped_bbox(df, region)
+    assert rows(got) == rows(select.bbox(wrap_lon(df), region)) and got.count() > 0
+    assert "Or(" in got._jdf.queryExecution().toString().split("PushedFilters")[1]
+
+
 def test_time_slice_covers_the_last_day(spark, cube):
     got = select.time_slice(cube, dt.date(2021, 12, 31), dt.date(2021, 12, 31))
     assert got.agg(F.min("time"), F.max("time")).first() == (at("2021-12-31"), at("2021-12-31T23:00"))

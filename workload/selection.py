@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from gridlake import model
-from gridlake.functions.geo import wrap_lon
 from gridlake.operators.aggregate import resample_daily
 from gridlake.operators.axes import blank_steps
 from gridlake.operators import select as s
@@ -55,7 +54,7 @@ WHERE lat BETWEEN 55 AND 90 AND (CASE WHEN lon > 180 THEN lon - 360 ELSE lon END
     _ALL,
 )
 def _(t):
-    return t.cube.transform(wrap_lon).transform(s.bbox, "GrIS")
+    return t.cube.transform(s.wrapped_bbox, "GrIS")
 
 
 @query("p6_time_slice", "SELECT * FROM cube WHERE CAST(time AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'", _ALL)
