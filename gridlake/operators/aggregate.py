@@ -22,8 +22,9 @@ def resample_daily(
     """Daily mean, or daily sum times ``factor``, of every variable.
 
     A mean over no value is missing and a sum over no value is 0. ``factor`` is the
-    seconds of a step where rates per second are summed. With ``fill_gaps``, days
-    without rows between a cell's first and last day come back as missing.
+    seconds of a step where rates per second are summed. With ``fill_gaps``, every cell
+    has every day between the first and the last of the cube: days without rows are
+    missing, or 0 for a sum.
     """
     names = names or variables(cube)
     if how == "mean":
@@ -36,14 +37,19 @@ def resample_daily(
     keys = [k for k in cube.columns if k in COORDINATES[1:6]]
     out = cube.groupBy(day, *keys).agg(*[e.alias(v) for v, e in daily.items()])
     out = copy_attrs(cube, out)
-    return _fill_days(out, keys) if fill_gaps else out
-
-
-def _fill_days(daily: DataFrame, keys: list[str]) -> DataFrame:
-    one_day = F.expr("interval 1 day")
-    spans = daily.groupBy(*keys).agg(F.min("time").alias("_first"), F.max("time").alias("_last"))
-    days = F.explode(F.sequence("_first", "_last", one_day)).alias("time")
-    spine = spread_out(spans, *keys).select(*keys, days)
+    if not fill_gaps:
+        return out
+    filled = _fill_days(cube, out, keys)
+    return filled.fillna(0.0, names) if how == "sum" else filled
+
+
+def _fill_days(cube: DataFrame, daily: DataFrame, keys: list[str]) -> DataFrame:
+    first, last = cube.agg(F.to_date(F.min("time")), F.to_date(F.max("time"))).first()
+    if first is None:
+        return daily
+    days = F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 day"))
+    cells = spread_out(cube.select(*keys).distinct(), *keys)
+    spine = cells.select(*keys, F.explode(days).alias("time")).withColumn("time", to_ntz(F.col("time")))
     return spine.join(daily, ["time", *keys], "left").select(*daily.columns)
 
 

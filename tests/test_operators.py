@@ -152,6 +152,18 @@ def test_sum_of_missing_day_is_zero_and_mean_is_missing(spark):
     assert aggregate.resample_daily(df, "mean").first().v is None
 
 
+def test_filled_days(spark):
+    hours = ["2020-01-01T05:00", "2020-01-04T05:00"]
+    df = spark.createDataFrame(
+        [(at(hours[0]), 1.0, 1.0, 2.0), (at(hours[1]), 1.0, 1.0, 4.0), (at(hours[1]), 2.0, 1.0, 6.0)],
+        "time timestamp_ntz, lat double, lon double, v double",
+    )
+    mean = aggregate.resample_daily(df, "mean", fill_gaps=True)
+    total = aggregate.resample_daily(df, "sum", 10, fill_gaps=True)
+    assert [r[1:] for r in rows(mean.select("time", "lat", "v"))] == [(1.0, 2.0), (2.0, None)] + [(1.0, None), (2.0, None)] * 2 + [(1.0, 4.0), (2.0, 6.0)]
+    assert [r.v for r in total.orderBy("time", "lat").collect()] == [20.0, 0.0, 0.0, 0.0, 0.0, 0.0, 40.0, 60.0]
+
+
 def test_year_mean_needs_twelve_months(spark):
     data = [(at(f"2020-{m:02d}-01"), 1.0, 1.0, float(m)) for m in range(1, 13)]
     data += [(at(f"2020-{m:02d}-01"), 2.0, 1.0, None if m == 5 else float(m)) for m in range(1, 13)]

@@ -38,7 +38,8 @@ def _(t):
 @query(
     "a1_daily_mean_filled",
     f"""WITH d AS (SELECT {_DAY}, lat, lon, avg(TS) AS TS FROM cube GROUP BY ALL),
-s AS (SELECT lat, lon, unnest(generate_series(min(time), max(time), INTERVAL 1 DAY)) AS time FROM d GROUP BY 1, 2)
+s AS (SELECT lat, lon, time FROM (SELECT DISTINCT lat, lon FROM d),
+  (SELECT unnest(generate_series(min(time), max(time), INTERVAL 1 DAY)) AS time FROM d))
 SELECT time, lat, lon, TS FROM s LEFT JOIN d USING (time, lat, lon)""",
     "TS",
 )
