@@ -39,7 +39,12 @@ def test_csv_with_another_layout_is_refused(spark, tmp_path):
 
 
 def test_read_store_prunes(spark, tmp_path):
-    df = spark.range(60).selectExpr("date_add(DATE '2023-12-20', CAST(id AS INT)) AS acq_date", "'0312' AS acq_time", "'6.1' AS version", "'MODIS' AS instrument")
+    df = spark.range(60).selectExpr(
+        "date_add(DATE '2023-12-20', CAST(id AS INT)) AS acq_date",
+        "'0312' AS acq_time",
+        "'6.1' AS version",
+        "'MODIS' AS instrument",
+    )
     root = str(tmp_path / "s")
     sinks.write_store(with_timestamps(df), root)
     got = readers.read_store(spark, root, since=dt.date(2024, 1, 5), until=dt.date(2024, 1, 9))
@@ -292,7 +297,8 @@ def test_dead_refresh_is_repeated(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([row], DETECTION_CSV)
     sinks.write_store(with_timestamps(df), root)
     for i in range(4):
-        sinks.write_daily_text(df.drop("instrument").withColumn("acq_date", F.lit(dt.date(2024, 1, 1 + i))), f"{landing}/MODIS", "MODIS_C6_1_Global_MCD14DL_NRT_")
+        day = df.drop("instrument").withColumn("acq_date", F.lit(dt.date(2024, 1, 1 + i)))
+        sinks.write_daily_text(day, f"{landing}/MODIS", fixed.DAILY_FILES["MODIS"].split("%")[0])
     where = landing + "/{instrument}/file_key={name}"
 
     def lose_a_day(rows, target, **k):
