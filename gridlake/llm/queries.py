@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import mixing, packed_ids, packing, pii
+from gridlake.llm import embeddings, minhash, mixing, packed_ids, packing, pii
 from gridlake.llm.common import stored
 
 
@@ -24,6 +24,28 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"), by="byte", end_id=1)
 
 
+def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.95 and more between all embeddings."""
+    return embeddings.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP2_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[64]) AS e FROM embeddings),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
+    ON a.vec_id != b.vec_id AND array_cosine_similarity(a.e, b.e) >= 0.95),
+r(a, c) AS (SELECT vec_id, vec_id FROM v UNION SELECT p.b, r.c FROM r JOIN p ON p.a = r.a),
+c AS (SELECT a AS vec_id, min(c) AS component_id FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n FROM p GROUP BY a)
+SELECT c.vec_id, coalesce(n.n, 0) AS n_links, component_id, c.vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents that share at least 0.8 of their runs of five words."""
+    return minhash.classes(_documents(spark, sf_dir))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids written to packed files and read back."""
     return packed_ids.token_files(
@@ -76,8 +98,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_embedding_links": op2_embedding_links,
+    "op6_minhash": op6_minhash,
     "op8_token_files": op8_token_files,
     "op9_mixing": op9_mixing,
     "op10_pii": op10_pii,
 }
-ORACLES = {"op9_mixing": OP9_SQL}
+ORACLES = {"op2_embedding_links": OP2_SQL, "op9_mixing": OP9_SQL}
