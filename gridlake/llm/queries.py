@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import embeddings, minhash, mixing, packed_ids, packing, pii
+from gridlake.llm import embeddings, minhash, mixing, packed_ids, packing, pii, quality, search, suffixes, toxicity
 from gridlake.llm.common import stored
 
 
@@ -41,11 +41,49 @@ FROM c LEFT JOIN n USING (vec_id)
 """
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of toxicity of every document; a grade of 1 is toxic."""
+    docs = _documents(spark, sf_dir)
+    return toxicity.graded(docs, toxicity.fitted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a document is good."""
+    return quality.judged(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated strings of 200 bytes."""
+    return suffixes.digest(suffixes.without_repeats(_documents(spark, sf_dir)))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents that share at least 0.8 of their runs of five words."""
     return minhash.classes(_documents(spark, sf_dir))
 
 
+def op7_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item whose id is divisible by 20."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("item_id % 20 = 0")
+    return search.top_k(_documents(spark, sf_dir), items, k=10, query_id="item_id")
+
+
+OP7_SQL = r"""
+WITH q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+    FROM benchmark WHERE item_id % 20 = 0),
+w AS (SELECT rowid AS row, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+    FROM (SELECT row_number() OVER () AS rowid, * FROM documents)),
+n AS (SELECT count(*) AS docs, sum(len(words)) / count(*) AS mean FROM w),
+t AS (SELECT row, doc_id, len(words) AS length, unnest(words) AS term FROM w),
+p AS (SELECT row, doc_id, length, term, count(*) AS tf FROM t SEMI JOIN q USING (term) GROUP BY ALL),
+d AS (SELECT term, ln(1 + (max(docs) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM p, n GROUP BY term),
+s AS (SELECT item_id, row, doc_id, round(sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))), 6) AS score
+    FROM q JOIN p USING (term) JOIN d USING (term), n GROUP BY item_id, row, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+FROM s QUALIFY rank <= 10
+"""
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids written to packed files and read back."""
     return packed_ids.token_files(
@@ -99,9 +137,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_embedding_links": op2_embedding_links,
+    "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
+    "op5_repeats": op5_repeats,
     "op6_minhash": op6_minhash,
+    "op7_search": op7_search,
     "op8_token_files": op8_token_files,
     "op9_mixing": op9_mixing,
     "op10_pii": op10_pii,
 }
-ORACLES = {"op2_embedding_links": OP2_SQL, "op9_mixing": OP9_SQL}
+ORACLES = {"op2_embedding_links": OP2_SQL, "op7_search": OP7_SQL, "op9_mixing": OP9_SQL}

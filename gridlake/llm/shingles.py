@@ -38,13 +38,24 @@ def _power(base: int, n: int) -> np.ndarray:
     return have[: n + 1]
 
 
-def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of the bytes of each range; equal bytes have equal hashes wherever they stand."""
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of all beginnings of ``data``."""
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data))[:-1], out=total[1:])
+    return total
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
+    """A hash of the bytes of each range; equal bytes have equal hashes wherever they stand."""
+    total = prefix_sums(data) if total is None else total
     return mixed((total[end] - total[start]) * _power(_INVERSE, len(data))[start] + (end - start).astype(np.uint64))
 
 
+def gram_hashes(data: np.ndarray, n: int, total: np.ndarray) -> np.ndarray:
+    """The hash of the ``n`` bytes from each position on."""
+    return mixed((total[n:] - total[:-n]) * _power(_INVERSE, len(data))[: len(data) - n + 1])
+
+
 def batches(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Bounds of batches of texts of about ``BATCH_BYTES`` characters."""
     lo, size = 0, 0
