@@ -9,7 +9,8 @@ from gridlake.llm import embeddings, minhash, mixing, packed_ids, packing, pii,
 from gridlake.llm.common import stored
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
+    """The path of a public vocabulary file."""
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -21,7 +22,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 2048 ids, each source served by its share of all ids."""
-    return packing.pack(_documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"), by="byte", end_id=1)
+    return packing.pack(_documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), by="byte", end_id=1)
 
 
 def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +88,7 @@ FROM s QUALIFY rank <= 10
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids written to packed files and read back."""
     return packed_ids.token_files(
-        _documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), by="word", end_id=2, vocabulary=49_408
+        _documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), by="word", end_id=2, vocabulary=49_408
     )
 
 
