@@ -8,10 +8,9 @@ left are pieces with a key in common and different bytes: these collections are
 column-wise construction of :mod:`gridlake.llm.bwt`, and a string repeats if its suffix shares
 ``MATCH`` bytes with a neighbour.
 
-Pieces with a key in common are cut again with longer runs before they are sorted, which leaves out
-what has no counterpart. A key with more than ``MOST_PIECES`` different pieces (a passage that
-thousands of documents share has one at either end) is not given to one task: its pieces are cut once
-more, up to a whole string, where the key alone decides; so every string is compared, whatever the
+A key with more than ``MOST_PIECES`` different pieces (a passage that
+thousands of documents share has one at either end) is not given to one task: its pieces are cut
+again with longer runs, up to a whole string, where the key alone decides; so every string is compared, whatever the
 size of its group.
 """
 
@@ -30,8 +29,7 @@ from gridlake.llm.common import null_to_empty, stored, whole_groups
 from gridlake.llm.shingles import BATCH_BYTES, gram_hashes, prefix_sums, range_hashes
 
 MATCH = 200
-GRAMS = (64, 150, 184, 200)  # bytes, of one cut after the other
-SORTED_FROM = 150
+GRAMS = (64, 128, 176, 200)  # bytes, of one cut after the other
 LONGEST = 200  # strings in a piece
 MOST_PIECES = 256
 COLLECTION = 1000  # pieces that are sorted together
@@ -79,7 +77,7 @@ def pieces(texts: list[bytes], grams: int) -> tuple[np.ndarray, ...]:
     return text, within, count, key[head].view(np.int64), content.view(np.int64), own
 
 
-def _cut(items: DataFrame, grams: int) -> DataFrame:
+def _cut(items: DataFrame, grams: int, packed: bool) -> DataFrame:
     """``key, content, uid, item, lo, n, own`` of the pieces of ``uid, item, data``."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,7 +86,8 @@ def _cut(items: DataFrame, grams: int) -> DataFrame:
             while lo < len(frame):
                 texts, size = [], 0
                 while lo + len(texts) < len(frame) and size < BATCH_BYTES:
-                    texts.append(_plain(frame["data"].iat[lo + len(texts)]))
+                    data = frame["data"].iat[lo + len(texts)]
+                    texts.append(_plain(data) if packed else data)
                     size += len(texts[-1])
                 text, start, count, key, content, own = pieces(texts, grams)
                 item = frame["item"].to_numpy()[lo + text]
@@ -129,11 +128,11 @@ def repeats(items: DataFrame) -> DataFrame:
     """``uid, lo, hi``: ranges of starts of strings of ``MATCH`` bytes that also start elsewhere.
 
     ``items`` are stored rows ``uid, item, data``: compressed bytes that begin at place ``item`` of
-    text ``uid``.
+    text ``uid``; the bytes of later cuts are not compressed.
     """
     covers = []
     for grams in GRAMS:
-        cut = stored(_cut(items, grams), "pieces")
+        cut = stored(_cut(items, grams, grams == GRAMS[0]), "pieces")
         met = cut.groupBy("key").agg(F.count("*").alias("_n"), F.max("own").alias("_own"))
         met = met.where("_n > 1 OR _own").select("key")
         cut = stored(cut.join(met, "key", "left_semi"), "pieces-met")
@@ -145,11 +144,8 @@ def repeats(items: DataFrame) -> DataFrame:
         kinds = same.groupBy("key").agg(F.count("*").alias("kinds"), F.max("own").alias("_own"))
         kinds = kinds.where("kinds > 1 OR _own").drop("_own")
         wanted = same.join(kinds, "key").select("key", "kinds", "n", "first.uid", "first.item", "first.lo")
-        wanted = wanted.groupBy("uid", "item").agg(F.collect_list(F.struct("key", "kinds", "lo", "n")).alias("wanted"))
-        read = stored(_sliced(items.join(wanted, ["uid", "item"])), "piece-bytes")
-        if grams < SORTED_FROM:
-            items = read.select("uid", F.col("lo").alias("item"), "data")
-            continue
+        wanted = wanted.groupBy("uid", "item").agg(F.collect_list(F.array("key", "kinds", "lo", F.col("n").cast("long"))).alias("wanted"))
+        read = stored(_sliced(items.join(wanted, ["uid", "item"]), grams == GRAMS[0]), "piece-bytes")
         small = read.where(F.col("kinds") <= MOST_PIECES).drop("kinds")
         covers.append(stored(_sorted(small.repartition("key").sortWithinPartitions("key")), "repeats"))
         items = read.where(F.col("kinds") > MOST_PIECES).select("uid", F.col("lo").alias("item"), "data")
@@ -158,15 +154,15 @@ def repeats(items: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, covers)
 
 
-def _sliced(items: DataFrame) -> DataFrame:
+def _sliced(items: DataFrame, packed: bool) -> DataFrame:
     def sliced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            out = []
             for uid, item, data, wanted in zip(frame["uid"], frame["item"], frame["data"], frame["wanted"], strict=True):
-                whole = _plain(data)
-                yield pd.DataFrame(
-                    [(w["key"], w["kinds"], uid, w["lo"], _packed(whole[w["lo"] - item : w["lo"] - item + w["n"] + MATCH - 1])) for w in wanted],
-                    columns=["key", "kinds", "uid", "lo", "data"],
-                )
+                whole = _plain(data) if packed else data
+                for key, kinds, lo, n in wanted:
+                    out.append((key, kinds, uid, lo, whole[lo - item : lo - item + n + MATCH - 1]))
+            yield pd.DataFrame(out, columns=["key", "kinds", "uid", "lo", "data"])
 
     return items.mapInPandas(sliced, "key long, kinds long, uid long, lo long, data binary")
 
@@ -182,7 +178,7 @@ def _sorted(read: DataFrame) -> DataFrame:
             while lo < len(frame):  # whole keys, as many as make a collection
                 hi = int(bounds[max(np.searchsorted(bounds, lo + COLLECTION, "right") - 1, np.searchsorted(bounds, lo, "right"))])
                 part = frame.iloc[lo:hi]
-                string, start = repeated_starts([_plain(d) for d in part["data"]], MATCH)
+                string, start = repeated_starts(list(part["data"]), MATCH)
                 new = np.ones(len(string), bool)
                 new[1:] = (string[1:] != string[:-1]) | (start[1:] != start[:-1] + 1)
                 head = np.flatnonzero(new)
