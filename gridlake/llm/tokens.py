@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 
-CACHED_PIECES = 400_000  # pieces that one Python worker remembers
+CACHED_PIECES = 400_000  # of each of two generations that one Python worker remembers
 LONGEST_PIECE = 64  # characters; longer pieces are encoded anew each time
 
 _GAP = re.compile(r"\s\n|\n\s|  ")
@@ -46,16 +46,20 @@ class Encoder:
 
 
 class _Known(dict):
+    """Pieces seen since the last generation began; those of the one before are taken over when met."""
+
     def __init__(self, encode):
-        self.encode = encode
+        self.encode, self.before = encode, {}
         self[""] = b""
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.encode(piece)
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
         if len(piece) <= LONGEST_PIECE:
             if len(self) >= CACHED_PIECES:
+                self.before = dict(self)
                 self.clear()
-                self[""] = b""
             self[piece] = ids
         return ids
 
