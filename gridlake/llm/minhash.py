@@ -6,11 +6,13 @@ shingle that came first, and a shingle stops as soon as its next arrival is late
 of its document. Two documents agree in a register with the probability Jaccard similarity of their
 weighted shingles. Documents that agree in all registers of a band share a bucket.
 
-Within a bucket all members are first compared to one centre, so a group of many copies costs as
-many comparisons as it has members. Members that the links so far do not join to the bucket's
-largest class are then compared to all members of other classes. So every pair of a bucket is either
-compared or already in one class, and no link between classes is lost. A comparison counts the
-shingles of both whole texts: the similarity is the Jaccard index of the sets of shingles.
+Within a bucket all members are first compared to one centre, the member that meets the most others
+over all buckets, so a group of many copies costs as many comparisons as it has members. Members that
+the links so far do not join to the bucket's largest class are then compared to all members of other
+classes, in blocks of at most ``TILE`` signatures. So every pair of a bucket is either compared or already
+in one class, and no link between classes is lost. Pairs that agree in fewer than ``PLAUSIBLE`` of
+their registers end there; all others are verified by the shingles of both whole texts: the
+similarity is the Jaccard index of the sets of shingles.
 """
 
 from __future__ import annotations
@@ -22,11 +24,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import components, null_to_empty, stored
+from gridlake.llm.common import components, stored, whole_groups
 from gridlake.llm.shingles import batches, mixed, shingles
 
 BANDS, ROWS = 26, 5  # a pair of similarity 0.8 is missed in 1 of 30,000 cases
 THRESHOLD = 0.8
+REGISTERS = 2 * BANDS * ROWS  # the first half makes the bands, all of them estimate similarities
+PLAUSIBLE = 0.7  # of the registers; a pair of similarity 0.8 agrees in fewer in 1 of 30,000 cases
+TILE = 1024
 ROWS_AT_ONCE = 2000
 
 
@@ -50,16 +55,17 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, docs: i
     return who.reshape(docs, registers)
 
 
-def band_hashes(texts: list[str], bands: int = BANDS, rows: int = ROWS) -> Iterator[tuple[int, int, np.ndarray]]:
-    """``lo, hi, hashes`` for batches of texts; a row of zeros for a text without words."""
+def band_hashes(texts: list[str], bands: int = BANDS, rows: int = ROWS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``lo, hi, hashes, registers`` for batches of texts; hashes of 0 for a text without words, and
+    16 bits of each register."""
     for lo, hi in batches(texts):
         doc, shingle, count = shingles(texts[lo:hi])
-        who = signatures(doc, shingle, 1.0 + np.log(count), hi - lo, bands * rows)
+        who = signatures(doc, shingle, 1.0 + np.log(count), hi - lo, REGISTERS)
         factors = mixed(np.arange(1, rows + 1)) | np.uint64(1)
-        sums = (who.reshape(hi - lo, bands, rows) * factors).sum(axis=2, dtype=np.uint64)
+        sums = (who[:, : bands * rows].reshape(hi - lo, bands, rows) * factors).sum(axis=2, dtype=np.uint64)
         out = mixed(sums + mixed(np.arange(1, bands + 1) + 1000))
         out[np.bincount(doc, minlength=hi - lo) == 0] = 0
-        yield lo, hi, out
+        yield lo, hi, out, (who >> np.uint64(48)).astype(np.uint16)
 
 
 def jaccard(left: list[str], right: list[str]) -> np.ndarray:
@@ -78,8 +84,8 @@ def jaccard(left: list[str], right: list[str]) -> np.ndarray:
     return out
 
 
-def buckets(texts: DataFrame) -> DataFrame:
-    """``bucket, node``: the band hashes of each text; none for a text without words."""
+def sketches(texts: DataFrame) -> DataFrame:
+    """``node, buckets, registers`` of each text with words; equal texts of different tasks repeat."""
 
     def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -87,19 +93,79 @@ def buckets(texts: DataFrame) -> DataFrame:
             for at in range(0, len(frame), ROWS_AT_ONCE):
                 part = frame.iloc[at : at + ROWS_AT_ONCE]
                 nodes = part["node"].to_numpy()
-                for lo, hi, found in band_hashes(list(part["text"])):
+                for lo, hi, found, registers in band_hashes(list(part["text"])):
                     some = np.flatnonzero((found != 0).any(axis=1))
                     yield pd.DataFrame(
-                        {"bucket": found[some].view(np.int64).ravel(), "node": np.repeat(nodes[lo:hi][some], found.shape[1])}
+                        {
+                            "node": nodes[lo:hi][some],
+                            "buckets": list(found[some].view(np.int64)),
+                            "registers": [r.tobytes() for r in registers[some]],
+                        }
                     )
 
-    return texts.mapInPandas(sketched, "bucket long, node binary")
+    return texts.mapInPandas(sketched, "node binary, buckets array<long>, registers binary")
+
+
+def _agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left == right).mean(axis=-1) >= PLAUSIBLE
+
+
+def plausible(pairs: DataFrame, registers: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose registers agree often enough."""
+    left = registers.select(F.col("node").alias("a"), F.col("registers").alias("left"))
+    right = registers.select(F.col("node").alias("b"), F.col("registers").alias("right"))
+
+    def kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                both = [np.frombuffer(b"".join(frame[c]), np.uint16).reshape(len(frame), -1) for c in ("left", "right")]
+                yield frame.loc[_agreeing(*both), ["a", "b"]]
+
+    return pairs.join(left, "a").join(right, "b").mapInPandas(kept, "a binary, b binary")
+
+
+def across(mixed_: DataFrame, registers: DataFrame) -> DataFrame:
+    """Plausible pairs ``a, b`` of different classes within the buckets of ``bucket, node, root, main``.
+
+    At least one of a pair is outside the bucket's main class. A bucket is dealt into slots, and each
+    pair of slots is a block of its own.
+    """
+    sizes = mixed_.groupBy("bucket").agg(F.ceil(F.count("*") / TILE).alias("slots"))
+    rows = mixed_.join(sizes, "bucket").withColumn("slot", F.pmod(F.xxhash64("node", "bucket"), F.col("slots")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)))
+    cell = F.xxhash64("bucket", F.least("slot", "other"), F.greatest("slot", "other"))
+    rows = rows.select("node", "bucket", F.xxhash64("root").alias("root"), (F.col("root") == F.col("main")).alias("inner"), "slot", (F.col("slot") == F.col("other")).alias("own"), cell.alias("cell"))
+    rows = rows.join(registers, "node").repartition("cell").sortWithinPartitions("cell")
+
+    def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_groups(frames, "cell"):
+            cells = frame["cell"].to_numpy()
+            head = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
+            for lo, hi in zip(head, np.append(head[1:], len(frame)), strict=True):
+                part = frame.iloc[lo:hi]
+                register = np.frombuffer(b"".join(part["registers"]), np.uint16).reshape(hi - lo, -1)
+                node, root, slot, inner, own = (part[c].to_numpy() for c in ("node", "root", "slot", "inner", "own"))
+                for x in np.flatnonzero(~inner):
+                    may = root != root[x]
+                    may &= inner | (np.arange(hi - lo) > x)  # two outsiders meet once
+                    if not own[0]:
+                        may &= slot != slot[x]
+                    y = np.flatnonzero(may)
+                    y = y[_agreeing(register[y], register[x])] if len(y) else y
+                    if len(y):
+                        yield pd.DataFrame({"a": [max(node[x], node[i]) for i in y], "b": [min(node[x], node[i]) for i in y]})
+
+    return rows.mapInPandas(compared, "a binary, b binary").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose texts are at least ``threshold`` alike."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
+    """The pairs ``a, b`` whose texts are at least ``threshold`` alike; only their texts are shuffled."""
+    pairs = stored(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    read = texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    read = stored(read, "texts")
+    left = read.select(F.col("node").alias("a"), F.col("text").alias("left"))
+    right = read.select(F.col("node").alias("b"), F.col("text").alias("right"))
 
     def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -122,26 +188,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     whole = F.coalesce(F.col(text), F.lit(""))
     node = F.unhex(F.md5(whole))
     texts = docs.select(node.alias("node"), whole.alias("text"))
-    rows = stored(buckets(texts), "buckets")
-    span = rows.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("_max"))
-    span = span.where("centre != _max").drop("_max")
-    members = stored(rows.join(span, "bucket").distinct(), "members")
-    star = stored(members.where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "star")
-    involved = star.select("a").union(star.select("b")).distinct().withColumnRenamed("a", "node")
-    read = stored(texts.join(involved, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
-    links = stored(verified(star, read, threshold), "links")
+    sketch = stored(sketches(texts), "sketches")
+    rows = sketch.select("node", F.explode("buckets").alias("bucket"))
+    span = rows.groupBy("bucket").agg(F.min("node").alias("_min"), F.max("node").alias("_max")).where("_min != _max")
+    members = stored(rows.join(span.select("bucket"), "bucket", "left_semi").distinct(), "members")
+    met = members.join(members.groupBy("bucket").agg(F.count("*").alias("n")), "bucket")
+    mass = met.groupBy("node").agg(F.sum("n").alias("mass"))
+    heavy = members.join(mass, "node").groupBy("bucket").agg(F.max_by("node", F.struct("mass", "node")).alias("centre"))
+    centred = members.join(heavy, "bucket").where("node != centre")
+    star = centred.select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
+    registers = sketch.select("node", "registers").join(mass.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    registers = stored(registers, "registers")
+    links = stored(verified(plausible(star, registers), texts, threshold), "links")
     roots = components(links)
 
     inside = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     counts = inside.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("classes"))
     mixed_ = stored(inside.join(main.where("classes > 1").drop("classes"), "bucket"), "mixed")
-    out = mixed_.where("root != main").select("bucket", F.col("node").alias("x"), F.col("root").alias("xr"))
-    other = mixed_.select("bucket", F.col("node").alias("y"), F.col("root").alias("yr"))
-    rest = out.join(other, "bucket").where("xr != yr")
-    rest = rest.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-    rest = stored(rest.join(star, ["a", "b"], "left_anti"), "rest")
-    more = stored(verified(rest, read, threshold), "links")
+    more = stored(verified(across(mixed_, registers), texts, threshold), "links")
     if not more.isEmpty():
         roots = components(links.union(more))
     named = docs.select(*[c for c in docs.columns if c != "class_key"], node.alias("_node"), (F.trim(whole) == "").alias("_blank"))
