@@ -1,23 +1,29 @@
-"""Token ids of whole texts with the tokenizers library; what repeats between white space is encoded once."""
+"""Token ids of whole texts with the tokenizers library; a word that comes again is encoded once."""
 
 from __future__ import annotations
 
 import os
 import re
 
-CACHED_PIECES = 400_000  # of each of two generations that one Python worker remembers
+CACHED_PIECES = 500_000  # of each of two generations that one Python worker remembers
 LONGEST_PIECE = 64  # characters; longer pieces are encoded anew each time
 
-_GAP = re.compile(r"\s\n|\n\s|  ")
+# Texts of these characters are cut here as the library cuts them; all others go to it whole.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+_PLAIN = re.compile(f"[\t\n\r -~\u00a1\u00ab\u00bb\u00bf{_LETTERS}]*")
+_SPACE = re.compile(r"\s")
+#: How the two vocabularies cut a text into words, in the order in which they try.
+_PIECES = {
+    "byte": re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s0-9{_LETTERS}]+|\\s+(?!\\S)|\\s+"),
+    "word": re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s0-9{_LETTERS}]+"),
+}
 
 
 class Encoder:
     """``encode(text)``: the ids as bytes, little-endian unsigned 32-bit.
 
-    ``by`` says where a text can be cut so that its pieces encode alone as they do together:
-    ``"word"`` for a vocabulary that drops white space (cut at every blank and line end), ``"byte"``
-    for a byte-level one, where a blank belongs to the word after it and runs of white space to each
-    other; a text with such runs goes to the library whole.
+    ``by`` says how the vocabulary cuts a text: ``"word"`` for one in lower case that drops white
+    space, ``"byte"`` for a byte-level one, where a blank belongs to the word after it.
     """
 
     def __init__(self, path: str, by: str):
@@ -25,7 +31,7 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        self.by = by
+        self.by, self.cut = by, _PIECES[by].findall
         self.known = _Known(self.whole)
 
     def whole(self, text: str) -> bytes:
@@ -34,32 +40,63 @@ class Encoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if self.by == "word":
-            pieces = text.replace("\n", " ").split(" ")
-        elif _GAP.search(text) or "\x01" in text or "<|" in text:
+        if "<|" in text or not _PLAIN.fullmatch(text):
             return self.whole(text)
-        else:
-            pieces = text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01")
-        if self.by == "word" and "<|" in text:
-            return self.whole(text)
-        return b"".join(map(self.known.__getitem__, pieces))
+        pieces = self.cut(text.lower() if self.by == "word" else text)
+        known = self.known
+        if new := [p for p in pieces if p not in known]:
+            self.learn(dict.fromkeys(new))
+        return b"".join(map(known.__getitem__, pieces))
+
+    def learn(self, new) -> None:
+        """Encode pieces together, each where the library starts a new word, and remember them."""
+        import numpy as np
+
+        if len(self.known) + len(new) > CACHED_PIECES:
+            self.known.turn_over()
+        known, text, ends, sought = self.known, [], [], []
+        at = 0
+        for piece in new:
+            if (ids := known.before.get(piece)) is not None:
+                known[piece] = ids
+            elif len(piece) <= LONGEST_PIECE and not _SPACE.search(piece, 1):
+                if self.by == "word" or piece[0] != " ":
+                    if piece[0].isspace():
+                        continue  # white space alone
+                    text.append("\n")
+                    at += 1
+                elif len(piece) == 1:
+                    continue
+                text.append(piece)
+                sought.append(piece)
+                ends.append((at, at + len(piece)))
+                at += len(piece)
+        if not sought:
+            return
+        found = self.library.encode("".join(text), add_special_tokens=False)
+        start = np.array([o[0] for o in found.offsets])
+        lo, hi = np.searchsorted(start, np.array(ends).T)
+        ids = np.array(found.ids, "<u4").tobytes()
+        for piece, a, b in zip(sought, (4 * lo).tolist(), (4 * hi).tolist(), strict=True):
+            known[piece] = ids[a:b]
 
 
 class _Known(dict):
-    """Pieces seen since the last generation began; those of the one before are taken over when met."""
+    """Pieces seen since the last generation began; those of the one before are taken over when met.
+    A piece in neither is encoded alone."""
 
     def __init__(self, encode):
         self.encode, self.before = encode, {}
         self[""] = b""
 
+    def turn_over(self) -> None:
+        self.before = dict(self)
+        self.clear()
+        self[""] = b""
+
     def __missing__(self, piece: str) -> bytes:
-        ids = self.before.get(piece)
-        if ids is None:
-            ids = self.encode(piece)
-        if len(piece) <= LONGEST_PIECE:
-            if len(self) >= CACHED_PIECES:
-                self.before = dict(self)
-                self.clear()
+        ids = self.encode(piece)
+        if len(piece) <= LONGEST_PIECE and len(self) < 2 * CACHED_PIECES:
             self[piece] = ids
         return ids
 
