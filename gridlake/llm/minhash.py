@@ -57,7 +57,7 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, docs: i
 
 def band_hashes(texts: list[str], bands: int = BANDS, rows: int = ROWS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``lo, hi, hashes, registers`` for batches of texts; hashes of 0 for a text without words, and
-    16 bits of each register."""
+    8 bits of each register."""
     for lo, hi in batches(texts):
         doc, shingle, count = shingles(texts[lo:hi])
         who = signatures(doc, shingle, 1.0 + np.log(count), hi - lo, REGISTERS)
@@ -65,7 +65,7 @@ def band_hashes(texts: list[str], bands: int = BANDS, rows: int = ROWS) -> Itera
         sums = (who[:, : bands * rows].reshape(hi - lo, bands, rows) * factors).sum(axis=2, dtype=np.uint64)
         out = mixed(sums + mixed(np.arange(1, bands + 1) + 1000))
         out[np.bincount(doc, minlength=hi - lo) == 0] = 0
-        yield lo, hi, out, (who >> np.uint64(48)).astype(np.uint16)
+        yield lo, hi, out, (who >> np.uint64(56)).astype(np.uint8)
 
 
 def jaccard(left: list[str], right: list[str]) -> np.ndarray:
@@ -118,14 +118,14 @@ def plausible(pairs: DataFrame, registers: DataFrame) -> DataFrame:
     def kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                both = [np.frombuffer(b"".join(frame[c]), np.uint16).reshape(len(frame), -1) for c in ("left", "right")]
+                both = [np.frombuffer(b"".join(frame[c]), np.uint8).reshape(len(frame), -1) for c in ("left", "right")]
                 yield frame.loc[_agreeing(*both), ["a", "b"]]
 
     return pairs.join(left, "a").join(right, "b").mapInPandas(kept, "a binary, b binary")
 
 
 def across(mixed_: DataFrame, registers: DataFrame) -> DataFrame:
-    """Plausible pairs ``a, b`` of different classes within the buckets of ``bucket, node, root, main``.
+    """Plausible pairs ``a, b`` of different classes within the buckets of ``bucket, band, node, root, main``.
 
     At least one of a pair is outside the bucket's main class. A bucket is dealt into slots, and each
     pair of slots is a block of its own.
@@ -134,7 +134,7 @@ def across(mixed_: DataFrame, registers: DataFrame) -> DataFrame:
     rows = mixed_.join(sizes, "bucket").withColumn("slot", F.pmod(F.xxhash64("node", "bucket"), F.col("slots")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)))
     cell = F.xxhash64("bucket", F.least("slot", "other"), F.greatest("slot", "other"))
-    rows = rows.select("node", "bucket", F.xxhash64("root").alias("root"), (F.col("root") == F.col("main")).alias("inner"), "slot", (F.col("slot") == F.col("other")).alias("own"), cell.alias("cell"))
+    rows = rows.select("node", "band", F.xxhash64("root").alias("root"), (F.col("root") == F.col("main")).alias("inner"), "slot", (F.col("slot") == F.col("other")).alias("own"), cell.alias("cell"))
     rows = rows.join(registers, "node").repartition("cell").sortWithinPartitions("cell")
 
     def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,8 +143,9 @@ def across(mixed_: DataFrame, registers: DataFrame) -> DataFrame:
             head = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
             for lo, hi in zip(head, np.append(head[1:], len(frame)), strict=True):
                 part = frame.iloc[lo:hi]
-                register = np.frombuffer(b"".join(part["registers"]), np.uint16).reshape(hi - lo, -1)
-                node, root, slot, inner, own = (part[c].to_numpy() for c in ("node", "root", "slot", "inner", "own"))
+                register = np.frombuffer(b"".join(part["registers"]), np.uint8).reshape(hi - lo, -1)
+                node, band, root, slot, inner, own = (part[c].to_numpy() for c in ("node", "band", "root", "slot", "inner", "own"))
+                bands = register[:, : BANDS * ROWS].reshape(hi - lo, BANDS, ROWS)
                 for x in np.flatnonzero(~inner):
                     may = root != root[x]
                     may &= inner | (np.arange(hi - lo) > x)  # two outsiders meet once
@@ -152,10 +153,12 @@ def across(mixed_: DataFrame, registers: DataFrame) -> DataFrame:
                         may &= slot != slot[x]
                     y = np.flatnonzero(may)
                     y = y[_agreeing(register[y], register[x])] if len(y) else y
+                    if len(y):  # a pair that meets in several bands counts in the first one
+                        y = y[(bands[y] == bands[x]).all(axis=2).argmax(axis=1) == band[0]]
                     if len(y):
                         yield pd.DataFrame({"a": [max(node[x], node[i]) for i in y], "b": [min(node[x], node[i]) for i in y]})
 
-    return rows.mapInPandas(compared, "a binary, b binary").distinct()
+    return rows.mapInPandas(compared, "a binary, b binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -189,7 +192,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     node = F.unhex(F.md5(whole))
     texts = docs.select(node.alias("node"), whole.alias("text"))
     sketch = stored(sketches(texts), "sketches")
-    rows = sketch.select("node", F.explode("buckets").alias("bucket"))
+    rows = sketch.select("node", F.posexplode("buckets").alias("band", "bucket"))
     span = rows.groupBy("bucket").agg(F.min("node").alias("_min"), F.max("node").alias("_max")).where("_min != _max")
     members = stored(rows.join(span.select("bucket"), "bucket", "left_semi").distinct(), "members")
     met = members.join(members.groupBy("bucket").agg(F.count("*").alias("n")), "bucket")
@@ -202,7 +205,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = stored(verified(plausible(star, registers), texts, threshold), "links")
     roots = components(links)
 
-    inside = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    inside = members.join(roots, "node", "left").select("bucket", "band", "node", F.coalesce("root", "node").alias("root"))
     counts = inside.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("classes"))
     mixed_ = stored(inside.join(main.where("classes > 1").drop("classes"), "bucket"), "mixed")

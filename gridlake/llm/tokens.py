@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 
-CACHED_PIECES = 500_000  # of each of two generations that one Python worker remembers
+CACHED_PIECES = {"byte": 700_000, "word": 450_000}  # of each of two generations that one Python worker remembers
 LONGEST_PIECE = 64  # characters; longer pieces are encoded anew each time
 
 # Texts of these characters are cut here as the library cuts them; all others go to it whole.
@@ -32,7 +32,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.by, self.cut = by, _PIECES[by].findall
-        self.known = _Known(self.whole)
+        self.known = _Known(self.whole, CACHED_PIECES[by])
 
     def whole(self, text: str) -> bytes:
         import numpy as np
@@ -52,7 +52,7 @@ class Encoder:
         """Encode pieces together, each where the library starts a new word, and remember them."""
         import numpy as np
 
-        if len(self.known) + len(new) > CACHED_PIECES:
+        if len(self.known) + len(new) > CACHED_PIECES[self.by]:
             self.known.turn_over()
         known, text, ends, sought = self.known, [], [], []
         at = 0
@@ -85,8 +85,8 @@ class _Known(dict):
     """Pieces seen since the last generation began; those of the one before are taken over when met.
     A piece in neither is encoded alone."""
 
-    def __init__(self, encode):
-        self.encode, self.before = encode, {}
+    def __init__(self, encode, most: int):
+        self.encode, self.most, self.before = encode, most, {}
         self[""] = b""
 
     def turn_over(self) -> None:
@@ -96,7 +96,7 @@ class _Known(dict):
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.encode(piece)
-        if len(piece) <= LONGEST_PIECE and len(self) < 2 * CACHED_PIECES:
+        if len(piece) <= LONGEST_PIECE and len(self) < 2 * self.most:
             self[piece] = ids
         return ids
 
