@@ -32,6 +32,7 @@ from gridlake.session import new_scratch
 MAGIC = b"TOKPACK1"
 BLOCK = 65536  # ids; a multiple of 8, so that every full block ends on a byte
 NO_ID = -(2**63)
+UNKNOWN = 1 << 60  # Spark's estimate for a table that it knows nothing about is above
 FILE_BYTES = 32 * 1024 * 1024  # of text, so that a file fits in a task's memory
 
 
@@ -95,7 +96,9 @@ def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, by: str,
     bits = bits_for(max(vocabulary, end_id + 1))
     plan = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = int(plan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-min(size, 1 << 60) // FILE_BYTES))
+    files = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if size < UNKNOWN:
+        files = max(files, -(-size // FILE_BYTES))
     ranged = plan.repartitionByRange(files, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
 
     def encoded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

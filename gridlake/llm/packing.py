@@ -36,7 +36,7 @@ class Schedule:
 
     def __init__(self, sizes, weights, size: int = SIZE):
         self.sizes = np.asarray(sizes, dtype=np.int64)
-        top = max((float(w) for w in weights), default=1.0)
+        top = max((float(w) for w in weights), default=1.0) or 1.0
         self.weights = np.array([max(1, round(w / top * (1 << SHIFT))) for w in weights], dtype=np.int64)
         self.size = size
         self.last_step = int((-(-(self.sizes << SHIFT) // self.weights)).max(initial=0))

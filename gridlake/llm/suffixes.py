@@ -146,9 +146,10 @@ def repeats(items: DataFrame) -> DataFrame:
         wanted = same.join(kinds, "key").select("key", "kinds", "n", "first.uid", "first.item", "first.lo")
         wanted = wanted.groupBy("uid", "item").agg(F.collect_list(F.array("key", "kinds", "lo", F.col("n").cast("long"))).alias("wanted"))
         read = stored(_sliced(items.join(wanted, ["uid", "item"]), grams == GRAMS[0]), "piece-bytes")
-        small = read.where(F.col("kinds") <= MOST_PIECES).drop("kinds")
+        fits = F.lit(grams == GRAMS[-1]) | (F.col("kinds") <= MOST_PIECES)  # at last a key has LONGEST kinds
+        small = read.where(fits).drop("kinds")
         covers.append(stored(_sorted(small.repartition("key").sortWithinPartitions("key")), "repeats"))
-        items = read.where(F.col("kinds") > MOST_PIECES).select("uid", F.col("lo").alias("item"), "data")
+        items = read.where(~fits).select("uid", F.col("lo").alias("item"), "data")
         if items.isEmpty():
             break
     return reduce(DataFrame.union, covers)

@@ -1,8 +1,8 @@
 """Severity of toxicity by cumulative-link ordinal regression on sparse text features.
 
 A text is the set of its hashed words, their beginnings of three to seven bytes, and pairs of
-neighbouring words. Fitting keeps the features whose documents differ clearly from the others in
-their mean grade. One weight vector is shared by
+neighbouring words. Fitting keeps the features whose documents lie above some cut clearly more or
+less often than others. One weight vector is shared by
 all grades: the probability of a grade above ``k`` is the logistic function of ``score - cut[k]``, with
 ascending cuts. The expected severity is the sum of these probabilities over the cuts.
 """
@@ -24,7 +24,7 @@ TRAIN_ROWS = 8000  # at most so many labelled documents are fitted
 BITS = 20
 BEGINNINGS = (3, 4, 5, 6, 7)  # bytes
 MIN_DOCS = 5  # a feature counts if so many of them have it
-MIN_SCORE = 4.0  # and their mean grade is off by so many standard errors
+MIN_SCORE = 4.0  # and their share above a cut is off by so many standard errors
 ROUNDS, RATE, SHRINK = 300, 0.05, 1e-4
 
 _LETTER = np.zeros(256, bool)
@@ -95,8 +95,12 @@ def fit(doc: np.ndarray, feature: np.ndarray, labels: np.ndarray) -> OrdinalMode
     grades, y = np.unique(labels, return_inverse=True)
     k = len(grades) - 1
     n = np.bincount(feature, minlength=1 << BITS)
-    off = np.bincount(feature, (y - y.mean())[doc], 1 << BITS)
-    some = ((n >= MIN_DOCS) & (np.abs(off) >= MIN_SCORE * y.std() * np.sqrt(n)))[feature]
+    clear = np.zeros(1 << BITS, bool)
+    for i in range(k):
+        over = (y > i).astype(float)
+        off = np.bincount(feature, (over - over.mean())[doc], 1 << BITS)
+        clear |= np.abs(off) >= MIN_SCORE * over.std() * np.sqrt(n)
+    some = ((n >= MIN_DOCS) & clear)[feature]
     doc, feature = doc[some], feature[some]
     names, column = np.unique(feature, return_inverse=True)
     share = np.array([(y > i).mean() for i in range(k)])
