@@ -86,22 +86,25 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 
 
-def fit(doc: np.ndarray, feature: np.ndarray, labels: np.ndarray) -> OrdinalModel:
+def fit(rows: list[np.ndarray], labels: np.ndarray) -> OrdinalModel:
     """Adam on the likelihood of ``labels`` with shrunken weights, over all rows in each round.
 
-    ``doc`` and ``feature`` are the set features of the rows. Cuts are a first one and positive steps
+    ``rows`` are the distinct features of each row, which are counted a few hundred rows at a time. Cuts are a first one and positive steps
     (logarithms are fitted), so they stay in order.
     """
     grades, y = np.unique(labels, return_inverse=True)
     k = len(grades) - 1
-    n = np.bincount(feature, minlength=1 << BITS)
-    clear = np.zeros(1 << BITS, bool)
-    for i in range(k):
-        over = (y > i).astype(float)
-        off = np.bincount(feature, (over - over.mean())[doc], 1 << BITS)
-        clear |= np.abs(off) >= MIN_SCORE * over.std() * np.sqrt(n)
-    some = ((n >= MIN_DOCS) & clear)[feature]
-    doc, feature = doc[some], feature[some]
+    n, off = np.zeros(1 << BITS), np.zeros((k, 1 << BITS))
+    over = (y[:, None] > np.arange(k)).astype(float)
+    for lo in range(0, len(rows), 500):
+        part = np.concatenate(rows[lo : lo + 500])
+        of = np.repeat(np.arange(lo, min(lo + 500, len(rows))), [len(r) for r in rows[lo : lo + 500]])
+        n += np.bincount(part, minlength=1 << BITS)
+        for i in range(k):
+            off[i] += np.bincount(part, (over[:, i] - over[:, i].mean())[of], 1 << BITS)
+    clear = (np.abs(off) >= MIN_SCORE * over.std(axis=0)[:, None] * np.sqrt(n)).any(axis=0) & (n >= MIN_DOCS)
+    kept = [r[clear[r]] for r in rows]
+    doc, feature = np.repeat(np.arange(len(rows)), [len(r) for r in kept]), np.concatenate(kept)
     names, column = np.unique(feature, return_inverse=True)
     share = np.array([(y > i).mean() for i in range(k)])
     start = -np.log(share / (1 - share))
@@ -111,13 +114,13 @@ def fit(doc: np.ndarray, feature: np.ndarray, labels: np.ndarray) -> OrdinalMode
         cuts = np.cumsum(np.concatenate((free[:1], np.exp(free[1:k]))))
         score = np.bincount(doc, free[k:][column], len(y))
         over = np.column_stack((np.ones(len(y)), _logistic(score[:, None] - cuts), np.zeros(len(y))))
-        rows = np.arange(len(y))
-        p = np.maximum(over[rows, y] - over[rows, y + 1], 1e-12)
+        at = np.arange(len(y))
+        p = np.maximum(over[at, y] - over[at, y + 1], 1e-12)
         slope = over * (1 - over)
-        d_score = -(slope[rows, y] - slope[rows, y + 1]) / p
+        d_score = -(slope[at, y] - slope[at, y + 1]) / p
         d_cut = np.zeros((len(y), k + 2))
-        d_cut[rows, y] += slope[rows, y] / p
-        d_cut[rows, y + 1] -= slope[rows, y + 1] / p
+        d_cut[at, y] += slope[at, y] / p
+        d_cut[at, y + 1] -= slope[at, y + 1] / p
         g_cut = d_cut[:, 1:-1].sum(axis=0)
         tail = np.cumsum(g_cut[::-1])[::-1]
         step = np.concatenate((tail[:1], tail[1:] * np.exp(free[1:k])))
@@ -138,15 +141,15 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
         for frame in frames:
             doc, feature = features(list(frame["text"]))
             cuts = np.searchsorted(doc, np.arange(1, len(frame)))
-            yield frame[["_id", "label"]].assign(features=np.split(feature.astype(np.int32), cuts))
+            found = [f.tobytes() for f in np.split(feature.astype(np.int32), cuts)]
+            yield frame[["_id", "label"]].assign(features=found)
 
-    known = sample(docs, labels, label, rows).mapInPandas(found, "_id long, label int, features array<int>")
+    known = sample(docs, labels, label, rows).mapInPandas(found, "_id long, label int, features binary")
     known = known.toPandas().sort_values(["_id", "label"])
     if known["label"].nunique() < 2:
         return float(known["label"].iloc[0]) if len(known) else 0.0
-    sizes = known["features"].map(len).to_numpy()
-    feature = np.concatenate([np.asarray(f, np.int64) for f in known["features"]])
-    return fit(np.repeat(np.arange(len(known)), sizes), feature, known["label"].to_numpy())
+    rows = [np.frombuffer(f, np.int32) for f in known["features"]]
+    return fit(rows, known["label"].to_numpy())
 
 
 def graded(docs: DataFrame, model: OrdinalModel | float) -> DataFrame:
