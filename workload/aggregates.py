@@ -49,11 +49,12 @@ def _(t):
 
 @query(
     "a2_daily_sum",
-    f"SELECT {_DAY}, lat, lon, coalesce(sum(PRECTOT), 0) * 3600 AS PRECTOT, coalesce(sum(TS), 0) * 3600 AS TS FROM cube GROUP BY ALL",
+    f"SELECT {_DAY}, lat, lon, coalesce(sum(PRECTOT), 0) * 3600 / 1000 AS PRECTOT, coalesce(sum(TS), 0) * 3600 / 1000 AS TS FROM cube GROUP BY ALL",
     "PRECTOT TS",
 )
 def _(t):
-    return a.resample_daily(t.cube.select(*_K, "PRECTOT", "TS"), "sum", 3600)
+    sums = a.resample_daily(t.cube.select(*_K, "PRECTOT", "TS"), "sum", 3600)
+    return sums.withColumns({c: F.col(c) / 1000 for c in ("PRECTOT", "TS")})  # ten digits, to 6 decimals
 
 
 @query(
