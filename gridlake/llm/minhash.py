@@ -31,6 +31,7 @@ BANDS, ROWS = 26, 5  # a pair of similarity 0.8 is missed in 1 of 30,000 cases
 THRESHOLD = 0.8
 REGISTERS = 2 * BANDS * ROWS  # the first half makes the bands, all of them estimate similarities
 PLAUSIBLE = 0.7  # of the registers; a pair of similarity 0.8 agrees in fewer in 1 of 30,000 cases
+FILTER_BITS = 1 << 26
 TILE = 1024
 ROWS_AT_ONCE = 2000
 
@@ -161,11 +162,27 @@ def across(mixed_: DataFrame, registers: DataFrame) -> DataFrame:
     return rows.mapInPandas(compared, "a binary, b binary")
 
 
+def maybe_in(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """All ``rows`` whose ``key`` is in ``wanted``, and few others, without a shuffle of ``rows``.
+
+    The broadcast side is a bitmap of ``FILTER_BITS`` hashes, so it has at most 8 MB whatever the size
+    of ``wanted``; a fuller bitmap only lets more rows through to the exact join behind it.
+    """
+    code = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    marks = wanted.select(code.alias("_code"), F.bitmap_bucket_number(code).alias("_bucket"))
+    marks = marks.repartition("_bucket").groupBy("_bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("_code")).alias("_bits"))
+    place = F.bitmap_bit_position(code)
+    byte = F.conv(F.hex(F.substring("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = byte.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) != 0
+    return rows.join(F.broadcast(marks), (F.bitmap_bucket_number(code) == F.col("_bucket")) & marked, "left_semi")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose texts are at least ``threshold`` alike; only their texts are shuffled."""
+    """The pairs ``a, b`` whose texts are at least ``threshold`` alike; hardly any other text is shuffled."""
     pairs = stored(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    read = texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    read = maybe_in(texts, wanted, "node").join(wanted, "node", "left_semi")
+    read = read.groupBy("node").agg(F.first("text").alias("text"))
     read = stored(read, "texts")
     left = read.select(F.col("node").alias("a"), F.col("text").alias("left"))
     right = read.select(F.col("node").alias("b"), F.col("text").alias("right"))
@@ -193,7 +210,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = docs.select(node.alias("node"), whole.alias("text"))
     sketch = stored(sketches(texts), "sketches")
     rows = sketch.select("node", F.posexplode("buckets").alias("band", "bucket"))
-    span = rows.groupBy("bucket").agg(F.min("node").alias("_min"), F.max("node").alias("_max")).where("_min != _max")
+    code = F.xxhash64("node")  # a number aggregates in half the space of the node
+    span = rows.groupBy("bucket").agg(F.min(code).alias("_min"), F.max(code).alias("_max")).where("_min != _max")
     members = stored(rows.join(span.select("bucket"), "bucket", "left_semi").distinct(), "members")
     met = members.join(members.groupBy("bucket").agg(F.count("*").alias("n")), "bucket")
     mass = met.groupBy("node").agg(F.sum("n").alias("mass"))

@@ -169,6 +169,17 @@ def test_repeats_equal_brute_force(docs, empty, rows, most, monkeypatch):
     assert suffixes.digest(suffixes.without_repeats(empty)).count() == 0
 
 
+def test_bitmap_lets_every_wanted_row_through(spark):
+    rows = spark.range(20000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("node"), "id")
+    rows = rows.unionByName(rows.where("id < 10"))
+    wanted = rows.where("id % 9 = 0").select("node").distinct()
+    found = [r["id"] for r in minhash.maybe_in(rows, wanted, "node").select("id").collect()]
+    through = sorted(i for i in found if i % 9 == 0)
+    assert through == sorted([*range(0, 20000, 9), 0, 9])
+    assert len(found) < 2 * len(through)
+    assert minhash.maybe_in(rows, wanted.where("false"), "node").isEmpty()
+
+
 def test_near_duplicates(spark, docs, empty):
     got = {r["doc_id"]: r for r in minhash.classes(docs).collect()}
     assert [got[i]["class_id"] for i in range(13)] == [0, 0, 0, 3, 4, 5, 6, 6, 8, 9, 10, 11, 12]
