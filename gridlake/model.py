@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEYS = ("time", "lat", "lon")
+HORIZONTAL = ("lat", "lon", "northing_m", "easting_m")  # those that a cube has name its cells
 COORDINATES = (
     "time",
     "lat",

@@ -61,12 +61,16 @@ def update_from_files(
     limit: int | None = None,
     batch: str | None = None,
 ) -> bool:
-    """Upsert the files that the ledger lacks, at most ``limit`` of them; False if there are none."""
+    """Upsert the files that the ledger lacks, at most ``limit`` of them; False if there are none.
+
+    A step may lie in several files that come in different runs, so cells are replaced one by
+    one: what an earlier file brought for other cells of the step stays.
+    """
     manifest = file_manifest(spark, landing, pattern).select("path")
     files = new_files(manifest, processed_files(spark, root), limit)
     if files.isEmpty():
         return False
-    upsert_timesteps(root, _read(spark, files, preprocess), batch=batch, paths=files)
+    upsert_timesteps(root, _read(spark, files, preprocess), batch=batch, paths=files, by_cell=True)
     return True
 
 

@@ -75,6 +75,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library and what is in it; nothing where it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def list_names(spark: SparkSession, root: str) -> list[str]:
     """Names directly below a path; none where it does not exist."""
     if not path_exists(spark, root):

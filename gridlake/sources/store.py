@@ -2,7 +2,8 @@
 
 Layout under the root: ``cells`` (cube rows partitioned by ``time_chunk``), ``axis``
 (every time step of every chunk, so that padding needs no rows of missing cells),
-``about`` (origin, step and chunk sizes) and ``batches`` (the ledger).
+``about`` (origin, step and chunk sizes), ``batches`` (the ledger) and ``staged`` (what a
+running or lost update has prepared; it goes when the batch is in the ledger).
 
 A time belongs to the chunk ``floor(steps since origin / chunk)``, so a batch knows the
 chunks it touches without reading the store, and only those are rewritten.
@@ -17,15 +18,16 @@ import uuid
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.functions.positions import local_table
 from gridlake.functions.times import step_number
+from gridlake.model import HORIZONTAL
 from gridlake.operators.axes import chunk_ids
 from gridlake.operators.quality import assert_unique_time
 from gridlake.operators.timeaxis import stored_times
-from gridlake.session import list_names, partition_values, path_exists, scratch_dir
+from gridlake.session import delete_path, list_names, partition_values, path_exists
 from gridlake.sources.sinks import write_partitions
 
 AXIS = "time timestamp_ntz, time_chunk int"
+BATCHES = "path string, processed_at timestamp, batch string"
 ABOUT = "origin timestamp_ntz, step_seconds int, chunk int"
 
 
@@ -33,7 +35,7 @@ def write_cube(df: DataFrame, root: str, chunks: dict[str, int]) -> None:
     """Replace a cube on disk, partitioned by time chunk and clustered by cell chunk."""
     chunked = chunk_ids(df, chunks)
     clusters = [f"{d}_chunk" for d in chunks if d != "time"]
-    ordered = chunked.hint("rebalance", "time_chunk").sortWithinPartitions("time_chunk", *clusters, "time", "lat", "lon")
+    ordered = chunked.hint("rebalance", "time_chunk").sortWithinPartitions("time_chunk", *clusters, "time", *_horizontal(df))
     _write_chunks(ordered.drop(*clusters), root, mode="static")
 
 
@@ -44,7 +46,11 @@ def rechunk(spark: SparkSession, source: str, target: str, chunks: dict[str, int
 
 def _by_cell(df: DataFrame) -> DataFrame:
     """Neighbouring cells together, so that row groups have narrow bounds."""
-    return df.sortWithinPartitions("time_chunk", "lat", "lon", "time")
+    return df.sortWithinPartitions("time_chunk", *_horizontal(df), "time")
+
+
+def _horizontal(df: DataFrame) -> list[str]:
+    return [c for c in HORIZONTAL if c in df.columns]
 
 
 def _write_chunks(df: DataFrame, root: str, mode: str) -> None:
@@ -53,10 +59,16 @@ def _write_chunks(df: DataFrame, root: str, mode: str) -> None:
 
 
 def create_store(df: DataFrame, root: str, chunk: int, step_seconds: int) -> None:
-    """Create or replace a store. Its axis starts at the first time of ``df`` and is padded
-    to whole chunks, a full one more when it was whole already."""
+    """Create or replace a store, its ledger included. Its axis starts at the first time of
+    ``df`` and is padded to whole chunks, a full one more when it was whole already. Rows
+    without a time are an error, found before anything is replaced."""
     spark = df.sparkSession
-    first, last = df.agg(F.min("time").cast("string"), F.max("time").cast("string")).first()
+    missing = F.count_if(F.col("time").isNull())
+    first, last, missing = df.agg(F.min("time").cast("string"), F.max("time").cast("string"), missing).first()
+    if missing:
+        raise ValueError(f"{missing} rows have no time")
+    for part in ("staged", "batches"):
+        delete_path(spark, f"{root}/{part}")
     about = spark.range(1).select(
         F.lit(first).cast("timestamp_ntz").alias("origin"),
         F.lit(step_seconds).alias("step_seconds"),
@@ -109,16 +121,20 @@ def upsert_timesteps(
     extend: bool = True,
     batch: str | None = None,
     paths: DataFrame | None = None,
+    by_cell: bool = False,
 ) -> None:
     """Put the steps of ``new`` into the store.
 
-    A stored step with the same ``keys`` is replaced as a whole; a step beyond the axis
+    A stored step with the same ``keys`` is replaced as a whole, or ``by_cell`` only its
+    cells that ``new`` has, for batches that may hold parts of steps; a step beyond the axis
     extends it by as many chunks as needed, and an earlier one is inserted. With
-    ``extend=False`` only steps on the axis are taken. Steps stored twice are an error.
+    ``extend=False`` only steps on the axis are taken. Steps stored twice are an error, and
+    so are rows without a time or with one between two steps: the batch is refused whole
+    before it changes anything.
 
-    The merged chunks are staged first and then published, and the ledger comes last.
-    What a lost job staged is published before anything else, and a ``batch`` that is in
-    the ledger is not taken again. A store has one writer at a time.
+    The rows and then the merged chunks are staged below the root, published, entered in the
+    ledger and removed from staging. What a lost job staged is published before anything else,
+    and a ``batch`` that is in the ledger is not taken again. A store has one writer at a time.
     """
     spark = new.sparkSession
     batch = batch or uuid.uuid4().hex
@@ -131,41 +147,51 @@ def upsert_timesteps(
     on_axis = _axis_summary(spark, root)
     if not extend:
         new = stored_times(new, read_axis(spark, root))
-    new = _with_chunk(new, meta)
-    merged = _merged(read_cells(spark, root), new, keys)
+    if by_cell:
+        keys = (*keys, *[c for c in (*HORIZONTAL, "forecast") if c in new.columns and c not in keys])
 
-    staged = f"{_staging(spark, root)}/{batch}"
+    staged = f"{root}/staged/{batch}"
+    _with_chunk(new, meta).write.mode("overwrite").parquet(f"{staged}/new")
+    new = spark.read.parquet(f"{staged}/new")
+    _refuse_off_axis(new, meta, staged)
+    merged = _merged(read_cells(spark, root), new, keys)
     if paths is not None:
         paths.select("path").write.mode("overwrite").parquet(f"{staged}/paths")
     _write_chunks(_by_cell(merged.hint("rebalance", "time_chunk")), f"{staged}/cells", mode="static")
     _publish(spark, root, meta, on_axis, batch, extend)
 
 
+def _refuse_off_axis(new: DataFrame, meta: Row, staged: str) -> None:
+    """Fail, and forget what was staged, where a time is missing or between two steps."""
+    seconds = F.timestamp_diff("MICROSECOND", _origin(meta), F.col("time"))
+    between = F.pmod(seconds, F.lit(meta["step_seconds"] * 1_000_000)) != 0
+    wrong = new.agg(F.count_if(F.col("time").isNull()).alias("missing"), F.count_if(between).alias("between")).first()
+    if wrong["missing"] or wrong["between"]:
+        delete_path(new.sparkSession, staged)
+        raise ValueError(f"{wrong['missing']} rows have no time, {wrong['between']} one that is not on the axis")
+
+
 def _merged(stored: DataFrame, new: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """The chunks that ``new`` touches, with its steps in place of the stored ones."""
+    # Numbers of the directories to rewrite, which the scan of the stored cells is pruned to.
+    chunks = [r["time_chunk"] for r in new.select("time_chunk").distinct().collect()]
     steps = new.select("time_chunk", *keys).distinct()
-    listed = local_table(steps)
-    if listed is None:
-        stored = stored.join(steps.select("time_chunk").distinct(), "time_chunk", "left_semi")
-    else:
-        stored = stored.where(F.col("time_chunk").isin(listed["time_chunk"].unique().to_pylist()))
-        steps = F.broadcast(new.sparkSession.createDataFrame(listed, schema=steps.schema))
-    kept = stored.join(steps, ["time_chunk", *keys], "left_anti")
+    kept = stored.where(F.col("time_chunk").isin(chunks)).join(steps, ["time_chunk", *keys], "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 
 def recover(spark: SparkSession, root: str) -> None:
     """Publish what a lost job staged but did not enter in the ledger."""
-    staging = _staging(spark, root)
-    for batch in list_names(spark, staging):
-        whole = path_exists(spark, f"{staging}/{batch}/cells/_SUCCESS")
-        if whole and not _committed(spark, root, batch):
+    for batch in list_names(spark, f"{root}/staged"):
+        if _committed(spark, root, batch) or not path_exists(spark, f"{root}/staged/{batch}/cells/_SUCCESS"):
+            delete_path(spark, f"{root}/staged/{batch}")
+        else:
             meta = spark.read.schema(ABOUT).parquet(f"{root}/about").first()
             _publish(spark, root, meta, _axis_summary(spark, root), batch, extend=True)
 
 
 def _publish(spark: SparkSession, root: str, meta: Row, on_axis: Row, batch: str, extend: bool) -> None:
-    staged = f"{_staging(spark, root)}/{batch}"
+    staged = f"{root}/staged/{batch}"
     chunks = [int(c) for c in partition_values(spark, f"{staged}/cells", "time_chunk")]
     if chunks:
         if extend:
@@ -173,10 +199,7 @@ def _publish(spark: SparkSession, root: str, meta: Row, on_axis: Row, batch: str
         _write_chunks(_by_cell(spark.read.parquet(f"{staged}/cells")), f"{root}/cells", mode="dynamic")
     paths = f"{staged}/paths"
     commit_ledger(spark, root, batch, spark.read.schema("path string").parquet(paths) if path_exists(spark, paths) else None)
-
-
-def _staging(spark: SparkSession, root: str) -> str:
-    return scratch_dir(spark, "staged/" + root.strip("/").replace("/", "_").replace(":", "_"))
+    delete_path(spark, staged)
 
 
 def _origin(meta: Row) -> Column:
@@ -223,7 +246,9 @@ def commit_ledger(spark: SparkSession, root: str, batch: str, paths: DataFrame |
 
 
 def read_batches(spark: SparkSession, root: str) -> DataFrame:
-    """Processed files by batch."""
+    """Processed files by batch; none before the first batch."""
+    if not path_exists(spark, f"{root}/batches"):
+        return spark.createDataFrame([], BATCHES)
     return spark.read.option("basePath", f"{root}/batches").parquet(f"{root}/batches")
 
 

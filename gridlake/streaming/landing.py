@@ -24,7 +24,9 @@ def stream_cube(
     """Start one run over the files that are new since the last run.
 
     The source checkpoint says which files are done. A batch that is repeated after a
-    failure carries the same id, which the store takes only once.
+    failure carries the same id, which the store takes only once; the id holds that of the
+    checkpoint, so several streams, or a new checkpoint, may feed one store. A step may be
+    spread over files of different batches: cells are replaced one by one.
     """
     reader = spark.readStream.schema(schema)
     if max_files is not None:
@@ -32,12 +34,14 @@ def stream_cube(
     landed = nan_to_null(reader.parquet(landing).withColumn("path", F.col("_metadata.file_path")))
 
     def put(batch: DataFrame, batch_id: int) -> None:
+        stream = spark.read.json(f"{checkpoint}/metadata").first()["id"]
         upsert_timesteps(
             root,
             batch.drop("path"),
             keys=keys,
-            batch=f"{name}-{batch_id}",
+            batch=f"{name}-{stream}-{batch_id}",
             paths=batch.select("path").distinct(),
+            by_cell=True,
         )
 
     return (

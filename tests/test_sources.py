@@ -15,6 +15,7 @@ from gridlake import fixed, session
 from gridlake.model import DETECTION_CSV
 from gridlake.operators.quality import check_ledger
 from gridlake.plans.detections import refresh_detections, with_timestamps
+from gridlake.plans.gridstore import update_from_files
 from gridlake.plans.reanalysis import melt_from_files
 from gridlake.sources import manifests, raster, readers, sinks, store
 from gridlake.streaming.landing import stream_cube
@@ -197,6 +198,55 @@ def test_repeated_batch_is_taken_once_and_continues_from_staging(spark, cube, tm
         store.upsert_timesteps(root, new, batch="a/b")
 
 
+def test_batches_with_parts_of_steps_keep_all_cells(spark, cube, tmp_path):
+    base = str(tmp_path)
+    first, rest = days(cube, "2021-12-30", "2021-12-30"), days(cube, "2021-12-31", "2022-01-01")
+    north = F.col("lat") > cube.agg(F.avg("lat")).first()[0]
+    for n, part in enumerate((rest.where(north), rest.where(~north))):
+        part.coalesce(1).write.parquet(f"{base}/in{n}")
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    store.create_store(first, f"{base}/a", 24, 3600)
+    while update_from_files(spark, f"{base}/in", f"{base}/a", lambda df: df, limit=1):
+        pass
+    assert rows(store.read_cells(spark, f"{base}/a").drop("time_chunk")) == rows(cube)
+
+    # One file at a time, and two folders with checkpoints of their own.
+    store.create_store(first, f"{base}/b", 24, 3600)
+    stream_cube(spark, f"{base}/in", f"{base}/b", f"{base}/cp", cube.schema, max_files=1).awaitTermination()
+    assert rows(store.read_cells(spark, f"{base}/b").drop("time_chunk")) == rows(cube)
+    store.create_store(first, f"{base}/b", 24, 3600)
+    assert not os.path.exists(f"{base}/b/batches")
+    for n in (0, 1):
+        stream_cube(spark, f"{base}/in{n}", f"{base}/b", f"{base}/cp{n}", cube.schema).awaitTermination()
+    assert rows(store.read_cells(spark, f"{base}/b").drop("time_chunk")) == rows(cube)
+    assert store.read_batches(spark, f"{base}/b").select("batch").distinct().count() == 2
+
+
+def test_equal_area_store(spark, cube, tmp_path):
+    flat = cube.withColumnsRenamed({"lat": "northing_m", "lon": "easting_m"})
+    root, first = str(tmp_path / "s"), days(flat, "2021-12-30", "2021-12-30")
+    store.create_store(first, root, 24, 3600)
+    store.upsert_timesteps(root, days(flat, "2021-12-31", "2022-01-01").where("northing_m IS NOT NULL"), by_cell=True)
+    assert rows(store.read_cells(spark, root).drop("time_chunk")) == rows(flat)
+
+
+def test_refused_rows_change_nothing(spark, cube, tmp_path):
+    root = str(tmp_path / "s")
+    first, new = days(cube, "2021-12-30", "2021-12-30"), days(cube, "2021-12-31", "2021-12-31")
+    store.create_store(first, root, 24, 3600)
+    no_time = new.withColumn("time", F.when(F.hour("time") != 3, F.col("time")))
+    half = new.withColumn("time", F.col("time") + F.expr("interval 30 minutes"))
+    for wrong in (no_time, half):
+        with pytest.raises(ValueError, match="rows have no time"):
+            store.upsert_timesteps(root, wrong, batch="b")
+    with pytest.raises(ValueError, match="rows have no time"):
+        store.create_store(no_time, root, 24, 3600)
+    assert rows(store.read_cells(spark, root).drop("time_chunk")) == rows(first)
+    store.upsert_timesteps(root, new, batch="b")
+    assert rows(store.read_cells(spark, root).drop("time_chunk")) == rows(days(cube, "2021-12-30", "2021-12-31"))
+    assert not os.listdir(f"{root}/staged")
+
+
 def test_duplicate_axis_stops_the_upsert(spark, cube, tmp_path):
     root = str(tmp_path / "s")
     store.create_store(days(cube, "2021-12-30", "2021-12-30"), root, 24, 3600)
