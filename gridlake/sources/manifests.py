@@ -53,13 +53,13 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def new_files(manifest: DataFrame, ledger: DataFrame, limit: int | None = None) -> DataFrame:
-    """Files not in the ledger, in path order; at most ``limit`` of them per run."""
+    """Files not in the ledger; with ``limit`` that many of them, the first in path order."""
     done = ledger.select("path").where(F.trim("path") != "")
     rest = [c for c in manifest.columns if c != "path"]
     # Copies of a path are merged before the shuffle, which the join then uses as well.
     files = first_per(manifest, ["path"], rest) if rest else manifest.distinct()
-    fresh = files.join(done, "path", "left_anti").orderBy("path")
-    return fresh if limit is None else fresh.limit(limit)
+    fresh = files.join(done, "path", "left_anti")
+    return fresh if limit is None else fresh.orderBy("path").limit(limit)
 
 
 def pending_files(wanted: DataFrame, present: DataFrame, force: bool = False) -> DataFrame:

@@ -54,7 +54,7 @@ def raster_tiles(
 ) -> DataFrame:
     """One raster per variable and time, cut into tiles of ``tile`` x ``tile`` cells.
 
-    Rows run from the top and columns from the left, missing and absent cells hold
+    Rows run from the top and columns from the left, missing, NaN and absent cells hold
     ``nodata``. Rasters named in ``existing`` are left out. ``time=None`` exports
     variables without time. Keys of the cube must be unique.
     """
@@ -71,6 +71,7 @@ def raster_tiles(
     rows = axis_index(df, "lat", descending=True, name="row")
     cols = axis_index(df, "lon", name="col")
     row, col = F.col("row"), F.col("col")
+    absent = F.lit(nodata).cast("float")
     placed = (
         long.join(rows, "lat")
         .join(cols, "lon")
@@ -81,7 +82,7 @@ def raster_tiles(
             F.floor(row / tile).cast("int").alias("tile_row"),
             F.floor(col / tile).cast("int").alias("tile_col"),
             ((row % tile) * tile + col % tile).cast("int").alias("pos"),
-            F.coalesce(F.col("value").cast("float"), F.lit(nodata).cast("float")).alias("value"),
+            F.coalesce(F.nanvl(F.col("value").cast("float"), absent), absent).alias("value"),
         )
     )
     # At most tile * tile cells per group.

@@ -298,6 +298,8 @@ def test_raster_round_trip_with_gaps(spark, cube):
     lons = sorted(r.lon for r in one_time.select("lon").distinct().collect())
     got = {(lats[r.row], lons[r.col]): r.value for r in raster.tile_cells(tiles, 3).collect()}
     assert got == {(r.lat, r.lon): r.TS for r in one_time.collect() if r.TS is not None}
+    unknown = one_time.select("time", "lat", "lon", F.lit(float("nan")).alias("TS"))
+    assert {p for r in raster.raster_tiles(unknown, tile=3, nodata=-1.0).collect() for p in r.pixels} == {-1.0}
 
 
 def test_geotransform(spark):
