@@ -1,10 +1,11 @@
-"""Near-duplicates by ProbMinHash of weighted word shingles, banding, and exact verification.
+"""Near-duplicates by ProbMinHash of word shingles, banding, and exact verification.
 
-Every distinct run of five words is a Poisson process whose rate is its weight, one plus the
-logarithm of its count. Its arrivals fall on random registers of the signature; a register keeps the
-shingle that came first, and a shingle stops as soon as its next arrival is later than all registers
-of its document. Two documents agree in a register with the probability Jaccard similarity of their
-weighted shingles. Documents that agree in all registers of a band share a bucket.
+Every distinct run of five words is a Poisson process whose rate is its weight, which is 1 however
+often it stands in the text. Its arrivals fall on random registers of the signature; a register keeps
+the shingle that came first, and a shingle stops as soon as its next arrival is later than all
+registers of its document. Two documents agree in a register with the probability Jaccard similarity
+of their weights, here the Jaccard index of their sets of shingles, which also defines the links.
+Documents that agree in all registers of a band share a bucket.
 
 Within a bucket all members are first compared to one centre, the member that meets the most others
 over all buckets, so a group of many copies costs as many comparisons as it has members. Members that
@@ -60,8 +61,8 @@ def band_hashes(texts: list[str], bands: int = BANDS, rows: int = ROWS) -> Itera
     """``lo, hi, hashes, registers`` for batches of texts; hashes of 0 for a text without words, and
     8 bits of each register."""
     for lo, hi in batches(texts):
-        doc, shingle, count = shingles(texts[lo:hi])
-        who = signatures(doc, shingle, 1.0 + np.log(count), hi - lo, REGISTERS)
+        doc, shingle, _ = shingles(texts[lo:hi])
+        who = signatures(doc, shingle, np.ones(len(shingle)), hi - lo, REGISTERS)
         factors = mixed(np.arange(1, rows + 1)) | np.uint64(1)
         sums = (who[:, : bands * rows].reshape(hi - lo, bands, rows) * factors).sum(axis=2, dtype=np.uint64)
         out = mixed(sums + mixed(np.arange(1, bands + 1) + 1000))

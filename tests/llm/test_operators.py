@@ -192,6 +192,16 @@ def test_near_duplicates(spark, docs, empty):
     assert {tuple(r) for r in components(chain).collect()} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
 
 
+def test_a_passage_repeated_inside_one_copy_is_still_a_link(spark):
+    data = []
+    for i, block in enumerate((120, 120, 200, 200)):
+        base = text(10 + i, 1000)
+        data += [(2 * i, base), (2 * i + 1, base + (" " + text(20 + i, block)) * 20)]
+    assert (minhash.jaccard([t for _, t in data[::2]], [t for _, t in data[1::2]]) > 0.82).all()
+    got = {r["doc_id"]: r["class_id"] for r in minhash.classes(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(8)}
+
+
 def test_search_equals_brute_force(spark, docs, empty, rows):
     data = [(i, f"{text(i % 7, 20 + i)} {'rare' if i % 50 == 0 else ''} the the") for i in range(300)] + [(400, None), (401, "")]
     corpus = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
