@@ -59,15 +59,20 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, docs: i
 
 def band_hashes(texts: list[str], bands: int = BANDS, rows: int = ROWS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``lo, hi, hashes, registers`` for batches of texts; hashes of 0 for a text without words, and
-    8 bits of each register."""
+    8 bits of each register.
+
+    A hash is a bijection of its band's number and of these 8 bits of the band's registers (at most 7
+    rows), so two texts have equal hashes exactly where all registers of the band agree.
+    """
     for lo, hi in batches(texts):
         doc, shingle, _ = shingles(texts[lo:hi])
         who = signatures(doc, shingle, np.ones(len(shingle)), hi - lo, REGISTERS)
-        factors = mixed(np.arange(1, rows + 1)) | np.uint64(1)
-        sums = (who[:, : bands * rows].reshape(hi - lo, bands, rows) * factors).sum(axis=2, dtype=np.uint64)
-        out = mixed(sums + mixed(np.arange(1, bands + 1) + 1000))
+        who >>= np.uint64(56)
+        digits = who[:, : bands * rows].reshape(hi - lo, bands, rows) << (np.arange(rows, dtype=np.uint64) * np.uint64(8))
+        number = np.arange(1, bands + 1, dtype=np.uint64) << np.uint64(8 * rows)
+        out = mixed(digits.sum(axis=2, dtype=np.uint64) + number)
         out[np.bincount(doc, minlength=hi - lo) == 0] = 0
-        yield lo, hi, out, (who >> np.uint64(56)).astype(np.uint8)
+        yield lo, hi, out, who.astype(np.uint8)
 
 
 def jaccard(left: list[str], right: list[str]) -> np.ndarray:

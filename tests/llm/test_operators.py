@@ -202,6 +202,22 @@ def test_a_passage_repeated_inside_one_copy_is_still_a_link(spark):
     assert got == {i: i - i % 2 for i in range(8)}
 
 
+def test_pairs_that_share_a_bucket_are_compared_once(spark):
+    texts = [t for i in range(1500) for t in (text(i, 60), f"{text(i, 54)} {text(9000 + i, 6)}")]
+    members, registers, want = [], [], collections.Counter()
+    found, register = (np.concatenate(part) for part in list(zip(*minhash.band_hashes(texts), strict=True))[2:])
+    nodes = [str(i).zfill(5).encode() for i in range(len(texts))]
+    for a in range(0, len(texts), 2):
+        same = np.flatnonzero(found[a] == found[a + 1])
+        members += [(int(found[i].view(np.int64)[k]), int(k), nodes[i], nodes[i], b"none") for k in same for i in (a, a + 1)]
+        registers += [(nodes[i], register[i].tobytes()) for i in (a, a + 1)]
+        if len(same) and (register[a] == register[a + 1]).mean() >= minhash.PLAUSIBLE:
+            want[nodes[a + 1], nodes[a]] += 1
+    mixed = spark.createDataFrame(members, "bucket long, band int, node binary, root binary, main binary")
+    got = minhash.across(mixed, spark.createDataFrame(registers, "node binary, registers binary")).collect()
+    assert len(want) > 1000 and collections.Counter((bytes(r["a"]), bytes(r["b"])) for r in got) == want
+
+
 def test_search_equals_brute_force(spark, docs, empty, rows):
     data = [(i, f"{text(i % 7, 20 + i)} {'rare' if i % 50 == 0 else ''} the the") for i in range(300)] + [(400, None), (401, "")]
     corpus = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
