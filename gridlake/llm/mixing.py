@@ -141,11 +141,13 @@ def mix_plan(
     running = running.join(F.broadcast(plan.select("rank", "quota", "width")), "rank")
     room = F.col("quota") - F.col("epoch") * F.col("source_size")  # words that this epoch may give
     running = running.withColumn("room", room).where("room > before")
+    # the document that fills the room; where the room holds the whole source nothing is cut
+    fills = (F.col("before") + F.col("size") >= F.col("room")) & (F.col("room") < F.col("source_size"))
     block = F.floor((F.col("epoch") * F.col("source_size") + F.col("before")) / F.col("width"))
     first = stored(
         running.groupBy("rank", "epoch", block.alias("block")).agg(
             F.min("place").alias("place"),
-            F.max(F.when(F.col("before") + F.col("size") > F.col("room"), F.struct("place", (F.col("room") - F.col("before")).alias("words"), "size"))).alias("end"),
+            F.max(F.when(fills, F.struct("place", (F.col("room") - F.col("before")).alias("words"), "size"))).alias("end"),
         ),
         "mix-blocks",
     )

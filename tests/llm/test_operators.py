@@ -275,6 +275,22 @@ def test_mixture_keeps_quotas(spark, docs, empty, rows):
     assert mixing.mix(empty).count() == 0
 
 
+@pytest.mark.parametrize("words", [(1,), (5,), (1, 0, 2)])
+def test_mixture_where_documents_fill_the_room_exactly(spark, words):
+    data = [(i, " ".join(["w"] * words[i // 3 % len(words)]), f"s{i % 3}") for i in range(360)]
+    got = mixing.mix_plan(spark.createDataFrame(data, "doc_id long, text string, source string"), shards=4)
+    got = got.select("doc_id", "source", "mix.*").toPandas()
+    for _, own in got.groupby("source"):
+        size, source_size, quota = own.set_index("doc_id")["size"], own["source_size"].iat[0], round(own["target"].iat[0])
+        want = dict.fromkeys(size.index, 0)
+        for epoch in (0, 1):
+            room = quota - epoch * source_size
+            for i in sorted(size.index, key=lambda i: hashlib.md5(f"{mixing.SEED}:{epoch}:{i}".encode()).hexdigest()):
+                want[i] += max(0, min(size[i], room))
+                room -= size[i]
+        assert {r.doc_id: sum(p["taken"] for p in r.parts) for r in own.itertuples()} == want
+
+
 def luhn(digits):
     doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
     return sum(d // 10 + d % 10 for d in doubled) % 10 == 0
