@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms for personal data, with SQL expressions only.
 
-One regular expression finds all values; each text is split at its matches, and every match is
-replaced where it stands. Numbers and dates are validated and then permuted within their own format
+One regular expression finds all values, from every place on where one may begin; going through them in
+order, each that validates is replaced where it stands, and one that begins inside a replaced value
+or does not validate stays. Numbers and dates are validated and then permuted within their own format
 by a keyed Feistel network over ``Z_a x Z_b``: each round adds a keyed hash of one half to the other
 half, which is a permutation of all pairs, so distinct values stay distinct and equal values stay
 linked across documents. Card numbers and account numbers get new check digits.
@@ -9,7 +10,7 @@ linked across documents. Card numbers and account numbers get new check digits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 10
@@ -21,7 +22,27 @@ EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{
 SECRET = (
     _OPEN + r"(?i:api[_-]?key|access[_-]?key|token|secret|password|passwd|pwd)[\x22']? ?[:=] ?[\x22']?[A-Za-z0-9_/+.-]{8,}"
 )
-IBAN = _OPEN + r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _CLOSE
+#: Length of the account numbers of each country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    """An account number of ``length`` characters, in one piece or in groups of four."""
+    groups, rest = divmod(length - 4, 4)
+    last = f" [A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{length - 4}}}|(?: [A-Z0-9]{{4}}){{{groups}}}{last})" + _CLOSE
+
+
+#: The length of the country first; any length for what is none of these.
+IBAN = (
+    _OPEN + r"(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items())
+    + r"|[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _CLOSE + ")"
+)
 IPV4 = r"(?<![\p{L}\p{N}.])" + rf"{_OCTET}(?:\.{_OCTET}){{3}}" + r"(?![\p{L}\p{N}]|\.[0-9])"
 DATE = _OPEN + r"(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2})" + _CLOSE
 SSN = _OPEN + r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}" + _CLOSE
@@ -181,12 +202,22 @@ def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY, found: str
     is replaced. No shuffle: each text is read once and written once.
     """
     c = f"`{text}`"
-    pieces = f"split({c}, {_quoted(ANY)}, -1)"
-    matches = f"regexp_extract_all({c}, {_quoted(ANY)}, 0)"
+    # a line break in front, so that no value begins at 0, where split would leave out the empty piece
+    led, ahead = f"concat('\\n', {c})", f"(?=({ANY}))"
+    pieces = f"split({led}, {_quoted(ahead)}, -1)"
+    matches = f"concat(array(CAST(NULL AS STRING)), regexp_extract_all({led}, {_quoted(ahead)}, 1))"
     zipped = f"""zip_with({pieces}, {matches}, (w, m) -> named_struct('w', w, 'm', m, 'n', IF(m IS NULL, '', {pseudonym('m', key)})))"""
-    whole = f"array(named_struct('w', {c}, 'm', CAST(NULL AS STRING), 'n', ''))"
-    cut = docs.withColumn("_pii_cut", F.expr(f"IF(rlike({c}, '{MAYBE}'), {zipped}, {whole})"))
-    joined: Column = F.expr("array_join(transform(_pii_cut, x -> concat(x.w, x.n)), '')")
-    made = cut.withColumn(text, F.when(F.col(text).isNotNull(), joined))
-    count = F.expr("size(filter(_pii_cut, x -> x.m IS NOT NULL AND x.m != x.n))").cast("long")
-    return made.withColumn(found, F.when(F.col(text).isNull(), F.lit(0)).otherwise(count).cast("long")).drop("_pii_cut")
+    # each piece begins with its match, which may reach into the next pieces: ``over`` counts what of it is left there
+    step = """CASE WHEN s.over > 0 THEN named_struct('over', greatest(s.over - length(x.w), 0), 'n', s.n,
+            'of', concat(s.of, array(substr(x.w, s.over + 1))))
+        WHEN x.m IS NULL OR x.m = x.n THEN named_struct('over', 0, 'n', s.n, 'of', concat(s.of, array(x.w)))
+        ELSE named_struct('over', greatest(length(x.m) - length(x.w), 0), 'n', s.n + 1L,
+            'of', concat(s.of, array(x.n, substr(x.w, length(x.m) + 1)))) END"""
+    start = "named_struct('over', 0, 'n', 0L, 'of', CAST(array() AS ARRAY<STRING>))"
+    done = f"""aggregate({zipped}, {start}, (s, x) -> {step},
+        s -> named_struct('text', substr(array_join(s.of, ''), 2), 'n', s.n))"""
+    whole = f"named_struct('text', {c}, 'n', 0L)"
+    cut = docs.withColumn("_pii_cut", F.expr(f"IF(rlike({c}, '{MAYBE}'), {done}, {whole})"))
+    made = cut.withColumn(text, F.when(F.col(text).isNotNull(), F.col("_pii_cut.text")))
+    count = F.when(F.col("_pii_cut.text").isNull(), F.lit(0)).otherwise(F.col("_pii_cut.n"))
+    return made.withColumn(found, count.cast("long")).drop("_pii_cut")

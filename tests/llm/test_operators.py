@@ -320,3 +320,20 @@ def test_pseudonyms_keep_formats(spark, empty):
     assert pii.pseudonymise(empty).count() == 0
     pairs = spark.range(17 * 19).selectExpr(f"{pii.feistel('17L', '19L', 'id % 17', 'id DIV 17', chr(39) + 't' + chr(39), 'k')} AS p")
     assert {tuple(r["p"]) for r in pairs.collect()} == {(a, b) for a in range(17) for b in range(19)}
+
+
+def test_values_next_to_other_groups_are_found(spark):
+    iban, short, card = "ES91 2100 0418 4502 0005 1332", "NO93 8601 1117 947", "4111 1111 1111 1111"
+    cases = [
+        (f"{iban} BIC CAIXESBB", iban), (f"{iban} 2024", iban), (f"AB12 {iban}", iban), (f"{short} 2024 1234", short),
+        (f"pay {iban.replace(' ', '')} BIC", iban.replace(" ", "")), (f"2024 {card}", card), (f"{card} 2024", card),
+        (f"1234-{card.replace(' ', '-')}.", card.replace(" ", "-")), ("30/02/1987-11-03", "1987-11-03"), (card, card),
+    ]
+    data = [(i, t) for i, (t, _) in enumerate(cases)] + [(100, "2024 4111 1111 1112 1111 x"), (101, f"{card}, {card}")]
+    got = {r["doc_id"]: r for r in pii.pseudonymise(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    for i, (t, value) in enumerate(cases):
+        before, after = t.split(value)
+        new = got[i]["text"].removeprefix(before).removesuffix(after)
+        assert got[i]["text"] == before + new + after and new != value and len(new) == len(value) and got[i]["n_replaced"] == 1, t
+    assert got[100]["text"] == data[-2][1] and got[100]["n_replaced"] == 0
+    assert got[101]["text"] == f"{got[9]['text']}, {got[9]['text']}" and got[101]["n_replaced"] == 2
