@@ -31,15 +31,17 @@ def with_geometry(df: DataFrame) -> DataFrame:
     return df.withColumn("geometry", point_wkb("longitude", "latitude")).drop("longitude", "latitude")
 
 
-def archive_to_store(spark: SparkSession, raw: str, yearly: str, root: str) -> None:
-    """Archive and near-real-time text to yearly tables with geometry, then to the store.
+def archive_to_store(spark: SparkSession, raw: str, yearly: str, root: str, open_years: tuple[int, ...] = ()) -> None:
+    """Archive and near-real-time text to yearly tables with geometry, then both in one write to the store.
 
-    Years that an earlier run finished are not read into the yearly tables again.
+    Years that an earlier run finished are not read into the yearly tables again; ``open_years`` are
+    not finished by this run.
     """
-    for kind in ("archive", "nrt"):
-        table = f"{yearly}/{kind}"
-        write_missing_years(read_detections(spark, raw, kind).transform(with_geometry), table)
-        write_store(spark.read.parquet(table).drop("year").transform(with_timestamps), root)
+    tables = [f"{yearly}/{kind}" for kind in ("archive", "nrt")]
+    for kind, table in zip(("archive", "nrt"), tables, strict=True):
+        write_missing_years(read_detections(spark, raw, kind).transform(with_geometry), table, open_years=open_years)
+    rows = union_detections(*[spark.read.parquet(table).drop("year") for table in tables])
+    write_store(rows.transform(with_timestamps), root)
 
 
 def wanted_files(dates: DataFrame) -> DataFrame:

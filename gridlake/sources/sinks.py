@@ -65,11 +65,12 @@ def finished_years(spark: SparkSession, root: str) -> list[int]:
     return sorted(r["year"] for r in spark.read.schema("year int").parquet(done).distinct().collect())
 
 
-def write_missing_years(df: DataFrame, root: str, date: str = "acq_date") -> None:
+def write_missing_years(df: DataFrame, root: str, date: str = "acq_date", open_years: tuple[int, ...] = ()) -> None:
     """Write one partition per year, leaving out years that were finished before.
 
     Finished years are listed in ``{root}_years`` after their data, so a year that a
-    lost job left half written is written again.
+    lost job left half written is written again. Rows that come later for a finished
+    year are left out; ``open_years`` are not finished by this call and are written again by the next.
     """
     spark = df.sparkSession
     done = finished_years(spark, root)
@@ -83,6 +84,7 @@ def write_missing_years(df: DataFrame, root: str, date: str = "acq_date") -> Non
     if leftover:
         again = dated.where(F.col("year").isin(leftover)).select("year").distinct()
         written |= {r["year"] for r in again.collect()}
+    written -= set(open_years)
     if written:
         years = spark.createDataFrame([(y,) for y in sorted(written)], "year int")
         years.write.mode("append").parquet(f"{root}_years")

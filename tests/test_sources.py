@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from gridlake import fixed, session
 from gridlake.model import DETECTION_CSV
 from gridlake.operators.quality import check_ledger
-from gridlake.plans.detections import refresh_detections, with_timestamps
+from gridlake.plans.detections import archive_to_store, refresh_detections, with_timestamps
 from gridlake.plans.gridstore import update_from_files
 from gridlake.plans.reanalysis import melt_from_files
 from gridlake.sources import manifests, raster, readers, sinks, store
@@ -79,6 +79,25 @@ def test_half_written_year_is_written_again(spark, tmp_path):
     assert sorted(r.v for r in spark.read.parquet(root).collect()) == [2019, 2020]
 
 
+def test_open_year_takes_later_rows(spark, tmp_path):
+    root = str(tmp_path / "y")
+    df = spark.createDataFrame([(dt.date(2020, m, 1), m) for m in (1, 2)], "acq_date date, v int")
+    sinks.write_missing_years(df.where("v = 1"), root, open_years=(2020,))
+    sinks.write_missing_years(df, root)
+    sinks.write_missing_years(df.withColumn("v", F.lit(-1)), root)
+    assert sorted(r.v for r in spark.read.parquet(root).collect()) == [1, 2]
+
+
+def test_archive_and_near_real_time_share_partitions(spark, tmp_path):
+    row = (1.0, 2.0, 300.0, 1.0, 1.0, dt.date(2024, 1, 1), "0312", "A", "MODIS", "n", "6.1", 290.0, 5.0, "D", 0.0)
+    df = spark.createDataFrame([row], DETECTION_CSV)
+    df.write.option("header", True).csv(str(tmp_path / "raw" / "fire_archive_1.csv"))
+    late = df.withColumn("satellite", F.lit("B")).drop("type")
+    late.write.option("header", True).csv(str(tmp_path / "raw" / "fire_nrt_1.csv"))
+    archive_to_store(spark, *[str(tmp_path / d) for d in ("raw", "yearly", "store")])
+    assert sorted(r.satellite for r in readers.read_store(spark, str(tmp_path / "store")).collect()) == ["A", "B"]
+
+
 def test_hot_partition_is_cut_into_several_files(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
     try:
