@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from gridlake.session import stored
 
-__all__ = ["components", "null_to_empty", "running_total", "stored", "whole_groups"]
+__all__ = ["components", "free_name", "joined_by_key", "null_to_empty", "running_total", "stored", "whole_groups"]
+
+HOT_SHARE = 1000  # a key is hot when it has more than one of so many rows
 
 
 def null_to_empty(text):
@@ -18,6 +20,27 @@ def null_to_empty(text):
     return ["" if t is None else t for t in text]
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores until no column of ``taken`` has it in any case."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def joined_by_key(rows: DataFrame, table: DataFrame, key: str, n: str) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row and the number ``n`` of rows for each key.
+
+    Keys with at least a thousandth of all rows are at most a thousand: those are broadcast, so
+    that no task of the shuffle for the others gets a hot key. Null keys match nothing.
+    """
+    total = table.agg(F.sum(n)).first()[0] or 0
+    hot = F.col(n) * HOT_SHARE >= total
+    often = F.broadcast(table.where(hot))
+    rest = rows.join(F.broadcast(table.where(hot).select(key)), key, "left_anti").join(table.where(~hot), key)
+    return rows.join(often, key).unionByName(rest)
+
+
 def running_total(df: DataFrame, by: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """``out``: the sum of ``value`` over the rows before, within ``by`` and in ``order``.
 

@@ -5,8 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import embeddings, minhash, mixing, packed_ids, packing, pii, quality, search, suffixes, toxicity
+from gridlake.llm import (
+    embeddings,
+    minhash,
+    mixing,
+    packed_ids,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    search,
+    suffixes,
+    token_counts,
+    toxicity,
+    vector_codes,
+)
 from gridlake.llm.common import stored
+from gridlake.session import new_scratch
 
 
 def vocabulary(name: str) -> str:
@@ -135,6 +150,82 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(_documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, through a cache that is empty at first."""
+    cache = new_scratch(spark, "token-counts")
+    return token_counts.counts(_documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), cache)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every common beginning of the rebuilt conversations."""
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+# The polynomial is a fixed value of CRC-32.
+OP12_SQL = """
+WITH t AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns,
+        CAST(xor(4294967295, list_reduce(
+            list_concat([4294967295::BIGINT], list_transform(range(1, 1 + length(CAST(conv_id AS VARCHAR))), lambda i: ascii(substr(CAST(conv_id AS VARCHAR), i, 1))::BIGINT)),
+            lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda e, z: CASE WHEN e & 1 = 1 THEN xor(e >> 1, 3988292384) ELSE e >> 1 END))) % 9 AS BIGINT) AS h
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+r AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+    FROM t AS c LEFT JOIN t AS b ON b.conv_id = c.conv_id - c.conv_id % 5),
+p AS (SELECT conv_id, turns[1:depth] AS prefix, depth, len(turns) AS n FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM r)),
+n AS (
+    SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256,
+        (count(*) - 1) * coalesce(strlen(prefix[depth].text), 0) AS saved
+    FROM p GROUP BY prefix, depth),
+c AS (SELECT prefix[1:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n FROM n WHERE depth > 0 GROUP BY ALL),
+l AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM n LEFT JOIN c USING (prefix, depth)),
+s AS (
+    SELECT prefix[1:up] AS prefix, up AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS up FROM l) GROUP BY ALL)
+SELECT l.conv_id, l.depth, u.conv_id AS parent_conv_id, l.n_convs, l.n_children, n_leaves,
+    CAST(saved_tokens AS BIGINT) AS saved_tokens, l.ends_sha256
+FROM l JOIN s USING (prefix, depth) LEFT JOIN n AS u ON u.depth = l.depth - 1 AND u.prefix = l.prefix[1:l.depth - 1]
+"""
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings in 16 codebooks of 64 entries."""
+    return vector_codes.codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def _op13_sql() -> str:
+    """Rounds written out; parts have four components, as the vectors of the table have 64."""
+    nearest = """SELECT rid, a.pos, min((({}) * 64) + entry) AS near FROM p AS a JOIN c{} AS b USING (pos) GROUP BY rid, a.pos"""
+    distance = " + ".join(f"(a.v{i} - b.v{i}) * (a.v{i} - b.v{i})" for i in range(1, 5))
+    means = ", ".join(f"floor(sum(v{i}) / count(*)) AS v{i}" for i in range(1, 5))
+    rounds = [
+        f"""a{n} AS ({nearest.format(distance, n)}),
+c{n + 1} AS (SELECT pos, entry, {', '.join(f'CAST(coalesce(m.v{i}, b.v{i}) AS BIGINT) AS v{i}' for i in range(1, 5))}
+    FROM c{n} AS b LEFT JOIN (SELECT pos, near % 64 AS entry, {means} FROM p JOIN a{n} USING (rid, pos) GROUP BY ALL) AS m
+    USING (pos, entry))"""
+        for n in range(2)
+    ]
+    return f"""
+WITH k AS (
+    SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, list_transform(embedding, lambda c: CAST(floor(256 * c::DOUBLE) AS BIGINT)) AS x
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+p AS (
+    SELECT rid, pos, x[4 * pos + 1] AS v1, x[4 * pos + 2] AS v2, x[4 * pos + 3] AS v3, x[4 * pos + 4] AS v4
+    FROM k, range(16) AS r(pos)),
+c0 AS (SELECT pos, rid - 1 AS entry, v1, v2, v3, v4 FROM p WHERE rid <= 64),
+{", ".join(rounds)},
+f AS ({nearest.format(distance, 2)}),
+o AS (SELECT rid, string_agg(printf('%02x', near % 64), '' ORDER BY pos) AS code, CAST(sum(near // 64) AS BIGINT) AS error FROM f GROUP BY rid),
+h AS (SELECT sha256(string_agg(v1 || ',' || v2 || ',' || v3 || ',' || v4, ',' ORDER BY pos, entry)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM o JOIN k USING (rid), h
+"""
+
+
+OP13_SQL = _op13_sql()
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_embedding_links": op2_embedding_links,
@@ -146,5 +237,14 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_mixing": op9_mixing,
     "op10_pii": op10_pii,
+    "op11_token_counts": op11_token_counts,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_vector_codes": op13_vector_codes,
+}
+ORACLES = {
+    "op2_embedding_links": OP2_SQL,
+    "op7_search": OP7_SQL,
+    "op9_mixing": OP9_SQL,
+    "op12_prefix_trie": OP12_SQL,
+    "op13_vector_codes": OP13_SQL,
 }
-ORACLES = {"op2_embedding_links": OP2_SQL, "op7_search": OP7_SQL, "op9_mixing": OP9_SQL}

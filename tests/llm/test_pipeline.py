@@ -14,7 +14,7 @@ from tests.conftest import SF_DIR
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_its_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_DIR}/{t}.parquet')")
     want = con.sql(ORACLES[name]).df()
     got = QUERIES[name](spark, SF_DIR).toPandas()[list(want.columns)]
