@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridlake.session import stored
 
-__all__ = ["components", "free_name", "joined_by_key", "null_to_empty", "running_total", "stored", "whole_groups"]
+__all__ = ["components", "free_name", "joined_by_key", "null_to_empty", "running_total", "small_batches", "stored", "whole_groups"]
 
 HOT_SHARE = 1000  # a key is hot when it has more than one of so many rows
 
@@ -20,6 +21,18 @@ def null_to_empty(text):
     return ["" if t is None else t for t in text]
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500):
+    """Tables written inside hand whole texts to Python at most ``rows`` at a time, which bounds its memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def free_name(name: str, taken: Iterable[str]) -> str:
     """``name``, with underscores until no column of ``taken`` has it in any case."""
     used = {t.lower() for t in taken}

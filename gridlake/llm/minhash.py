@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import components, stored, whole_groups
+from gridlake.llm.common import components, small_batches, stored, whole_groups
 from gridlake.llm.shingles import batches, mixed, shingles
 
 BANDS, ROWS = 26, 5  # a pair of similarity 0.8 is missed in 1 of 30,000 cases
@@ -195,8 +195,8 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
     def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for lo in range(0, len(frame), 256):
-                part = frame.iloc[lo : lo + 256]
+            for lo in range(0, len(frame), 64):
+                part = frame.iloc[lo : lo + 64]
                 alike = jaccard(list(part["left"]), list(part["right"])) >= threshold
                 yield part.loc[alike, ["a", "b"]]
 
@@ -226,14 +226,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     star = centred.select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
     registers = sketch.select("node", "registers").join(mass.select("node"), "node", "left_semi").dropDuplicates(["node"])
     registers = stored(registers, "registers")
-    links = stored(verified(plausible(star, registers), texts, threshold), "links")
+    found = verified(plausible(star, registers), texts, threshold)
+    with small_batches(docs.sparkSession):
+        links = stored(found, "links")
     roots = components(links)
 
     inside = members.join(roots, "node", "left").select("bucket", "band", "node", F.coalesce("root", "node").alias("root"))
     counts = inside.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("classes"))
     mixed_ = stored(inside.join(main.where("classes > 1").drop("classes"), "bucket"), "mixed")
-    more = stored(verified(across(mixed_, registers), texts, threshold), "links")
+    found = verified(across(mixed_, registers), texts, threshold)
+    with small_batches(docs.sparkSession):
+        more = stored(found, "links")
     if not more.isEmpty():
         roots = components(links.union(more))
     named = docs.select(*[c for c in docs.columns if c != "class_key"], node.alias("_node"), (F.trim(whole) == "").alias("_blank"))

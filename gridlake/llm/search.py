@@ -24,13 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import null_to_empty, stored
+from gridlake.llm.common import null_to_empty, small_batches, stored
 from gridlake.llm.shingles import batches, range_hashes
 
 K1, B = 1.2, 0.75
 BLOCK = 64
 BUNDLES = 32
-SHARD_BYTES = 32 * 1024 * 1024
+SHARD_BYTES = 12 * 1024 * 1024
 QUERIES_AT_ONCE = 64  # of one group of a shard
 DIGITS = 6
 SLACK = 10.0**-DIGITS
@@ -76,7 +76,8 @@ def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
 
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = plain.mapInPandas(indexed, INDEX + ", ids array<long>")
-    rows = stored(rows, "index")
+    with small_batches(docs.sparkSession):
+        rows = stored(rows, "index")
     known = rows.where("ids IS NOT NULL").select("shard", F.posexplode("ids").alias("place", "doc_id"), "lengths")
     return rows.drop("ids"), known.drop("lengths")
 
