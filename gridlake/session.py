@@ -75,6 +75,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def path_state(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """Bytes and time of last change (milliseconds) of a file, or of a folder with what is in it; None where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return None
+    return system.getContentSummary(target).getLength(), system.getFileStatus(target).getModificationTime()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of this library and what is in it; nothing where it does not exist."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -12,9 +12,27 @@ from gridlake.model import DETECTION_CSV, KEYS, nan_to_null
 from gridlake.operators.select import bbox as within
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
-    """Text with a header. A header that does not fit the schema is an error."""
-    return spark.read.schema(schema).options(header=True, enforceSchema=False).csv(paths)
+def read_csv(
+    spark: SparkSession, paths: str | list[str], schema: T.StructType, malformed: str | None = None
+) -> DataFrame:
+    """Text with a header. A header that does not fit the schema is an error.
+
+    Values that cannot be read become missing; ``malformed`` names a column for the whole text of such
+    lines, which is missing where the line is in order.
+    """
+    reader = spark.read.options(header=True, enforceSchema=False)
+    if malformed is not None:
+        schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
+    return reader.schema(schema).csv(paths)
+
+
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path, line``: the first line of every file that has one."""
+    lines = spark.read.text(paths).where(F.col("_metadata.file_block_start") == 0)
+    # Numbers grow along a file, so the least one of its first block is that of its first line.
+    numbered = lines.select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("n"))
+    return numbered.groupBy("path").agg(F.min_by("value", "n").alias("line"))
 
 
 def read_detections(
@@ -31,11 +49,15 @@ def read_detections(
 
 
 def read_instrument(
-    spark: SparkSession, paths: str | list[str], instrument: str, schema: T.StructType = DETECTION_CSV
+    spark: SparkSession,
+    paths: str | list[str],
+    instrument: str,
+    schema: T.StructType = DETECTION_CSV,
+    malformed: str | None = None,
 ) -> DataFrame:
     """Daily files of one instrument, tagged with its name."""
     schema = T.StructType([f for f in schema.fields if f.name != "instrument"])
-    return read_csv(spark, paths, schema).withColumn("instrument", F.lit(instrument))
+    return read_csv(spark, paths, schema, malformed).withColumn("instrument", F.lit(instrument))
 
 
 def read_cube(

@@ -20,6 +20,7 @@ from gridlake.operators.timeaxis import catch_up_dates, distinct_keys, union_det
 from gridlake.plans.detections import archive_to_store, refresh_detections, with_geometry, with_timestamps, wanted_files
 from gridlake.sources.readers import read_detections, read_instrument, read_store
 from gridlake.sources.sinks import write_daily_text, write_missing_years, write_store
+from gridlake.sources.slots import read_rejects, read_slots
 from workload.registry import query
 
 _INSTRUMENT = (
@@ -192,6 +193,69 @@ def _(t):
     )
 
 
+_WAVE = """CASE WHEN acq_date < DATE '2024-01-10' THEN 0
+  WHEN satellite = '1' AND acq_date <= DATE '2024-01-15' AND day(acq_date) % 2 = 0 THEN 3
+  WHEN satellite = 'N' AND acq_date = DATE '2024-01-18' THEN 3
+  WHEN acq_date <= DATE '2024-01-15' THEN 1 WHEN acq_date <= DATE '2024-01-22' THEN 2 ELSE 3 END"""
+
+
+def _in_waves(t) -> str:
+    """A store up to January 9, then files in three waves: some come one or two runs late, and in some lines
+    the brightness is no number."""
+    return t.once("waves", lambda root: _waves_below(t, root)) + "/store"
+
+
+def _waves_below(t, root: str) -> None:
+    rows = t.det_csv().withColumns({"instrument": F.expr(_INSTRUMENT), "wave": F.expr(_WAVE)})
+    write_store(rows.where("wave = 0").drop("wave").transform(with_timestamps).transform(with_geometry), f"{root}/store")
+    text = rows.withColumn("brightness", F.when(F.round("frp") % 5 == 0, F.lit("saturated")).otherwise(F.col("brightness").cast("string")))
+    for wave, today in ((1, 15), (2, 22), (3, 31)):
+        for name, template in fixed.DAILY_FILES.items():
+            part = text.where((F.col("wave") == wave) & (F.col("instrument") == name)).drop("instrument", "wave")
+            write_daily_text(part, f"{root}/in/{name}", template.split("%")[0])
+        refresh_detections(
+            t.spark, f"{root}/store", f"{root}/in/{{instrument}}/file_key={{name}}", dt.date(2024, 1, today),
+            start=dt.date(2024, 1, 10),
+        )
+
+
+@query(
+    "i4_late_files",
+    f"""SELECT acq_date, acq_time, satellite, {_INSTRUMENT} AS instrument, version, latitude, longitude, frp FROM det
+WHERE acq_date < DATE '2024-01-10' OR round(frp) % 5 <> 0""",
+    "frp",
+)
+def _(t):
+    xy = wkb_xy("geometry")
+    return read_store(t.spark, _in_waves(t)).select(
+        "acq_date", "acq_time", "satellite", "instrument", "version",
+        xy["lat"].alias("latitude"), xy["lon"].alias("longitude"), "frp",
+    )
+
+
+@query(
+    "i4_slot_states",
+    f"""SELECT acq_date AS date, {_INSTRUMENT} AS instrument, 'stored' AS state, max({_WAVE})::BIGINT AS wave,
+  count(*) FILTER (WHERE round(frp) % 5 <> 0) AS rows, count(*) FILTER (WHERE round(frp) % 5 = 0) AS rejected
+FROM det WHERE acq_date >= DATE '2024-01-10' GROUP BY 1, 2""",
+)
+def _(t):
+    found = read_slots(t.spark, _in_waves(t))
+    # The first run of the ledger says where slots begin.
+    return found.select("date", "instrument", "state", (F.col("run") - 1).alias("wave"), "rows", "rejected")
+
+
+@query(
+    "q8_rejected_lines",
+    f"""SELECT acq_date AS date, {_INSTRUMENT} AS instrument, acq_time, satellite, count(*) AS n FROM det
+WHERE acq_date >= DATE '2024-01-10' AND round(frp) % 5 = 0 GROUP BY ALL""",
+)
+def _(t):
+    fields = F.split("line", ",")
+    rejects = read_rejects(t.spark, _in_waves(t))
+    return rejects.groupBy("date", "instrument", fields[6].alias("acq_time"), fields[7].alias("satellite")).agg(F.count("*").alias("n"))
+
+
 @query(
     "s8_wanted_files",
     """SELECT CAST(d AS DATE) AS date, instrument, prefix || strftime(d, '%Y%j') || '.txt' AS path

@@ -141,16 +141,20 @@ class Tables:
     def scratch(self, name: str) -> str:
         return new_scratch(self.spark, name)
 
-    def cube_files(self) -> str:
-        """The cube written once as one folder of Parquet per day."""
-        key = (self.spark.sparkContext.applicationId, self.dir, "cube_files")
+    def once(self, name: str, write) -> str:
+        """A folder that ``write`` fills on first use."""
+        key = (self.spark.sparkContext.applicationId, self.dir, name)
         if key not in self._written:
-            root = self.scratch("cube_files")
-            days = self.cube.withColumn("day", F.to_date("time"))
-            days.hint("rebalance", "day").write.partitionBy("day").parquet(root)
+            root = self.scratch(name)
+            write(root)
             self._written[key] = root
         return self._written[key]
 
+    def cube_files(self) -> str:
+        """The cube written once as one folder of Parquet per day."""
+        days = self.cube.withColumn("day", F.to_date("time")).hint("rebalance", "day")
+        return self.once("cube_files", days.write.partitionBy("day").parquet)
+
     def det_csv(self) -> DataFrame:
         """Detections with the columns of the text files, in their order."""
         return self.det.select(
