@@ -10,10 +10,21 @@ from gridlake import fixed
 NEWTON_STEPS = 6
 
 
-def energy_flux(cube: DataFrame, out: str = "flux") -> DataFrame:
-    """Net flux into the surface."""
-    flux = F.col("SWGNT") + F.col("LWGAB") - F.col("HFLUX") - F.col("EFLUX") + F.col("GHTSKIN")
-    return cube.withColumn(out, flux)
+def energy_flux(cube: DataFrame, out: str = "flux", prefix: str = "") -> DataFrame:
+    """Net flux into the surface; ``prefix`` is that of the names of the surface fluxes."""
+    hflux, eflux, ghtskin = (F.col(prefix + v) for v in ("HFLUX", "EFLUX", "GHTSKIN"))
+    return cube.withColumn(out, F.col("SWGNT") + F.col("LWGAB") - hflux - eflux + ghtskin)
+
+
+def day_before(cube: DataFrame, variable: str, day: str = "_day", out: str = "_halo", cell: tuple[str, ...] = ("lat", "lon")) -> DataFrame:
+    """For each cell and day, the last value of the day before it that the cell has in the same year.
+
+    One row for each border between days: the day that needs it, and the value in a struct, as it may be missing.
+    """
+    value = F.struct(F.col(variable).alias("v"))
+    last = cube.groupBy(*cell, day).agg(F.max_by(value, "time").alias(out))
+    next_day = F.lead(day).over(Window.partitionBy(*cell, F.year(day)).orderBy(day))
+    return last.select(*cell, out, next_day.alias(day)).where(F.col(day).isNotNull())
 
 
 def previous_value(

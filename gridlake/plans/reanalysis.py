@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridlake import fixed
 from gridlake.model import KEYS, copy_attrs, set_attrs, variables
 from gridlake.operators.aggregate import resample_daily, spatial_mean
-from gridlake.operators.energy import energy_flux, melt_rate, previous_value, surface_temperature
+from gridlake.functions.times import to_ntz
+from gridlake.operators.energy import day_before, energy_flux, melt_rate, previous_value, surface_temperature
 from gridlake.operators.joins import attach
 from gridlake.operators.select import bbox, wrapped_bbox
 from gridlake.sources.readers import read_cube
@@ -38,15 +39,38 @@ def hourly_melt(rad: DataFrame, flx: DataFrame) -> DataFrame:
 def daily_melt(rad: DataFrame, int_: DataFrame, flx: DataFrame, slv: DataFrame, region) -> DataFrame:
     """Daily means of four products over a region, with surface temperature and melt.
 
-    The products are stacked with their own variables and averaged in one aggregation,
-    which equals four daily means merged on cell and day.
+    The products are stacked with their own variables and dealt by cell and day once. Each day of a cell
+    also gets the last temperature of the day before as a row of its own, so the previous value, the
+    fluxes of the same hour, the melt and the means all come from the same sorted rows. Means over the
+    stack equal four daily means merged on cell and day.
     """
     rad, int_, flx, slv = (product.transform(bbox, region) for product in (rad, int_, flx, slv))
-    parts = [hourly_melt(rad, flx), int_, flx, slv]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    daily = resample_daily(stacked, "mean", names=[v for p in parts for v in variables(p)])
-    for part in parts:
+    names = [v for p in (rad, int_, flx, slv) for v in variables(p)]
+    names[len(variables(rad)) : len(variables(rad))] = ["TScalc", "SMELT"]
+    day = to_ntz(F.to_date("time"))
+    parts = [rad.withColumn("_rad", F.lit(True)), int_, flx, slv]
+    stacked = [p.withColumn("_day", day) for p in parts] + [day_before(rad.withColumn("_day", day), "TS")]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
+
+    # The row of the day before has no time and comes first.
+    earlier = Window.partitionBy("lat", "lon", "_day").orderBy("time").rowsBetween(Window.unboundedPreceding, -1)
+    known = F.coalesce("_halo", F.when(F.col("_rad"), F.struct(F.col("TS").alias("v"))))
+    before = F.last(known, ignorenulls=True).over(earlier)
+    hour = Window.partitionBy("lat", "lon", "_day", "time")
+    melted = (
+        rows.withColumn("_before", before)
+        .withColumns({f"_{v}": F.max(v).over(hour) for v in ("HFLUX", "EFLUX", "GHTSKIN")})
+        .where(F.col("_halo").isNull())
+        .withColumn("TS_before", F.when(F.col("_before").isNull(), F.col("TS")).otherwise(F.col("_before.v")))
+        .transform(energy_flux, prefix="_")
+        .transform(surface_temperature)
+        .transform(melt_rate)
+        .withColumns({v: F.when(F.col("_rad"), F.col(v)) for v in ("TScalc", "SMELT")})
+    )
+    daily = melted.groupBy(F.col("_day").alias("time"), "lat", "lon").agg(*[F.avg(v).alias(v) for v in names])
+    for part in (rad, int_, flx, slv):
         daily = copy_attrs(part, daily)
+    daily = set_attrs(daily, "SMELT", fixed.MELT_ATTRS)
     return set_attrs(daily, "TScalc", dict(rad.schema["TS"].metadata))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
@@ -84,6 +85,43 @@ def path_state(spark: SparkSession, path: str) -> tuple[int, int] | None:
     return system.getContentSummary(target).getLength(), system.getFileStatus(target).getModificationTime()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file whole."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that must not be there yet."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename in one step; False where the new name is taken."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    paths = [hadoop.Path(p) for p in (source, target)]
+    context = hadoop.FileContext.getFileContext(
+        paths[1].getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration()
+    )
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(*paths, options)
+    except Py4JJavaError as error:
+        if path_exists(spark, target) and path_exists(spark, source):
+            return False
+        raise error
+    return True
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of this library and what is in it; nothing where it does not exist."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

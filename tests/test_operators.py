@@ -17,6 +17,7 @@ from gridlake.functions.positions import axis_index
 from gridlake.model import KEYS
 from gridlake.operators import aggregate, energy, joins, quality, select, timeaxis
 from gridlake.operators.axes import chunk_ids, complete, spread_over
+from gridlake.plans import reanalysis
 from gridlake.sources.readers import read_cube
 from tests.conftest import rows
 
@@ -282,3 +283,22 @@ def test_chunk_plan_with_copies(spark):
     got = aggregate.chunk_plan(spark.createDataFrame([(p,) for p in paths], "path string"), 4)
     want = [tuple([i, len(c), c[0], c[-1]]) for i, c in enumerate(paths[k : k + 4] for k in range(0, len(paths), 4))]
     assert rows(got) == want
+
+
+def test_daily_melt_shuffles_the_hours_once(spark, cube):
+    hours = cube.withColumns({v: F.col("SWGNT") + i for i, v in enumerate(("LWGAB", "HFLUX", "EFLUX", "GHTSKIN", "PRECSN", "T2M"))})
+    rad = hours.select("time", "lat", "lon", "SWGNT", "LWGAB", "TS").where("hour(time) % 7 <> 3")
+    int_ = hours.select("time", "lat", "lon", "PRECSN")
+    flx = hours.select("time", "lat", "lon", "HFLUX", "EFLUX", "GHTSKIN").where("hour(time) % 5 <> 2")
+    slv = hours.select("time", "lat", "lon", "T2M")
+    got = reanalysis.daily_melt(rad, int_, flx, slv, (55.0, 90.0, 0.0, 360.0))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # The hours, and twice the one row of each cell and day.
+    assert plan.count("Exchange hashpartitioning") == 3 and "Join" not in plan
+    hourly = reanalysis.hourly_melt(rad, flx)
+    parts = [aggregate.resample_daily(p) for p in (hourly, int_, flx, slv)]
+    want = joins.merge_cubes(*parts, on=("time", "lat", "lon"))
+    names = want.columns
+    rounded = [F.round(c, 6).alias(c) if c not in ("time", "lat", "lon") else c for c in names]
+    assert rows(got.select(*rounded)) == rows(want.select(*rounded))
+    assert got.schema["SMELT"].metadata == fixed.MELT_ATTRS

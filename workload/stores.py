@@ -28,6 +28,7 @@ from gridlake.plans.rasters import monthly_rasters
 from gridlake.plans.sealevel import height_change_tiles
 from gridlake.plans.soil import soil_cube
 from gridlake.sources.raster import geotransform, raster_tiles, tile_cells
+from gridlake.sources import versioned
 from gridlake.sources.store import (
     create_store,
     processed_files,
@@ -93,6 +94,80 @@ def _(t):
     return read_cells(t.spark, _upserted(t), since, until).drop("time_chunk")
 
 
+def _three_versions(t) -> str:
+    """The changes of ``_upserted`` as versions 1 to 3, and as version 4 one region in one day, cell by cell."""
+
+    def write(root):
+        cube = _small(t)
+        versioned.create(cube.where("time >= '2024-01-05' AND time < '2024-01-17'"), root, 120, 3600, rows_per_file=200)
+        versioned.upsert(root, cube.where("time >= '2024-01-14'").withColumn("SWGNT", F.col("SWGNT") + 1000), batch="late")
+        versioned.upsert(root, cube.where("time < '2024-01-05'"), batch="early")
+        north = cube.where("lat > 70 AND time >= '2024-01-20' AND time < '2024-01-21'")
+        versioned.upsert(root, north.withColumns({"TS": F.lit(7.0), "SWGNT": F.col("SWGNT") + 1000}), by_cell=True, batch="north")
+
+    return t.once("versions", write)
+
+
+_V4 = """(SELECT time, lat, lon, CASE WHEN lat > 70 AND time >= TIMESTAMP '2024-01-20' AND time < TIMESTAMP '2024-01-21' THEN 7 ELSE TS END AS TS,
+  CASE WHEN time >= TIMESTAMP '2024-01-14' THEN SWGNT + 1000 ELSE SWGNT END AS SWGNT FROM cube)"""
+
+
+@query("i2_versioned_store", f"SELECT * FROM {_V4}", "TS SWGNT")
+def _(t):
+    return versioned.read(t.spark, versioned.open_version(t.spark, _three_versions(t)))
+
+
+@query(
+    "i2_time_travel",
+    """SELECT time, lat, lon, TS, CASE WHEN time >= TIMESTAMP '2024-01-14' THEN SWGNT + 1000 ELSE SWGNT END AS SWGNT
+FROM cube WHERE time >= TIMESTAMP '2024-01-05'""",
+    "TS SWGNT",
+)
+def _(t):
+    return versioned.read(t.spark, versioned.open_version(t.spark, _three_versions(t), 2))
+
+
+@query(
+    "s12_box_of_store",
+    f"""SELECT * FROM {_V4} WHERE lat BETWEEN 60 AND 75 AND lon BETWEEN 36 AND 80
+AND time BETWEEN TIMESTAMP '2024-01-03 07:00:00' AND TIMESTAMP '2024-01-20 09:00:00'""",
+    "TS SWGNT",
+)
+def _(t):
+    store = versioned.open_version(t.spark, _three_versions(t))
+    return versioned.read(t.spark, store, dt.datetime(2024, 1, 3, 7), dt.datetime(2024, 1, 20, 9), (60, 75, 36, 80))
+
+
+@query(
+    "q4_compare_versions",
+    f"""SELECT 'TS' AS variable, (SELECT count(*) FROM cube) AS n_cells,
+  count(*) FILTER (WHERE trunc(a.TS) IS DISTINCT FROM trunc(b.TS)) AS n_different FROM cube AS a JOIN {_V4} AS b USING (time, lat, lon)
+UNION ALL SELECT 'SWGNT', (SELECT count(*) FROM cube), 0""",
+)
+def _(t):
+    root = _three_versions(t)
+    return versioned.compare(t.spark, *[versioned.open_version(t.spark, root, v) for v in (3, 4)], ["TS", "SWGNT"])
+
+
+@query(
+    "a21_bounds_of_store",
+    "SELECT count(*) AS n_cells, min(time) AS min_time, max(time) AS max_time, min(lat) AS min_x, max(lat) AS max_x, min(lon) AS min_y, max(lon) AS max_y FROM cube",
+    "min_x max_x min_y max_y",
+)
+def _(t):
+    return versioned.bounds(t.spark, versioned.open_version(t.spark, _three_versions(t)))
+
+
+@query(
+    "a23_sums_of_store",
+    f"""SELECT variable, count(v) AS n, avg(v) AS mean, min(v) AS low, max(v) AS high
+FROM (SELECT 'TS' AS variable, TS AS v FROM {_V4} UNION ALL SELECT 'SWGNT', SWGNT FROM {_V4}) GROUP BY 1""",
+    "mean low high",
+)
+def _(t):
+    return versioned.summary(t.spark, versioned.open_version(t.spark, _three_versions(t)))
+
+
 @query(
     "i2_extended_axis",
     """SELECT origin + to_hours(i) AS time, i // 120 - 1000 AS time_chunk FROM (
