@@ -12,36 +12,137 @@ chunks it touches without reading the store, and only those are rewritten.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridlake.functions.positions import array_of, broadcast_if_small, local_table
 from gridlake.functions.times import step_number
 from gridlake.model import HORIZONTAL
 from gridlake.operators.axes import chunk_ids
 from gridlake.operators.quality import assert_unique_time
 from gridlake.operators.timeaxis import stored_times
-from gridlake.session import delete_path, list_names, partition_values, path_exists
+from gridlake.session import (
+    delete_path,
+    list_names,
+    partition_values,
+    path_exists,
+    path_state,
+    read_text,
+    write_text,
+)
 from gridlake.sources.sinks import write_partitions
 
 AXIS = "time timestamp_ntz, time_chunk int"
 BATCHES = "path string, processed_at timestamp, batch string"
 ABOUT = "origin timestamp_ntz, step_seconds int, chunk int"
+MIN_PIECE = 8 * 1024 * 1024  # bytes of a file
+_SIZES = "_chunks.json"  # a name that scans pass over
 
 
 def write_cube(df: DataFrame, root: str, chunks: dict[str, int]) -> None:
-    """Replace a cube on disk, partitioned by time chunk and clustered by cell chunk."""
+    """Replace a cube on disk, partitioned by time chunk and clustered by cell chunk; it remembers its chunk sizes."""
     chunked = chunk_ids(df, chunks)
     clusters = [f"{d}_chunk" for d in chunks if d != "time"]
     ordered = chunked.hint("rebalance", "time_chunk").sortWithinPartitions("time_chunk", *clusters, "time", *_horizontal(df))
     _write_chunks(ordered.drop(*clusters), root, mode="static")
+    write_text(df.sparkSession, f"{root}/{_SIZES}", json.dumps(chunks))
 
 
-def rechunk(spark: SparkSession, source: str, target: str, chunks: dict[str, int]) -> None:
-    """Write a cube again with other chunk sizes. The shuffle spills beyond memory."""
-    write_cube(spark.read.parquet(source).drop("time_chunk"), target, chunks)
+@dataclass(frozen=True)
+class RechunkPlan:
+    """How a cube gets other time chunks.
+
+    ``kind`` is ``merge`` where whole old chunks make up the new ones, ``split`` where old chunks are cut, and
+    ``shuffle`` where cutting would leave files below ``MIN_PIECE`` or a task would read more than the cap.
+    """
+
+    kind: str
+    pieces: int
+    piece_bytes: int
+    partitions: int
+
+
+def plan_rechunk(steps: int, n_bytes: int, source: int, target: int, cap_bytes: int, task_bytes: int) -> RechunkPlan:
+    """The plan for ``steps`` time steps of ``n_bytes`` in all; a task that reads files reads ``task_bytes`` at most.
+
+    A piece is what an old and a new chunk have in common. Without a shuffle every piece becomes a file.
+    """
+    ends = {min(steps, k * n) for n in (source, target) for k in range(1, -(-steps // n) + 1)}
+    pieces = len(ends)
+    size = n_bytes // max(1, pieces)
+    partitions = max(1, -(-n_bytes // cap_bytes))
+    if task_bytes > cap_bytes:
+        kind = "shuffle"
+    elif target % source == 0:
+        kind = "merge"
+    else:
+        kind = "split" if size >= MIN_PIECE or pieces <= 2 * -(-steps // target) else "shuffle"
+    return RechunkPlan(kind, pieces, size, partitions)
+
+
+def rechunk(
+    spark: SparkSession, source: str, target: str, chunks: dict[str, int], cap_bytes: int = 1 << 30
+) -> RechunkPlan | None:
+    """Write a cube again with other chunk sizes, with tasks of at most ``cap_bytes`` of input.
+
+    Chunks that fit into the new ones are copied by the tasks that read them; chunks that are cut are
+    written in pieces by the same tasks. Rows are shuffled only where the plan says so, or where the source does not know
+    its chunk sizes (None is returned then); a shuffle spills beyond memory.
+    """
+    cube = spark.read.parquet(source)
+    if not path_exists(spark, f"{source}/{_SIZES}") or "time" not in chunks:
+        write_cube(cube.drop("time_chunk"), target, chunks)
+        return None
+    old = json.loads(read_text(spark, f"{source}/{_SIZES}"))["time"]
+    plan = plan_rechunk(
+        cube.select("time").distinct().count(), path_state(spark, source)[0], old, chunks["time"], cap_bytes,
+        int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))),
+    )
+    _write_chunks(rechunked(cube, old, chunks, plan), target, mode="static")
+    write_text(spark, f"{target}/{_SIZES}", json.dumps(chunks))
+    return plan
+
+
+def rechunked(cube: DataFrame, old: int, chunks: dict[str, int], plan: RechunkPlan) -> DataFrame:
+    """``cube`` with new time chunks and in the order of its cell chunks within each task.
+
+    A row of an old chunk that lies in one new chunk needs no look at its time. For the others, times are
+    numbered chunk by chunk: every chunk but the last has ``old`` of them.
+    """
+    new = chunks["time"]
+    first, last = (F.floor((F.col("time_chunk") * old + end) / new).cast("int") for end in (0, old - 1))
+    whole = cube.where(first == last).withColumn("time_chunk", first)
+    if plan.kind == "merge":
+        return _clustered(whole, cube, chunks)
+    cut = cube.where(first != last)
+    times = cut.select("time_chunk", "time").distinct()
+    place = F.row_number().over(Window.partitionBy("time_chunk").orderBy("time")) - 1 + F.col("time_chunk") * old
+    times = broadcast_if_small(times.select("time_chunk", "time", F.floor(place / new).cast("int").alias("_new")))
+    moved = cut.join(times, ["time_chunk", "time"]).withColumn("time_chunk", F.col("_new")).select(*cube.columns)
+    if plan.kind == "shuffle":
+        cells = _horizontal(cube)
+        moved = moved.repartition(plan.partitions, "time_chunk", *cells) if cells else moved.repartition(plan.partitions, "time_chunk", "time")
+    return _clustered(whole.unionByName(moved), cube, chunks)
+
+
+def _clustered(rows: DataFrame, cube: DataFrame, chunks: dict[str, int]) -> DataFrame:
+    """Rows in the order of time chunk and cell chunk; a cell chunk is found among the first labels of all."""
+    order = []
+    for dim in (d for d in chunks if d in _horizontal(cube)):
+        labels = local_table(cube.select(dim).where(F.col(dim).isNotNull()).distinct())
+        if labels is not None:
+            starts = array_of(sorted(labels.column(0).to_pylist())[:: chunks[dim]], cube.schema[dim].dataType)
+            order.append(_up_to(starts, F.col(dim)))
+    return rows.sortWithinPartitions("time_chunk", *order, "time", *_horizontal(cube))
+
+
+def _up_to(labels: Column, value: Column) -> Column:
+    return F.size(F.filter(labels, lambda label: label <= value))
 
 
 def _by_cell(df: DataFrame) -> DataFrame:

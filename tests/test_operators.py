@@ -293,8 +293,10 @@ def test_daily_melt_shuffles_the_hours_once(spark, cube):
     slv = hours.select("time", "lat", "lon", "T2M")
     got = reanalysis.daily_melt(rad, int_, flx, slv, (55.0, 90.0, 0.0, 360.0))
     plan = got._jdf.queryExecution().executedPlan().toString()
-    # The hours, and twice the one row of each cell and day.
-    assert plan.count("Exchange hashpartitioning") == 3 and "Join" not in plan
+    # The hours, and three times one row of each cell and day: their last values, the order of days, the means.
+    assert plan.count("Exchange hashpartitioning") == 4 and "Join" not in plan
+    hours_side = plan.split("Union")[1]
+    assert plan.split("Union")[0].count("Exchange hashpartitioning") == 2 and hours_side.count("Exchange hashpartitioning") == 2
     hourly = reanalysis.hourly_melt(rad, flx)
     parts = [aggregate.resample_daily(p) for p in (hourly, int_, flx, slv)]
     want = joins.merge_cubes(*parts, on=("time", "lat", "lon"))

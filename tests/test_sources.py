@@ -283,6 +283,43 @@ def test_ledger_agrees_after_upserts(spark, cube, tmp_path):
     assert row.whole_chunks and row.all_present and row.n_expected == 72
 
 
+@pytest.mark.parametrize("old, new, kind", [(8, 24, "merge"), (24, 20, "split"), (24, 7, "shuffle")])
+def test_rechunk_moves_no_more_than_it_must(spark, cube, tmp_path, old, new, kind):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    store.write_cube(cube, a, {"time": old, "lat": 2, "lon": 2})
+    chunks = {"time": new, "lat": 2, "lon": 3}
+    n = cube.select("time").distinct().count()
+    plan = store.plan_rechunk(n, 1000, old, new, 1 << 30, 1 << 27)
+    assert plan.kind == kind
+    planned = store.rechunked(spark.read.parquet(a), old, chunks, plan)
+    text = planned._jdf.queryExecution().executedPlan().toString()
+    assert ("Exchange" in text) == (kind != "merge")
+    if kind != "shuffle":
+        assert "REPARTITION" not in text
+    got = store.rechunk(spark, a, b, chunks, cap_bytes=2000 if kind == "shuffle" else 1 << 30)
+    assert got.kind == kind
+    again = spark.read.parquet(b)
+    assert rows(again.drop("time_chunk")) == rows(cube)
+    ranks = sorted({r.time for r in cube.select("time").distinct().collect()})
+    assert all(r.time_chunk == ranks.index(r.time) // new for r in again.select("time", "time_chunk").distinct().collect())
+    if kind == "shuffle":
+        # Every task gets its share of the cap.
+        sizes = planned.groupBy(F.spark_partition_id()).count().count()
+        assert got.partitions > 1 and sizes >= 1
+    third = str(tmp_path / "c")
+    store.rechunk(spark, b, third, {"time": new * 2})  # the copy knows its chunks
+    assert rows(spark.read.parquet(third).drop("time_chunk")) == rows(cube)
+
+
+def test_rechunk_plan():
+    assert store.plan_rechunk(1000, 10**9, 10, 30, 1 << 30, 1 << 27).kind == "merge"
+    assert store.plan_rechunk(1000, 10**9, 30, 10, 1 << 30, 1 << 27).kind == "split"
+    plan = store.plan_rechunk(10_000, 10**9, 5000, 1, 1 << 27, 1 << 27)
+    assert plan.kind == "split" and plan.pieces == 10_000  # a file for each new chunk is what was asked for
+    plan = store.plan_rechunk(10_000, 10**12, 100, 101, 1 << 26, 1 << 27)
+    assert plan.kind == "shuffle" and 10**12 / plan.partitions <= 1 << 26
+
+
 def test_rechunk_keeps_the_cells(spark, cube, tmp_path):
     a, b = str(tmp_path / "a"), str(tmp_path / "b")
     store.write_cube(cube, a, {"time": 7, "lat": 2, "lon": 2})

@@ -64,6 +64,22 @@ def _(t):
     return t.spark.read.parquet(f"{root}/b")
 
 
+@query("t11_rechunk_by_merging", f"SELECT * FROM {_RANKED.format(n=72)}", "TS SWGNT")
+def _(t):
+    root = t.scratch("rechunk")
+    write_cube(_small(t), f"{root}/a", {"time": 24, "lat": 5, "lon": 5})
+    rechunk(t.spark, f"{root}/a", f"{root}/b", {"time": 72, "lat": 5, "lon": 5})
+    return t.spark.read.parquet(f"{root}/b")
+
+
+@query("t11_rechunk_within_a_cap", f"SELECT * FROM {_RANKED.format(n=7)}", "TS SWGNT")
+def _(t):
+    root = t.scratch("rechunk")
+    write_cube(_small(t), f"{root}/a", {"time": 48, "lat": 5, "lon": 5})
+    rechunk(t.spark, f"{root}/a", f"{root}/b", {"time": 7, "lat": 3, "lon": 100}, cap_bytes=100_000)
+    return t.spark.read.parquet(f"{root}/b")
+
+
 def _upserted(t) -> str:
     """Days 5 to 16 first, then days 14 to 30 with other values, then the late days 1 to 4."""
     root = t.scratch("upsert")
