@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlake.functions.positions import broadcast_if_small
 from gridlake.llm.common import null_to_empty, stored
 from gridlake.llm.tokens import encoder
 
@@ -134,6 +135,8 @@ def pack(
     base = parts.withColumn("queue", number).select(
         "source", "part", "queue", (F.sum("n").over(order) - F.col("n")).alias("base")
     )
+    # A row for each task and source: where these are few, no ids are shuffled.
+    base = broadcast_if_small(base)
     same = F.col("i.source").eqNullSafe(F.col("b.source")) & (F.col("i.part") == F.col("b.part"))
     placed = ids.alias("i").join(base.alias("b"), same).select(
         "doc_id", "i.source", "queue", "ids", "n", "wide", (F.col("base") + F.col("before")).alias("place")
