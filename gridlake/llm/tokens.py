@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 
-CACHED_PIECES = {"byte": 700_000, "word": 450_000}  # of each of two generations that one Python worker remembers
+CACHED_PIECES = {"byte": 450_000, "word": 450_000}  # of each of two generations that one Python worker remembers
 LONGEST_PIECE = 64  # characters; longer pieces are encoded anew each time
 
 # Texts of these characters are cut here as the library cuts them; all others go to it whole.
