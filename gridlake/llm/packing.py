@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.positions import broadcast_if_small
-from gridlake.llm.common import null_to_empty, stored
-from gridlake.llm.tokens import encoder
+from gridlake.llm.common import null_to_empty, small_batches, stored
+from gridlake.llm.tokens import encoder, release
 
 SIZE = 2048
 SHIFT = 16  # the heaviest queue is served about one id a step; 2**47 ids a queue fit in 64 bits
@@ -86,7 +86,8 @@ def tokenised(docs: DataFrame, vocabulary_path: str, by: str, end_id: int) -> Da
     small = end_id < 65536 and _vocabulary(vocabulary_path) <= 65536
     plan = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
     out = plan.mapInPandas(encoded, "doc_id long, source string, ids binary, n long, part long, before long")
-    return stored(out.withColumn("wide", F.lit(not small)), "packing-ids")
+    with small_batches(docs.sparkSession):
+        return stored(out.withColumn("wide", F.lit(not small)), "packing-ids")
 
 
 def _vocabulary(path: str) -> int:
@@ -143,6 +144,7 @@ def pack(
     )
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()
         for frame in frames:
             for lo in range(0, len(frame), 512):
                 yield _pieces(frame.iloc[lo : lo + 512], schedule, keep_ids)

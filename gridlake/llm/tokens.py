@@ -109,3 +109,8 @@ def encoder(path: str, by: str) -> Encoder:
     if (path, by) not in _encoders:
         _encoders[path, by] = Encoder(path, by)
     return _encoders[path, by]
+
+
+def release() -> None:
+    """Forget all encoders of this worker and the pieces they remember, for a stage that encodes nothing."""
+    _encoders.clear()
