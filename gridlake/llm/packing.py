@@ -9,6 +9,11 @@ ends, and the share of a source in each window is its weight to within one id wh
 
 The number of ids served at any step is a formula, so every task computes the windows of its own
 documents alone: no state passes from window to window or between partitions.
+
+More sources than a node of ``QUEUES`` queues holds make a tree of such nodes. The largest sources are
+queues of the root, and its last queue is the stream of ids that the nodes below it give out by the same
+rule. A document of a small source is cut into the runs that its node serves; those runs are in turn cut by
+the node above. A node's queue weighs what its sources weigh together.
 """
 
 from __future__ import annotations
@@ -28,7 +33,9 @@ from gridlake.llm.tokens import encoder, release
 
 SIZE = 2048
 SHIFT = 16  # the heaviest queue is served about one id a step; 2**47 ids a queue fit in 64 bits
-QUEUES = 256  # sources with a queue of their own, the largest ones; all others share one queue
+QUEUES = 256  # queues of one node of the tree
+CELLS = 1 << 18  # windows times queues that are computed at once
+FEWEST = 16  # ids that a node below the root gives out as one window of its own
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 
 
@@ -65,6 +72,33 @@ class Schedule:
         next_ = self.served(lo + 1) - base
         return base + np.clip(room - (np.cumsum(next_, axis=1) - next_), 0, next_)
 
+    def runs(self, queue: np.ndarray, place: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """``row, start, length, at``: what the windows take of ``n`` ids from ``place`` on in ``queue``, and
+        where in the stream of windows it lies; in bounded parts, however long a row is."""
+        step = max(1, CELLS // len(self.sizes))
+        for head in range(0, len(queue), step):
+            own = slice(head, head + step)
+            first, last = np.empty(len(queue[own]), np.int64), np.empty(len(queue[own]), np.int64)
+            for q in np.unique(queue[own]):
+                at = queue[own] == q
+                first[at] = self.window_of(q, place[own][at])
+                last[at] = self.window_of(q, (place[own] + n[own])[at] - 1)
+            times = last - first + 1
+            upto = np.cumsum(times)
+            for lo in range(0, int(upto[-1]), step):
+                nth = np.arange(lo, min(lo + step, int(upto[-1])))
+                row = np.searchsorted(upto, nth, side="right")
+                window = nth - (upto - times)[row] + first[row]
+                row = row + head
+                seen, at = np.unique(window, return_inverse=True)
+                starts, ends = self.bounds(seen), self.bounds(seen + 1)
+                served, q = ends - starts, queue[row]
+                a = np.maximum(place[row], starts[at, q])
+                b = np.minimum(place[row] + n[row], ends[at, q])
+                to = window * self.size + (np.cumsum(served, axis=1) - served)[at, q] + a - starts[at, q]
+                some = b > a  # not a window in which the queue is not served
+                yield row[some], (a - place[row])[some], (b - a)[some], to[some]
+
 
 def tokenised(docs: DataFrame, vocabulary_path: str, by: str, end_id: int) -> DataFrame:
     """Stored ``doc_id, source, ids, n, part, before``: ids with the end id, and how many ids of its
@@ -96,6 +130,50 @@ def _vocabulary(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size()
 
 
+class Tree:
+    """Schedules of nodes with at most ``queues`` queues each; node 0 gives out the windows."""
+
+    def __init__(self, sizes: list[int], weights: list[float], size: int, queues: int):
+        self.schedules: list[Schedule] = []
+        self.above: list[tuple[int, int]] = []  # node and queue that take in what a node gives out
+        self.leaf = [(0, 0)] * len(sizes)  # node and queue of each source
+        self.queues = max(2, queues)
+        self._node(sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)), sizes, weights, size, (-1, -1))
+
+    def _node(self, members: list[int], sizes, weights, size: int, above: tuple[int, int]) -> None:
+        most = self.queues
+        if len(members) <= most:
+            groups = [[m] for m in sorted(members)]
+        elif above[0] < 0:
+            groups = [[m] for m in sorted(members[: most - 1])] + [members[most - 1 :]]
+        else:
+            groups = [members[k::most] for k in range(most)]
+        number = len(self.schedules)
+        total = [sum(weights[m] for m in g) for g in groups]
+        self.schedules.append(Schedule([sum(sizes[m] for m in g) for g in groups], total, size))
+        self.above.append(above)
+        for queue, (group, weight) in enumerate(zip(groups, total, strict=True)):
+            if len(group) == 1:
+                self.leaf[group[0]] = (number, queue)
+            else:  # about what one window of this node takes of the one below
+                share = weight / sum(total) if sum(total) else 1 / len(groups)
+                self._node(group, sizes, weights, min(size, max(FEWEST, round(size * share))), (number, queue))
+
+    def placed(self, node: np.ndarray, queue: np.ndarray, place: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """``row, start, length, at``: each row's ids in runs, and where the runs lie in the root's stream."""
+        rows = np.arange(len(node))
+        todo = {k: [(rows[node == k], np.zeros_like(n)[node == k], *(x[node == k] for x in (queue, place, n)))] for k in np.unique(node).tolist()}
+        while todo:
+            number = max(todo)  # nodes above have smaller numbers
+            row, begin, q, at, length = (np.concatenate(x) for x in zip(*todo.pop(number), strict=True))
+            for r, start, count, to in self.schedules[number].runs(q, at, length):
+                if number == 0:
+                    yield row[r], begin[r] + start, count, to
+                else:
+                    up, into = self.above[number]
+                    todo.setdefault(up, []).append((row[r], begin[r] + start, np.full(len(r), into), to, count))
+
+
 def pack(
     docs: DataFrame,
     vocabulary_path: str,
@@ -110,80 +188,58 @@ def pack(
 
     ``targets`` are weights by source (sources without one weigh 0: they are served last, at the
     slowest pace); by default a source weighs as many ids as it has, so that all queues end
-    together. A null text is empty and still has its end id; a null source is a source. The
-    ``queues`` largest sources have queues of their own, all others share one, so that what is
-    broadcast is bounded. With ``keep_ids`` pieces carry their ids, 32-bit little-endian.
+    together. A null text is empty and still has its end id; a null source is a source; repeated rows are
+    packed each; an empty table has no pieces. Columns of other names are not looked at. ``queues`` bounds a node of
+    the tree of queues; the driver and each task hold two numbers for every source. With
+    ``keep_ids`` pieces carry their ids, 32-bit little-endian.
     """
     ids = tokenised(docs, vocabulary_path, by, end_id)
-    parts = ids.groupBy("source", "part").agg(F.sum("n").alias("n"))
-    totals = parts.groupBy("source").agg(F.sum("n").alias("n"))
-    largest = totals.orderBy(F.desc("n"), F.col("source").asc_nulls_first()).limit(queues).collect()
-    names = sorted((r["source"] for r in largest), key=lambda s: (s is None, s or ""))
-    count = {r["source"]: r["n"] for r in largest}
-    rest = int(totals.agg(F.sum("n")).first()[0] or 0) - sum(count.values())
-    sizes = [count[s] for s in names] + [rest]
-    weights = [float(n) for n in sizes] if targets is None else [float(targets.get(s, 0)) for s in names] + [0.0]
-    schedule = Schedule(sizes, weights, size)
-
-    own = {s: q for q, s in enumerate(names)}
-    number = F.lit(len(names))
-    if None in own:
-        number = F.when(F.col("source").isNull(), own[None]).otherwise(number)
-    if plain := [x for s in names if s is not None for x in (F.lit(s), F.lit(own[s]))]:
-        number = F.coalesce(F.create_map(*plain)[F.col("source")], number)
-    # a queue is served in the order of parts, and of sources where several share it
-    order = Window.partitionBy("queue").orderBy("part", F.col("source").asc_nulls_first())
-    base = parts.withColumn("queue", number).select(
-        "source", "part", "queue", (F.sum("n").over(order) - F.col("n")).alias("base")
-    )
+    parts = stored(ids.groupBy("source", "part").agg(F.sum("n").alias("n")), "packing-parts")
+    totals = parts.groupBy("source").agg(F.sum("n").alias("n")).collect()  # a row for each source
+    totals = sorted(totals, key=lambda r: (r["source"] is None, r["source"] or ""))
+    sizes = [r["n"] for r in totals]
+    weights = [float(n) for n in sizes] if targets is None else [float(targets.get(r["source"], 0)) for r in totals]
+    tree = Tree(sizes, weights, size, queues)
+
+    leaves = [(r["source"], *leaf) for r, leaf in zip(totals, tree.leaf, strict=True)]
+    leaves = docs.sparkSession.createDataFrame(leaves, "source string, node int, queue int")
+    order = Window.partitionBy("source").orderBy("part")
+    base = parts.withColumn("base", F.sum("n").over(order) - F.col("n")).alias("p")
+    base = base.join(leaves.alias("l"), F.col("p.source").eqNullSafe(F.col("l.source")))
     # A row for each task and source: where these are few, no ids are shuffled.
-    base = broadcast_if_small(base)
+    base = broadcast_if_small(base.select("p.source", "part", "base", "node", "queue"))
     same = F.col("i.source").eqNullSafe(F.col("b.source")) & (F.col("i.part") == F.col("b.part"))
     placed = ids.alias("i").join(base.alias("b"), same).select(
-        "doc_id", "i.source", "queue", "ids", "n", "wide", (F.col("base") + F.col("before")).alias("place")
+        "doc_id", "i.source", "node", "queue", "ids", "n", "wide", (F.col("base") + F.col("before")).alias("place")
     )
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         release()
         for frame in frames:
             for lo in range(0, len(frame), 512):
-                yield _pieces(frame.iloc[lo : lo + 512], schedule, keep_ids)
+                yield from _pieces(frame.iloc[lo : lo + 512], tree, size, keep_ids)
 
     return placed.mapInPandas(cut, PIECES + (", ids binary" if keep_ids else ""))
 
 
-def _pieces(frame: pd.DataFrame, schedule: Schedule, keep_ids: bool) -> pd.DataFrame:
-    queue, place, n = (frame[c].to_numpy(np.int64) for c in ("queue", "place", "n"))
-    first, last = np.empty(len(frame), np.int64), np.empty(len(frame), np.int64)
-    for q in np.unique(queue):
-        own = queue == q
-        first[own], last[own] = schedule.window_of(q, place[own]), schedule.window_of(q, place[own] + n[own] - 1)
-    times = last - first + 1
-    doc = np.repeat(np.arange(len(frame)), times)
-    window = np.arange(len(doc)) - np.repeat(np.cumsum(times) - times, times) + first[doc]
-    seen, at = np.unique(window, return_inverse=True)
-    starts, ends = schedule.bounds(seen), schedule.bounds(seen + 1)
-    served = ends - starts
-    q = queue[doc]
-    lo = np.maximum(place[doc], starts[at, q])
-    hi = np.minimum(place[doc] + n[doc], ends[at, q])
-    offset = (np.cumsum(served, axis=1) - served)[at, q] + lo - starts[at, q]
-    start, length = lo - place[doc], hi - lo
-    whole = [np.frombuffer(b, "<u4" if w else "<u2").astype("<u4").tobytes() for b, w in zip(frame["ids"], frame["wide"], strict=True)]
-    cuts = [whole[d][4 * s : 4 * (s + k)] for d, s, k in zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
-    kept = length > 0  # a window in which the queue is not served
-    out = pd.DataFrame(
-        {
-            "doc_id": frame["doc_id"].to_numpy()[doc],
-            "start": start,
-            "length": length,
-            "ids_crc32": [zlib.crc32(c) for c in cuts],
-            "doc_tokens": n[doc],
-            "sequence_id": window,
-            "offset": offset,
-            "source": frame["source"].to_numpy()[doc],
-        }
-    )
-    if keep_ids:
-        out["ids"] = cuts
-    return out[kept]
+def _pieces(frame: pd.DataFrame, tree: Tree, size: int, keep_ids: bool) -> Iterator[pd.DataFrame]:
+    node, queue, place, n = (frame[c].to_numpy(np.int64) for c in ("node", "queue", "place", "n"))
+    doc_id, source, ids, wide = (frame[c].to_numpy() for c in ("doc_id", "source", "ids", "wide"))
+    for doc, start, length, at in tree.placed(node, queue, place, n):
+        whole = {d: np.frombuffer(ids[d], "<u4" if wide[d] else "<u2").astype("<u4", copy=False) for d in np.unique(doc).tolist()}
+        cuts = [whole[d][s : s + k].tobytes() for d, s, k in zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
+        out = pd.DataFrame(
+            {
+                "doc_id": doc_id[doc],
+                "start": start,
+                "length": length,
+                "ids_crc32": [zlib.crc32(c) for c in cuts],
+                "doc_tokens": n[doc],
+                "sequence_id": at // size,
+                "offset": at % size,
+                "source": source[doc],
+            }
+        )
+        if keep_ids:
+            out["ids"] = cuts
+        yield out

@@ -11,7 +11,6 @@ LONGEST_PIECE = 64  # characters; longer pieces are encoded anew each time
 # Texts of these characters are cut here as the library cuts them; all others go to it whole.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
 _PLAIN = re.compile(f"[\t\n\r -~\u00a1\u00ab\u00bb\u00bf{_LETTERS}]*")
-_SPACE = re.compile(r"\s")
 #: How the two vocabularies cut a text into words, in the order in which they try.
 _PIECES = {
     "byte": re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s0-9{_LETTERS}]+|\\s+(?!\\S)|\\s+"),
@@ -54,31 +53,26 @@ class Encoder:
 
         if len(self.known) + len(new) > CACHED_PIECES[self.by]:
             self.known.turn_over()
-        known, text, ends, sought = self.known, [], [], []
-        at = 0
+        known, before, sought = self.known, self.known.before, []
         for piece in new:
-            if (ids := known.before.get(piece)) is not None:
+            if (ids := before.get(piece)) is not None:
                 known[piece] = ids
-            elif len(piece) <= LONGEST_PIECE and not _SPACE.search(piece, 1):
-                if self.by == "word" or piece[0] != " ":
-                    if piece[0].isspace():
-                        continue  # white space alone
-                    text.append("\n")
-                    at += 1
-                elif len(piece) == 1:
-                    continue
-                text.append(piece)
+            elif len(piece) <= LONGEST_PIECE and not piece.isspace():
                 sought.append(piece)
-                ends.append((at, at + len(piece)))
-                at += len(piece)
         if not sought:
             return
-        found = self.library.encode("".join(text), add_special_tokens=False)
-        start = np.array([o[0] for o in found.offsets])
-        lo, hi = np.searchsorted(start, np.array(ends).T)
+        if self.by == "word":
+            text, word = "\n".join(sought), np.arange(len(sought))
+        else:  # a line break is a word too
+            text = "".join([p if p[0] == " " else "\n" + p for p in sought])
+            word = np.arange(len(sought)) + np.cumsum([p[0] != " " for p in sought])
+        found = self.library.encode(text, add_special_tokens=False)
+        words = np.array(found.word_ids)
+        if not len(words) or words[-1] != word[-1]:
+            return  # cut otherwise than the library cuts: each is encoded alone
+        lo, hi = np.searchsorted(words, word), np.searchsorted(words, word, side="right")
         ids = np.array(found.ids, "<u4").tobytes()
-        for piece, a, b in zip(sought, (4 * lo).tolist(), (4 * hi).tolist(), strict=True):
-            known[piece] = ids[a:b]
+        known.update(zip(sought, [ids[a:b] for a, b in zip((4 * lo).tolist(), (4 * hi).tolist(), strict=True)], strict=True))
 
 
 class _Known(dict):

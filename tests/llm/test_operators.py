@@ -87,6 +87,31 @@ def test_packing_places_every_id_once(docs, empty, rows):
     assert packing.pack(empty, path, "byte", 1).count() == 0
 
 
+@pytest.mark.parametrize("queues", [256, 16, 3])
+def test_more_sources_than_queues_keep_their_shares(queues):
+    sizes = [4000 + i % 7 for i in range(600)]
+    weights = [1.0 + i % 3 for i in range(600)]
+    tree = packing.Tree(sizes, weights, 2048, queues)
+    assert len(set(tree.leaf)) == 600 and all(len(s.sizes) <= queues for s in tree.schedules)
+    node, queue = np.array(tree.leaf).T
+    owner, seen = np.full(sum(sizes), -1), np.zeros(sum(sizes), np.int64)
+    for row, start, length, at in tree.placed(node, queue, np.zeros(600, np.int64), np.array(sizes)):
+        for r, s, n, a in zip(row, start, length, at, strict=True):
+            assert (owner[a : a + n] == -1).all()
+            owner[a : a + n], seen[a : a + n] = r, np.arange(s, s + n)
+    assert (owner >= 0).all() and all((np.diff(seen[owner == r]) == 1).all() for r in range(600))
+    head = owner[: 200 * 2048]  # while all last, every source has about its share
+    got = np.bincount(head, minlength=600) / len(head)
+    assert (abs(got / (np.array(weights) / sum(weights)) - 1) < 0.15).all()
+
+
+def test_a_very_long_document_is_cut_in_parts(monkeypatch):
+    monkeypatch.setattr(packing, "CELLS", 1000)
+    tree = packing.Tree([10**7, 500], [1.0, 1.0], 2048, 256)
+    parts = list(tree.placed(np.zeros(2, int), np.array([0, 1]), np.zeros(2, np.int64), np.array([10**7, 500])))
+    assert max(len(p[0]) for p in parts) <= 500 and sum(p[2].sum() for p in parts) == 10**7 + 500
+
+
 def test_embedding_links_equal_brute_force(spark):
     rng = np.random.default_rng(0)
     base = rng.standard_normal((20, 16))
