@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridlake.session import stored
+from gridlake.session import path_exists, scratch_dir, stored
 
-__all__ = ["components", "free_name", "joined_by_key", "null_to_empty", "running_total", "small_batches", "stored", "whole_groups"]
+__all__ = ["components", "free_name", "joined_by_key", "null_to_empty", "running_total", "small_batches", "stored", "stored_once", "whole_groups"]
 
 HOT_SHARE = 1000  # a key is hot when it has more than one of so many rows
 
@@ -33,6 +33,14 @@ def small_batches(spark: SparkSession, rows: int = 500):
         spark.conf.set(key, before)
 
 
+def stored_once(spark: SparkSession, made: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The table of this name in scratch space, made and written only where it is not there whole."""
+    path = scratch_dir(spark, name)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        made().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def free_name(name: str, taken: Iterable[str]) -> str:
     """``name``, with underscores until no column of ``taken`` has it in any case."""
     used = {t.lower() for t in taken}

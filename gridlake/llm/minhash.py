@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import components, small_batches, stored, whole_groups
+from gridlake.llm.common import components, free_name, small_batches, stored, whole_groups
 from gridlake.llm.shingles import batches, mixed, shingles
 
 BANDS, ROWS = 26, 5  # a pair of similarity 0.8 is missed in 1 of 30,000 cases
@@ -204,12 +204,14 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return both.mapInPandas(compared, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, class_key: str = "class_key"
+) -> DataFrame:
     """``docs`` with ``class_key``, equal for documents that links of ``threshold`` or more join.
 
     Equal texts are one node from the start. A null text is empty; texts without words are never
     linked, each row has a class of its own only by its id, and its key is null. All columns are
-    kept; one called ``class_key`` is replaced.
+    kept; one of the name given as ``class_key`` is replaced. Repeated rows are in one class; an empty table stays empty.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     node = F.unhex(F.md5(whole))
@@ -240,10 +242,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         more = stored(found, "links")
     if not more.isEmpty():
         roots = components(links.union(more))
-    named = docs.select(*[c for c in docs.columns if c != "class_key"], node.alias("_node"), (F.trim(whole) == "").alias("_blank"))
-    found = named.join(roots.withColumnRenamed("node", "_node"), "_node", "left")
-    key = F.when(~F.col("_blank"), F.coalesce("root", "_node"))
-    return found.select(*[c for c in docs.columns if c != "class_key"], key.alias("class_key"))
+    kept = [c for c in docs.columns if c != class_key]
+    whole_row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc")
+    named = docs.select(whole_row, node.alias("node"), (F.trim(whole) == "").alias("blank"))
+    found = named.join(roots, "node", "left")
+    key = F.when(~F.col("blank"), F.coalesce("root", "node"))
+    return found.select(*[F.col("doc")[c].alias(c) for c in kept], key.alias(class_key))
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -256,16 +260,19 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row of ``docs`` for each class: the one with the smallest id. Texts without words all stay."""
-    keyed = stored(near_duplicates(docs, doc_id, text, threshold), "keyed")
-    first = keyed.groupBy("class_key").agg(F.min(doc_id).alias("_first"), F.count("*").alias("_n"))
-    first = keyed.groupBy("class_key", doc_id).agg(F.count("*").alias("_n")).join(
-        first.drop("_n").withColumnRenamed("class_key", "_key"),
-        F.col("class_key").eqNullSafe(F.col("_key")) & F.col(doc_id).eqNullSafe(F.col("_first")),
-    )
-    first = first.where("class_key IS NOT NULL").select(F.col("class_key").alias("_k"), F.col(doc_id).alias("_id"), "_n")
-    same = (F.col("class_key") == F.col("_k")) & F.col(doc_id).eqNullSafe(F.col("_id"))
-    kept = keyed.join(first, same)
-    once = kept.where("_n = 1").select(*docs.columns)
-    repeated = kept.where("_n > 1").dropDuplicates(["class_key"]).select(*docs.columns)
-    return once.unionByName(repeated).unionByName(keyed.where("class_key IS NULL").select(*docs.columns))
+    """One row of ``docs`` for each class: the one with the smallest id. Texts without words all stay.
+
+    All columns keep their names and values, whatever they are called.
+    """
+    key, first, n = (free_name(c, docs.columns) for c in ("class_key", "_first", "_n"))
+    keyed = stored(near_duplicates(docs, doc_id, text, threshold, key), "keyed")
+    named = keyed.where(F.col(key).isNotNull())
+    least = named.groupBy(key).agg(F.min(doc_id).alias(first))
+    ids = named.groupBy(key, F.col(doc_id).alias("id")).agg(F.count("*").alias(n))
+    ids = ids.join(least, key).where(F.col("id").eqNullSafe(F.col(first))).select(F.col(key).alias("k"), "id", F.col(n).alias("n"))
+    kept = keyed.alias("d").join(ids.alias("f"), (F.col(f"d.{key}") == F.col("f.k")) & F.col(f"d.{doc_id}").eqNullSafe(F.col("f.id")))
+    kept = kept.select(F.col("f.n").alias(n), *[F.col(f"d.`{c}`") for c in keyed.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = kept.where(F.col(n) == 1).select(*columns)
+    repeated = kept.where(F.col(n) > 1).dropDuplicates([key]).select(*columns)
+    return once.unionByName(repeated).unionByName(keyed.where(F.col(key).isNull()).select(*columns))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import running_total, stored
+from gridlake.llm.common import free_name, running_total, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -104,10 +104,11 @@ def mix_plan(
     most: float = 2.0,
     shards: int = SHARDS,
     seed: str = SEED,
+    out: str = "mix",
 ) -> DataFrame:
-    """The rows of ``docs`` with a column ``mix``; a column of that name is replaced.
+    """The rows of ``docs`` with a column ``out``; a column of that name is replaced.
 
-    ``mix`` has ``size``, ``source_size``, ``target`` and ``parts``, an array with one struct
+    ``out`` has ``size``, ``source_size``, ``target`` and ``parts``, an array with one struct
     ``epoch, shard, place, taken`` for each time the document is taken: ``taken`` counts its first
     words (all, but for the document at a source's end), ``place`` orders the shard. A null text
     has size 0; a null source is a source of its own; a document without words is taken at most
@@ -176,7 +177,7 @@ def mix_plan(
         targets.join(found, "rank", "left").select("source", "source_size", "target", "found"), "mix-plan"
     )
 
-    out = named.alias("s").join(per_source.alias("t"), same).select("doc", "size", "places", "t.source_size", "target", "found")
+    rows = named.alias("s").join(per_source.alias("t"), same).select("doc", "size", "places", "t.source_size", "target", "found")
     group = "element_at(filter(f.starts, g -> g[0].place <= places[f.epoch]), -1)"
     shard = f"element_at(filter({group}, b -> b.place <= places[f.epoch]), -1).shard"
     taken = """CASE WHEN f.end IS NULL OR places[f.epoch] < f.end.place THEN size
@@ -185,22 +186,27 @@ def mix_plan(
         AND f.starts[0][0].place <= places[f.epoch]), f -> named_struct('epoch', f.epoch, 'shard', {shard},
         'place', md5(concat(places[f.epoch], '{seed}')), 'taken', {taken}))"""
     mix = F.struct("size", "source_size", "target", F.coalesce(F.expr(parts), F.expr("array()")).alias("parts"))
-    kept = [F.col("doc")[c].alias(c) for c in docs.columns if c != "mix"]
-    return out.select(*kept, mix.alias("mix"))
+    kept = [F.col("doc")[c].alias(c) for c in docs.columns if c != out]
+    return rows.select(*kept, mix.alias(out))
 
 
-def mix(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The mixture: the rows of ``docs`` as often as they are taken, with ``mix_shard`` and ``mix_place``.
+def mix(
+    docs: DataFrame, text: str = "text", out: str = "mix", shard: str = "mix_shard", place: str = "mix_place", **options
+) -> DataFrame:
+    """The mixture: the rows of ``docs`` as often as they are taken, with columns ``shard`` and ``place``.
 
-    The text of a document that a source's end cuts keeps its first words. Rows are dealt to their
-    shards and shuffled there.
+    Columns of these two names and ``out`` are replaced, all others are kept. The text of a document that a
+    source's end cuts keeps its first words. Rows are ordered by shard and place within tasks: a shard is dealt to
+    tasks in up to 4,096 slices by the first digits of the place, so no task holds a whole shard, however much
+    text it has, and reading a shard by place gives its order.
     """
-    part = mix_plan(docs, **options).withColumn("_part", F.explode("mix.parts"))
-    first = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), 0), 1, F.col("_part.taken").cast("int")), " ")
-    cut = F.when(F.col("_part.taken") < F.col("mix.size"), first).otherwise(F.col(text))
-    out = part.withColumn(text, cut).select(
-        *[c for c in docs.columns if c not in ("mix", "mix_shard", "mix_place")],
-        F.col("_part.shard").alias("mix_shard"),
-        F.col("_part.place").alias("mix_place"),
+    own = free_name("_part", [*docs.columns, out])
+    part = mix_plan(docs, out=out, **options).withColumn(own, F.explode(f"{out}.parts"))
+    first = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), 0), 1, F.col(f"{own}.taken").cast("int")), " ")
+    cut = F.when(F.col(f"{own}.taken") < F.col(f"{out}.size"), first).otherwise(F.col(text))
+    made = part.withColumn(text, cut).select(
+        *[f"`{c}`" for c in docs.columns if c not in (out, shard, place)],
+        F.col(f"{own}.shard").alias(shard),
+        F.col(f"{own}.place").alias(place),
     )
-    return out.repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_place")
+    return made.repartition(shard, F.substring(place, 1, 3)).sortWithinPartitions(shard, place)

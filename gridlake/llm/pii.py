@@ -13,8 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridlake.llm.common import free_name
+
 ROUNDS = 10
-KEY = "change-me"
+KEY_SETTING = "spark.gridlake.pii.key"
 
 _OPEN, _CLOSE = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
@@ -59,6 +61,9 @@ ANY = "|".join(KINDS.values())
 MAYBE = "[0-9@=:]"  # a text without any of these has no match
 #: 1900-01-01 to 2099-12-31 has 73049 days, 17 times 4297.
 DAYS, DAYS_A, DAYS_B = 73049, 17, 4297
+#: 44249 of them are later than the 12th of a month, which is 61 fewer than 211 times 210.
+LATE, LATE_A, LATE_B = 44249, 211, 210
+GROUP = 128  # pieces that are joined at once
 
 
 def _quoted(pattern: str) -> str:
@@ -142,16 +147,41 @@ def _ipv4(m: str, key: str) -> str:
 
 
 def _date(m: str, key: str) -> str:
-    """Days of 1900 to 2099; a date that does not exist stays."""
+    """Days of 1900 to 2099; a date that does not exist stays.
+
+    With slashes the month comes first where that makes a date; a day above 12 that comes first is
+    permuted among its like, so no two strings become one.
+    """
     fmt = f"CASE WHEN {m} LIKE '____-%' THEN 'yyyy-MM-dd' WHEN {m} LIKE '__/%' THEN 'MM/dd/yyyy' ELSE 'dd.MM.yyyy' END"
     day = f"CAST(try_to_timestamp({m}, g) AS DATE)"
     n = f"datediff(d, DATE'1900-01-01')"
     pair = feistel(f"{DAYS_A}L", f"{DAYS_B}L", f"{n} DIV {DAYS_B}", f"{n} % {DAYS_B}", "'date'", key)
     new = _let("p", pair, f"date_format(date_add(DATE'1900-01-01', CAST(p.l * {DAYS_B} + p.r AS INT)), g)")
-    swap = f"IF({m} LIKE '__/%', 'dd/MM/yyyy', g)"
     tried = _let("g", fmt, _let("d", day, f"IF(d IS NULL, NULL, {new})"))
-    other = _let("g", _let("g", fmt, swap), _let("d", day, f"IF(d IS NULL, {m}, {new})"))
-    return f"coalesce({tried}, {other})"
+    other = _let("d", f"CAST(try_to_timestamp({m}, 'dd/MM/yyyy') AS DATE)", f"IF(d IS NULL, {m}, {_late_date('d', key)})")
+    return f"coalesce({tried}, IF({m} LIKE '__/%', {other}, {m}))"
+
+
+def _late_date(d: str, key: str) -> str:
+    """SQL: a date later than the 12th of its month as another one, day first.
+
+    The permutation of ``LATE_A * LATE_B`` numbers is repeated until it is back below ``LATE``; numbers above
+    are passed at most once each, so the number of repetitions is bounded.
+    """
+
+    def once(n: str) -> str:
+        pair = feistel(f"{LATE_A}L", f"{LATE_B}L", f"{n} DIV {LATE_B}", f"{n} % {LATE_B}", "'late date'", key)
+        return _let("p", pair, f"p.l * {LATE_B} + p.r")
+
+    def first(month: str) -> str:  # late dates before a month
+        return f"(datediff(add_months(DATE'1900-01-01', {month}), DATE'1900-01-01') - 12 * ({month}))"
+
+    n = f"CAST(datediff({d}, DATE'1900-01-01') - 12 * ((year({d}) - 1900) * 12 + month({d})) AS BIGINT)"
+    walked = f"aggregate(sequence(1, {LATE_A * LATE_B - LATE}), {once('x')}, (w, j) -> IF(w < {LATE}, w, {once('w')}))"
+    month = f"h - IF({first('h')} > r, 1, 0) - IF({first('h - 1')} > r, 1, 0)"  # h is right or at most two too large
+    made = f"date_format(date_add(add_months(DATE'1900-01-01', y), CAST(12 + r - {first('y')} AS INT)), 'dd/MM/yyyy')"
+    found = _let("h", f"CAST(floor(r * 2400D / {LATE}D) AS INT) + 1", _let("y", month, made))
+    return _let("x", n, _let("r", walked, found))
 
 
 def _ssn(m: str, key: str) -> str:
@@ -188,19 +218,27 @@ def _iban(m: str, key: str) -> str:
     return _let("v", f"replace({m}, ' ', '')", f"IF({right_}, {_let('u', solid, spaced)}, {m})")
 
 
-def pseudonym(m: str, key: str = KEY) -> str:
+def pseudonym(m: str, key: str) -> str:
     """SQL: the pseudonym of one match; a number or date that does not validate stays as it is."""
     makers = {"email": _email, "secret": _secret, "iban": _iban, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
     cases = " ".join(f"WHEN rlike({m}, {_quoted(f'^(?:{KINDS[k]})$')}) THEN {makers[k](m, key)}" for k in KINDS)
     return f"CASE {cases} ELSE {m} END"
 
 
-def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY, found: str = "n_replaced") -> DataFrame:
+def pseudonymise(docs: DataFrame, text: str = "text", key: str | None = None, found: str = "n_replaced") -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and in ``found`` the number of values replaced.
 
-    A null text stays null with 0 values. All other columns are kept; one that is called ``found``
-    is replaced. No shuffle: each text is read once and written once.
+    ``key`` is by default the session's setting ``KEY_SETTING``; there is none built in. Whoever has it can
+    turn numbers and dates back. It stands in the expressions, so set ``spark.sql.redaction.string.regex`` to a
+    pattern that it matches where plans are shown to others.
+
+    A null text stays null with 0 values; an empty text and an empty table stay empty; repeated rows are treated
+    alike. All other columns are kept; one that is called ``found`` is replaced. No shuffle: each text is
+    read once and written once, in time about in proportion to its matches.
     """
+    key = key or docs.sparkSession.conf.get(KEY_SETTING, None)
+    if not key:
+        raise ValueError(f"pseudonyms need a key: give one, or set {KEY_SETTING}")
     c = f"`{text}`"
     # a line break in front, so that no value begins at 0, where split would leave out the empty piece
     led, ahead = f"concat('\\n', {c})", f"(?=({ANY}))"
@@ -214,10 +252,16 @@ def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY, found: str
         ELSE named_struct('over', greatest(length(x.m) - length(x.w), 0), 'n', s.n + 1L,
             'of', concat(s.of, array(x.n, substr(x.w, length(x.m) + 1)))) END"""
     start = "named_struct('over', 0, 'n', 0L, 'of', CAST(array() AS ARRAY<STRING>))"
-    done = f"""aggregate({zipped}, {start}, (s, x) -> {step},
-        s -> named_struct('text', substr(array_join(s.of, ''), 2), 'n', s.n))"""
+    # groups of pieces are joined one by one: an array that grows with the text would be copied for every piece
+    begun = "named_struct('over', t.over, 'n', t.n, 'of', CAST(array() AS ARRAY<STRING>))"
+    group = f"aggregate(slice(z, CAST(k * {GROUP} + 1 AS INT), {GROUP}), {begun}, (s, x) -> {step})"
+    joined = _let("u", group, "named_struct('over', u.over, 'n', u.n, 'of', concat(t.of, array(array_join(u.of, ''))))")
+    done = f"""aggregate(sequence(0, (size(z) - 1) DIV {GROUP}), {start}, (t, k) -> {joined},
+        t -> named_struct('text', substr(array_join(t.of, ''), 2), 'n', t.n))"""
+    done = _let("z", zipped, done)
     whole = f"named_struct('text', {c}, 'n', 0L)"
-    cut = docs.withColumn("_pii_cut", F.expr(f"IF(rlike({c}, '{MAYBE}'), {done}, {whole})"))
-    made = cut.withColumn(text, F.when(F.col(text).isNotNull(), F.col("_pii_cut.text")))
-    count = F.when(F.col("_pii_cut.text").isNull(), F.lit(0)).otherwise(F.col("_pii_cut.n"))
-    return made.withColumn(found, count.cast("long")).drop("_pii_cut")
+    own = free_name("_pii_cut", [*docs.columns, found])
+    cut = docs.withColumn(own, F.expr(f"IF(rlike({c}, '{MAYBE}'), {done}, {whole})"))
+    made = cut.withColumn(text, F.when(F.col(text).isNotNull(), F.col(f"{own}.text")))
+    count = F.when(F.col(f"{own}.text").isNull(), F.lit(0)).otherwise(F.col(f"{own}.n"))
+    return made.withColumn(found, count.cast("long")).drop(own)

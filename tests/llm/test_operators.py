@@ -330,7 +330,7 @@ def test_pseudonyms_keep_formats(spark, empty):
     data = [(i, f"See {v}, again {v}.") for i, v in enumerate(values.values())]
     data += [(90, None), (91, ""), (92, "4111111111111112 and 999.1.1.1 on 2001-02-30 at v1.2"), (93, "4111111111111111")]
     docs = spark.createDataFrame([(i, t, "z") for i, t in data], "doc_id long, text string, n_replaced string")
-    got = {r["doc_id"]: r for r in pii.pseudonymise(docs).collect()}
+    got = {r["doc_id"]: r for r in pii.pseudonymise(docs, key="k").collect()}
     found = {}
     for (kind, old), i in zip(values.items(), range(len(values)), strict=True):
         first, second = got[i]["text"].removeprefix("See ").removesuffix(".").split(", again ")
@@ -342,7 +342,7 @@ def test_pseudonyms_keep_formats(spark, empty):
     turned = found["iban"][4:] + str(ord("D") - 55) + str(ord("E") - 55) + found["iban"][2:4]
     assert int(turned) % 97 == 1
     assert got[90]["text"] is None and got[91]["text"] == "" and got[92]["text"] == data[12][1] and got[92]["n_replaced"] == 0
-    assert pii.pseudonymise(empty).count() == 0
+    assert pii.pseudonymise(empty, key="k").count() == 0
     pairs = spark.range(17 * 19).selectExpr(f"{pii.feistel('17L', '19L', 'id % 17', 'id DIV 17', chr(39) + 't' + chr(39), 'k')} AS p")
     assert {tuple(r["p"]) for r in pairs.collect()} == {(a, b) for a in range(17) for b in range(19)}
 
@@ -355,10 +355,60 @@ def test_values_next_to_other_groups_are_found(spark):
         (f"1234-{card.replace(' ', '-')}.", card.replace(" ", "-")), ("30/02/1987-11-03", "1987-11-03"), (card, card),
     ]
     data = [(i, t) for i, (t, _) in enumerate(cases)] + [(100, "2024 4111 1111 1112 1111 x"), (101, f"{card}, {card}")]
-    got = {r["doc_id"]: r for r in pii.pseudonymise(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    got = {r["doc_id"]: r for r in pii.pseudonymise(spark.createDataFrame(data, "doc_id long, text string"), key="k").collect()}
     for i, (t, value) in enumerate(cases):
         before, after = t.split(value)
         new = got[i]["text"].removeprefix(before).removesuffix(after)
         assert got[i]["text"] == before + new + after and new != value and len(new) == len(value) and got[i]["n_replaced"] == 1, t
     assert got[100]["text"] == data[-2][1] and got[100]["n_replaced"] == 0
     assert got[101]["text"] == f"{got[9]['text']}, {got[9]['text']}" and got[101]["n_replaced"] == 2
+
+
+def test_dates_are_permuted_within_their_format(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'1900-01-01', DATE'2099-12-31')) AS d")
+    late = days.where("day(d) > 12").selectExpr("date_format(d, 'dd/MM/yyyy') AS m")
+    for old, number, fmt in ((late, pii.LATE, "dd/MM/yyyy"), (days.selectExpr("date_format(d, 'MM/dd/yyyy') AS m"), pii.DAYS, "MM/dd/yyyy")):
+        new = old.select(F.expr(pii._date("m", "k")).alias("m"))
+        assert old.count() == new.distinct().count() == number
+        assert new.exceptAll(old).isEmpty() and not new.where(F.to_date("m", fmt).isNull()).count()
+
+
+def test_feistel_and_check_digits_equal_plain_python(spark):
+    def plain(a, b, left, right, tweak, key):
+        for i in range(pii.ROUNDS):
+            said = f"{key}|{tweak}|{i}|{left if i % 2 else right}"
+            drawn = int(hashlib.sha256(said.encode()).hexdigest()[:15], 16)
+            left, right = (left, (right + drawn) % b) if i % 2 else ((left + drawn) % a, right)
+        return left, right
+
+    pairs = spark.range(300).selectExpr("id", f"{pii.feistel('1000L', '77L', 'id % 1000', 'id % 77', chr(39) + 't' + chr(39), 'k')} AS p")
+    assert all(tuple(r["p"]) == plain(1000, 77, r["id"] % 1000, r["id"] % 77, "t", "k") for r in pairs.collect())
+    digits = spark.range(300).selectExpr("CAST(id * 7919 + 10000 AS STRING) AS v").selectExpr("v", f"{pii.luhn_digit('v')} AS c")
+    assert all(luhn(r["v"] + r["c"]) and r["c"].isdigit() for r in digits.collect())
+    ibans = spark.range(200).selectExpr("CAST(id * 104729 + 10000000000 AS STRING) AS v").selectExpr("v", f"{pii.iban_digits(chr(39) + 'GB' + chr(39), 'v')} AS c")
+    assert all(int(r["v"] + "1611" + r["c"]) % 97 == 1 for r in ibans.collect())
+
+
+def test_pseudonyms_of_a_long_text_and_without_a_key(spark):
+    n = 40000
+    old = " ".join(f"10.{i % 256}.{i // 256}.7, x" for i in range(n))
+    one = spark.createDataFrame([(1, old), (1, old), (2, "10.3.0.7, x")], "doc_id long, text string")
+    got = pii.pseudonymise(one, key="k").collect()
+    new = got[0]["text"].split(", x")
+    assert got[0] == got[1] and got[0]["n_replaced"] == n and len(set(new)) == n + 1
+    assert got[2]["text"] == new[3].strip() + ", x"
+    with pytest.raises(ValueError):
+        pii.pseudonymise(one)
+
+
+def test_callers_columns_keep_their_values(spark):
+    names = ["doc_id", "text", "source", "class_key", "_first", "_n", "_node", "_blank", "_part", "_pii_cut", "node", "root", "doc", "k", "id", "n", "f", "d", "a.b"]
+    data = [(i, text(i, 30), f"s{i % 2}", *[f"{c}{i}" for c in names[3:]]) for i in range(6)]
+    docs = spark.createDataFrame(data, names)
+    kept = minhash.deduplicated(docs)
+    assert kept.columns == names and sorted(map(tuple, kept.collect())) == sorted(data)
+    hidden = pii.pseudonymise(docs, key="k", found="found").drop("found")
+    assert hidden.columns == names and sorted(map(tuple, hidden.collect())) == sorted(data)
+    taken = mixing.mix(docs, out="o", shard="s", place="p", shards=2)
+    assert taken.columns == [*names, "s", "p"]
+    assert {(r["doc_id"], *r[2:-2]) for r in taken.collect()} <= {(d[0], *d[2:]) for d in data}
