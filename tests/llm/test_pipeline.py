@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridlake.llm.common import stored
@@ -36,3 +37,27 @@ def test_stages(spark):
     pieces = corpus_pipeline.STAGES[-1][1](spark, left, SF_DIR).toPandas()
     assert set(pieces["doc_id"]) == {r["doc_id"] for r in left.select("doc_id").distinct().collect()}
     assert (pieces.groupby("sequence_id")["length"].sum() == 2048).sum() >= pieces["sequence_id"].nunique() - 1
+
+
+def test_stages_keep_columns_that_look_like_their_own(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60).withColumns(
+        {c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in ("_score", "class_key", "_n_replaced", "mix", "mix_shard", "mix_place", "_part")}
+    )
+    docs = stored(docs, "odd-names")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        for table in (docs, docs.where("false")):
+            after = stage(spark, table, SF_DIR).drop("text", "n_chars")
+            assert after.columns == [c for c in docs.columns if c not in ("text", "n_chars")], name
+            assert after.exceptAll(docs.select(*after.columns).unionAll(docs.select(*after.columns))).isEmpty(), name
+
+
+def test_a_run_goes_on_behind_its_last_whole_stage(spark, monkeypatch):
+    calls = []
+
+    def stage(name, kept):
+        return name, lambda spark, docs, sf_dir: calls.append(name) or docs.where(kept)
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [stage("one", "doc_id % 2 = 0"), stage("two", "doc_id % 3 = 0"), stage("last", "true")])
+    first = corpus_pipeline.run(spark, SF_DIR, "again").count()
+    assert calls == ["one", "two", "last"] and corpus_pipeline.run(spark, SF_DIR, "again").count() == first
+    assert calls == ["one", "two", "last", "last"]
