@@ -3,7 +3,8 @@
 A document that the quality classifier rejects goes; of each group of near-duplicates one document
 stays; personal data becomes pseudonyms; documents are drawn, some twice, so that sources come to their
 target weights; and what was drawn is packed into sequences. Every stage but the last returns the
-columns it was given, and works on all rows of the stage before it.
+columns it was given, with their values, whatever they are called, and works on all rows of the stage before
+it. A null text counts as empty and stays null; repeated rows are near-duplicates; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -12,35 +13,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import minhash, mixing, packing, pii, quality
-from gridlake.llm.common import stored
-from gridlake.llm.queries import vocabulary
-
-SCORE = "_score"
+from gridlake.llm.common import free_name, stored, stored_once
+from gridlake.llm.queries import pii_key, vocabulary
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose probability of being good is at least 0.3; an empty text is scored like any other."""
-    network = quality.fitted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.scored(docs, network, score=SCORE).where(F.col(SCORE) >= quality.THRESHOLD).select(*docs.columns)
+    """Documents whose probability of being good is at least 0.3; a null or empty text is scored like any other."""
+    network, score = quality.fitted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), free_name("_score", docs.columns)
+    return quality.scored(docs, network, score=score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near-duplicates."""
+    """The document with the smallest id of each class of near-duplicates; null and empty texts all stay."""
     return minhash.deduplicated(docs)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without personal data."""
-    return _counted(pii.pseudonymise(docs, found="_n_replaced").drop("_n_replaced"), docs)
+    """All documents, without personal data; a null text stays null."""
+    found = free_name("_n_replaced", docs.columns)
+    return _counted(pii.pseudonymise(docs, key=pii_key(spark), found=found), docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture takes them, in shards of shuffled rows."""
-    return _counted(mixing.mix(docs).drop("mix_shard", "mix_place"), docs)
+    """Documents as often as the mixture takes them, in shards of shuffled rows; a null source is a source."""
+    out, shard, place = (free_name(c, docs.columns) for c in ("mix", "mix_shard", "mix_place"))
+    return _counted(mixing.mix(docs, out=out, shard=shard, place=place), docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their sequence and place in it; a document that was drawn twice is packed twice."""
+    """Pieces of documents with their sequence and place in it; a document drawn twice is packed twice, a null text as its end id."""
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"), by="byte", end_id=1)
 
 
@@ -56,11 +57,18 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again as the next one's input."""
+def run(spark: SparkSession, sf_dir: str, run_id: str | None = None) -> DataFrame:
+    """All stages over ``documents``; each result is written and read again as the next one's input.
+
+    With a ``run_id``, stages that an earlier call with that id has written whole are read instead of made
+    again, so a lost driver goes on where it was.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if run_id is None:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        else:
+            docs = stored_once(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"pipeline-{run_id}-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
