@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 from gridlake.llm.common import null_to_empty
 from gridlake.llm.labelled import held_out, sample
 
-TRAIN_ROWS = 4000  # at most so many labelled documents are fitted
-TRAIN_WINDOWS, WINDOW = 8, 512  # of each, so many windows of so many bytes, spread over the text
+TRAIN_ROWS = 4000  # at most so many labelled documents are fitted, all of them whole
+TRAIN_BYTES = 16 << 20  # and at most so many bytes: rows beyond that are left out, in an order by hashes of ids
 BLOCK, WIDTH, DIMS, FILTERS = 256, 7, 8, 24
 EPOCHS, STEP, RATE = 6, 64, 0.01
 THRESHOLD = 0.3
 PIECE = 1 << 18  # bytes that are filtered at once
+SLOPES = 1 << 16  # winning positions that are learned from at once
 
 
 class ByteNetwork:
@@ -50,13 +51,15 @@ class ByteNetwork:
 
     def blocks(self, data: np.ndarray) -> np.ndarray:
         """Largest answer of each filter in each block of ``data``, whose length is a multiple of ``BLOCK``."""
-        out = []
+        out = [answers.max(axis=1) for answers in self._answers(data)]
+        return np.maximum(np.concatenate(out) + self.shift, 0)
+
+    def _answers(self, data: np.ndarray) -> Iterator[np.ndarray]:
+        """Answers by block, position and filter, for some blocks at a time."""
         padded = np.concatenate((data, np.zeros(WIDTH - 1, np.uint8)))
         for lo in range(0, len(data), PIECE):
             hi = min(lo + PIECE, len(data))
-            answers = self.windows(padded[lo : hi + WIDTH - 1]) @ self.filters
-            out.append(answers.reshape(-1, BLOCK, FILTERS).max(axis=1))
-        return np.maximum(np.concatenate(out) + self.shift, 0)
+            yield (self.windows(padded[lo : hi + WIDTH - 1]) @ self.filters).reshape(-1, BLOCK, FILTERS)
 
     def probability(self, texts: list[bytes]) -> np.ndarray:
         data, counts = laid_out(texts)
@@ -86,10 +89,11 @@ class ByteNetwork:
     def _slopes(self, texts: list[bytes], labels: np.ndarray) -> list[np.ndarray]:
         data, counts = laid_out(texts)
         padded = np.concatenate((data, np.zeros(WIDTH - 1, np.uint8)))
-        seen = self.windows(padded)
-        answers = (seen @ self.filters).reshape(-1, BLOCK, FILTERS)
-        at = answers.argmax(axis=1)
-        raw = np.take_along_axis(answers, at[:, None, :], 1)[:, 0] + self.shift
+        raw, at = [], []
+        for answers in self._answers(data):
+            at.append(answers.argmax(axis=1))
+            raw.append(np.take_along_axis(answers, at[-1][:, None, :], 1)[:, 0])
+        raw, at = np.concatenate(raw) + self.shift, np.concatenate(at)
         pooled = np.maximum(raw, 0)
         features, back = combined(pooled, counts)
         score = 1.0 / (1.0 + np.exp(-(features @ self.last + self.bias)))
@@ -97,13 +101,16 @@ class ByteNetwork:
         slope = back(error[:, None] * self.last) * (raw > 0)
         b, f = np.nonzero(slope)
         g, position = slope[b, f], b * BLOCK + at[b, f]
-        window = seen[position]
-        filters = np.zeros_like(self.filters)
-        np.add.at(filters.T, f, g[:, None] * window)
-        embedded = (g[:, None] * self.filters.T[f]).reshape(-1, DIMS)
-        places = (position[:, None] + np.arange(WIDTH)).ravel()
-        used = np.zeros_like(self.bytes)
-        np.add.at(used, padded[places], embedded)
+        filters, used = np.zeros_like(self.filters), np.zeros_like(self.bytes)
+        for lo in range(0, len(g), SLOPES):
+            own = slice(lo, lo + SLOPES)
+            seen = padded[position[own, None] + np.arange(WIDTH)]
+            by_filter = np.zeros((FILTERS, len(f[own])), np.float32)
+            by_filter[f[own], np.arange(len(f[own]))] = g[own]
+            filters += (by_filter @ self.bytes[seen].reshape(-1, WIDTH * DIMS)).T
+            embedded = (g[own, None] * self.filters.T[f[own]]).reshape(-1, DIMS)
+            for d in range(DIMS):
+                used[:, d] += np.bincount(seen.ravel(), embedded[:, d], minlength=256)
         return [used, filters, slope.sum(axis=0), features.T @ error + 1e-5 * self.last, error.sum(keepdims=True)]
 
 
@@ -151,31 +158,24 @@ def combined(pooled: np.ndarray, counts: np.ndarray):
     return np.concatenate((top, mean), axis=1).astype(np.float32), back
 
 
-def spread_windows(text: bytes) -> bytes:
-    """A text for fitting: whole, or ``TRAIN_WINDOWS`` windows at even distances over all of it."""
-    if len(text) <= TRAIN_WINDOWS * WINDOW:
-        return text
-    starts = np.linspace(0, len(text) - WINDOW, TRAIN_WINDOWS).astype(int)
-    return b"".join(text[s : s + WINDOW] for s in starts)
-
-
-def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS) -> ByteNetwork | float:
-    """A network fitted on at most ``rows`` labelled documents; the share of ones where there is one class."""
-
-    def windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.assign(text=[spread_windows(t.encode("utf-8", "replace")) for t in frame["text"]])
-
-    known = sample(docs, labels, label, rows).mapInPandas(windows, "_id long, text binary, label int")
-    known = known.toPandas().sort_values(["_id", "label"])
+def fitted(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES
+) -> ByteNetwork | float:
+    """A network fitted on whole texts of at most ``rows`` labelled documents with ``most_bytes`` bytes in all;
+    the share of ones where there is one class."""
+    known = sample(docs, labels, label, rows, most_bytes).toPandas().sort_values(["_id", "label", "text"])
     known = known[known["label"].isin((0, 1))]
     if known["label"].nunique() < 2:
         return float(known["label"].mean()) if len(known) else 0.5
-    return ByteNetwork().fit([bytes(t) for t in known["text"]], known["label"].to_numpy(np.float32))
+    texts = [t.encode("utf-8", "replace") for t in known["text"]]
+    return ByteNetwork().fit(texts, known["label"].to_numpy(np.float32))
 
 
 def scored(docs: DataFrame, network: ByteNetwork | float, text: str = "text", score: str = "score") -> DataFrame:
-    """``docs`` with ``score``, the probability that a text is good; a null text is scored as empty."""
+    """``docs`` with ``score``, the probability that a text is good; a null text is scored as empty.
+
+    A column called ``score`` is replaced, all others are kept; equal texts get equal scores; an empty table stays empty.
+    """
     columns = [c for c in docs.columns if c != score]
     schema = docs.select(*columns).withColumn(score, F.lit(0.0)).schema
 

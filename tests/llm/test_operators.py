@@ -162,6 +162,42 @@ def test_quality_separates_held_out_texts(spark, docs, empty):
     assert network.probability([b"", b"abc", b"x" * 5000]) == pytest.approx(alone)
 
 
+def test_network_equals_plain_python():
+    net = quality.ByteNetwork(3)
+    net.bias[0] = 0.25
+    for given in (b"", b"abc", bytes(i * 37 % 256 for i in range(900))):
+        blocks = -(-(len(given) + quality.WIDTH - 1) // quality.BLOCK)
+        data = (b"\0" * (quality.WIDTH - 1) + given).ljust(blocks * quality.BLOCK + quality.WIDTH - 1, b"\0")
+        best = [[0.0] * quality.FILTERS for _ in range(blocks)]
+        for p in range(blocks * quality.BLOCK):
+            seen = [float(x) for c in data[p : p + quality.WIDTH] for x in net.bytes[c]]
+            for f in range(quality.FILTERS):
+                answer = sum(x * float(net.filters[i, f]) for i, x in enumerate(seen)) + float(net.shift[f])
+                best[p // quality.BLOCK][f] = max(best[p // quality.BLOCK][f], answer)
+        chunks = [[max(x, y) for x, y in zip(a, b, strict=True)] for a, b in zip(best, best[1:], strict=False)] or best
+        features = [max(c) for c in zip(*chunks, strict=True)] + [sum(c) / len(chunks) for c in zip(*chunks, strict=True)]
+        want = 1 / (1 + math.exp(-sum(x * float(w) for x, w in zip(features, net.last, strict=True)) - 0.25))
+        assert net.probability([given])[0] == pytest.approx(want, abs=1e-5)
+
+
+def test_fit_slopes_of_long_texts_do_not_depend_on_the_parts(monkeypatch):
+    texts, labels = [bytes(i * 7 % 251 for i in range(n)) for n in (5, 3000, 20000)], np.array([1, 0, 1], np.float32)
+    whole = quality.ByteNetwork()._slopes(texts, labels)
+    monkeypatch.setattr(quality, "PIECE", 4 * quality.BLOCK)
+    monkeypatch.setattr(quality, "SLOPES", 100)
+    parts = quality.ByteNetwork()._slopes(texts, labels)
+    assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(whole, parts, strict=True))
+
+
+def test_fit_is_bounded_by_rows_of_whole_texts(spark):
+    docs = spark.createDataFrame([(i, "x" * 100) for i in range(1, 50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 50)], "doc_id long, quality int")
+    every = quality.sample(docs, labels, "quality", 1000, 10**6).collect()
+    few = quality.sample(docs, labels, "quality", 1000, 1050).collect()
+    assert len(few) == 10 and set(few) < set(every) and all(len(r["text"]) == 100 for r in every)
+    assert quality.sample(docs, labels, "quality", 1000, 99).count() == 0
+
+
 def test_transform_of_a_collection():
     rng = np.random.default_rng(1)
     for _ in range(50):
