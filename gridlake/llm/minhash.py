@@ -216,7 +216,8 @@ def near_duplicates(
     whole = F.coalesce(F.col(text), F.lit(""))
     node = F.unhex(F.md5(whole))
     texts = docs.select(node.alias("node"), whole.alias("text"))
-    sketch = stored(sketches(texts), "sketches")
+    with small_batches(docs.sparkSession, ROWS_AT_ONCE):
+        sketch = stored(sketches(texts), "sketches")
     rows = sketch.select("node", F.posexplode("buckets").alias("band", "bucket"))
     code = F.xxhash64("node")  # a number aggregates in half the space of the node
     span = rows.groupBy("bucket").agg(F.min(code).alias("_min"), F.max(code).alias("_max")).where("_min != _max")

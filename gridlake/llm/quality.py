@@ -24,7 +24,7 @@ TRAIN_BYTES = 16 << 20  # and at most so many bytes: rows beyond that are left o
 BLOCK, WIDTH, DIMS, FILTERS = 256, 7, 8, 24
 EPOCHS, STEP, RATE = 6, 64, 0.01
 THRESHOLD = 0.3
-PIECE = 1 << 18  # bytes that are filtered at once
+PIECE = 1 << 16  # bytes that are filtered at once
 SLOPES = 1 << 16  # winning positions that are learned from at once
 
 
@@ -186,7 +186,7 @@ def scored(docs: DataFrame, network: ByteNetwork | float, text: str = "text", sc
             lo = 0
             while lo < len(texts) and not isinstance(network, float):
                 hi, size = lo + 1, len(texts[lo])
-                while hi < len(texts) and size < 4 * PIECE:
+                while hi < len(texts) and size < 8 * PIECE:
                     size += len(texts[hi])
                     hi += 1
                 out[lo:hi] = network.probability(texts[lo:hi])

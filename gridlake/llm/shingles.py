@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 RUN = 5  # words
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 500_000
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -28,13 +28,15 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """``base`` to the powers 0 to ``n`` modulo 2**64; kept by the worker up to one batch."""
-    have = _powers.get(base)
-    if have is None or len(have) <= n:
-        have = np.full(max(n, BATCH_BYTES + 200_000) + 1, base, np.uint64)
+    """``base`` to the powers 0 to ``n`` modulo 2**64; the worker keeps those of one batch."""
+    most = BATCH_BYTES + 200_000
+    have = _powers.get(base) if n <= most else None
+    if have is None:
+        have = np.full(max(n, most) + 1, base, np.uint64)
         have[0] = 1
         have = np.cumprod(have, dtype=np.uint64)
-        _powers[base] = have
+        if n <= most:
+            _powers[base] = have
     return have[: n + 1]
 
 
