@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
 
 CACHED_PIECES = {"byte": 450_000, "word": 450_000}  # of each of two generations that one Python worker remembers
 LONGEST_PIECE = 64  # characters; longer pieces are encoded anew each time
@@ -18,11 +20,44 @@ _PIECES = {
 }
 
 
+#: The settings of a vocabulary that cuts texts in these ways.
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SETTINGS = {
+    "byte": (None, _BYTES),
+    "word": (
+        {
+            "type": "Sequence",
+            "normalizers": [
+                {"type": "NFC"},
+                {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+                {"type": "Lowercase"},
+            ],
+        },
+        {
+            "type": "Sequence",
+            "pretokenizers": [
+                {"type": "Split", "pattern": {"Regex": _WORD_SPLIT}, "behavior": "Removed", "invert": True},
+                _BYTES | {"use_regex": False},
+            ],
+        },
+    ),
+}
+
+
+def _byte_symbols() -> dict[int, int]:
+    """The character by which byte-level vocabularies write each byte: itself if it prints, else the next from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """``encode(text)``: the ids as bytes, little-endian unsigned 32-bit.
 
     ``by`` says how the vocabulary cuts a text: ``"word"`` for one in lower case that drops white
-    space, ``"byte"`` for a byte-level one, where a blank belongs to the word after it.
+    space, ``"byte"`` for a byte-level one, where a blank belongs to the word after it. A vocabulary
+    whose settings are others encodes whole texts, and nothing is remembered.
     """
 
     def __init__(self, path: str, by: str):
@@ -30,68 +65,44 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        self.by, self.cut = by, _PIECES[by].findall
-        self.known = _Known(self.whole, CACHED_PIECES[by])
+        self.lower, self.cut = by == "word", _PIECES[by].findall
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        self.cuts = (parts["normalizer"], parts["pre_tokenizer"]) == _SETTINGS[by] and all(
+            t["content"].startswith("<|") for t in parts["added_tokens"]
+        )
+        self.known = _Known(self.library.model.tokenize, CACHED_PIECES[by])
 
     def whole(self, text: str) -> bytes:
-        import numpy as np
-
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        if "<|" in text or not _PLAIN.fullmatch(text):
+        if not self.cuts or "<|" in text or not _PLAIN.fullmatch(text):
             return self.whole(text)
-        pieces = self.cut(text.lower() if self.by == "word" else text)
-        known = self.known
-        if new := [p for p in pieces if p not in known]:
-            self.learn(dict.fromkeys(new))
-        return b"".join(map(known.__getitem__, pieces))
-
-    def learn(self, new) -> None:
-        """Encode pieces together, each where the library starts a new word, and remember them."""
-        import numpy as np
-
-        if len(self.known) + len(new) > CACHED_PIECES[self.by]:
-            self.known.turn_over()
-        known, before, sought = self.known, self.known.before, []
-        for piece in new:
-            if (ids := before.get(piece)) is not None:
-                known[piece] = ids
-            elif len(piece) <= LONGEST_PIECE and not piece.isspace():
-                sought.append(piece)
-        if not sought:
-            return
-        if self.by == "word":
-            text, word = "\n".join(sought), np.arange(len(sought))
-        else:  # a line break is a word too
-            text = "".join([p if p[0] == " " else "\n" + p for p in sought])
-            word = np.arange(len(sought)) + np.cumsum([p[0] != " " for p in sought])
-        found = self.library.encode(text, add_special_tokens=False)
-        words = np.array(found.word_ids)
-        if not len(words) or words[-1] != word[-1]:
-            return  # cut otherwise than the library cuts: each is encoded alone
-        lo, hi = np.searchsorted(words, word), np.searchsorted(words, word, side="right")
-        ids = np.array(found.ids, "<u4").tobytes()
-        known.update(zip(sought, [ids[a:b] for a, b in zip((4 * lo).tolist(), (4 * hi).tolist(), strict=True)], strict=True))
+        return b"".join(map(self.known.__getitem__, self.cut(text.lower() if self.lower else text)))
 
 
 class _Known(dict):
-    """Pieces seen since the last generation began; those of the one before are taken over when met.
-    A piece in neither is encoded alone."""
+    """Ids of the pieces met since the last generation began; those of the one before are taken over when met.
 
-    def __init__(self, encode, most: int):
-        self.encode, self.most, self.before = encode, most, {}
-        self[""] = b""
+    A piece in neither goes to the library's model at once: it is a word already, so nothing is left to be cut.
+    """
 
-    def turn_over(self) -> None:
-        self.before = dict(self)
-        self.clear()
-        self[""] = b""
+    def __init__(self, tokenize, most: int):
+        self.tokenize, self.most, self.before, self.symbols = tokenize, most, {}, _byte_symbols()
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.encode(piece)
-        if len(piece) <= LONGEST_PIECE and len(self) < 2 * self.most:
-            self[piece] = ids
+        ids = self.before.get(piece)
+        if ids is None:
+            found = [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(self.symbols))]
+            ids = struct.pack(f"<{len(found)}I", *found)
+            if len(piece) > LONGEST_PIECE:
+                return ids
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self[piece] = ids
         return ids
 
 
