@@ -27,6 +27,8 @@ from gridlake.plans.gridstore import (
 from gridlake.plans.rasters import monthly_rasters
 from gridlake.plans.sealevel import height_change_tiles
 from gridlake.plans.soil import soil_cube
+from gridlake.session import new_scratch
+from gridlake.sources.overviews import build_overviews, overview_cells
 from gridlake.sources.raster import geotransform, raster_tiles, tile_cells
 from gridlake.sources import versioned
 from gridlake.sources.store import (
@@ -408,6 +410,22 @@ def _(t):
     return tiles.select("name", "tile_row", "tile_col", F.size("pixels").alias("n_pixels"), "crs")
 
 
+@query(
+    "s13_overviews",
+    """WITH p AS (
+  SELECT 'SSH' AS var, strftime(time, '%Y-%m') AS label, r, c, SSH::FLOAT::DOUBLE AS value
+  FROM monthly JOIN (SELECT lat, row_number() OVER (ORDER BY lat DESC) - 1 AS r FROM (SELECT DISTINCT lat FROM monthly)) USING (lat)
+    JOIN (SELECT lon, row_number() OVER (ORDER BY lon) - 1 AS c FROM (SELECT DISTINCT lon FROM monthly)) USING (lon)),
+n AS (SELECT CAST(ceil(log2(1 + max(greatest(r, c)) // 4)) AS BIGINT) AS top FROM p)
+SELECT level, var, label, r >> level AS row, c >> level AS col, avg(value) AS value, count(value) AS n
+FROM (SELECT *, unnest(range(1, top + 1)) AS level FROM p, n) WHERE value IS NOT NULL GROUP BY ALL""",
+    "value",
+)
+def _(t):
+    tiles = raster_tiles(t.monthly.drop("OBP"), tile=4, prefix="eo", unit="M", crs="EPSG:4326")
+    return overview_cells(build_overviews(tiles, new_scratch(tiles.sparkSession, "overviews"), 4), 4)
+
+
 @query(
     "s13_static_raster",
     "SELECT 'n' AS var, lat, lon, count(*)::FLOAT::DOUBLE AS value FROM cube GROUP BY ALL",
