@@ -1,8 +1,9 @@
 """Positions in an order, and tables small enough to broadcast.
 
 A position over a whole group would sort that group in one task. Here the order
-is cut into ranges first, each range is numbered on its own, and the number of
-rows before a range is added from a table of at most ``MAX_SPLITS`` rows per group.
+is cut into ranges of about ``ROWS_PER_SPLIT`` rows first, as many as it takes, each range is
+numbered on its own, and the number of rows before a range is added from a table with one row for each
+range and each group in it: a million rows for 10^12.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridlake.session import stored
+
 MAX_LOCAL_ROWS = 100_000
-MAX_SPLITS = 256
 ROWS_PER_SPLIT = 1_000_000
 
 
@@ -75,22 +77,23 @@ def ordered_position(
     weight: str | None = None,
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
-    """Add the number of rows before each row (or their summed ``weight``) within ``keys``."""
-    place = F.struct(*order)
-    splits = _split_points(df, order, rows_per_split)
+    """Add the number of rows before each row (or their summed ``weight``) within ``keys``.
+
+    Rows with equal ``order`` fall into one range; give an order that tells rows apart.
+    """
+    ranges = df.count() // rows_per_split
     amount = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
     direction = [F.desc(c) if descending else F.asc(c) for c in order]
-
-    if splits:
-        passed = (lambda s: s > place) if descending else (lambda s: s < place)
-        part = F.size(F.filter(F.array(*splits), passed))
-    else:
-        part = F.lit(0)
-    parts = df.withColumns({"_part": part, "_amount": amount})
+    parts = df.withColumn("_amount", amount)
+    if ranges < 2:
+        parts = parts.withColumn("_part", F.lit(0))
+    else:  # stored, so that a range keeps its number when a task is run again
+        ordered = parts.repartitionByRange(ranges, *[F.asc(k) for k in keys], *direction)
+        parts = stored(ordered.withColumn("_part", F.spark_partition_id()), "ranges")
     inside = Window.partitionBy(*keys, "_part").orderBy(*direction)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     numbered = parts.withColumn(name, F.coalesce(F.sum("_amount").over(before), F.lit(0)))
-    if not splits:
+    if ranges < 2:
         return numbered.drop("_part", "_amount")
 
     totals = parts.groupBy(*keys, "_part").agg(F.sum("_amount").alias("_amount"))
@@ -112,18 +115,3 @@ def ordered_position(
         .withColumn(name, F.col(name) + F.col("_offset"))
         .drop("_part", "_amount", "_offset_part", "_offset", *[f"_k_{k}" for k in keys])
     )
-
-
-def _split_points(df: DataFrame, order: list[str], rows_per_split: int) -> list[Column]:
-    """Places that cut the order into ranges of about equal size; none for a small table."""
-    rows = df.count()
-    wanted = min(MAX_SPLITS, rows // rows_per_split)
-    if wanted < 2:
-        return []
-    places = df.select(*order)
-    sample = places.sample(min(1.0, 50 * wanted / rows), seed=7).toArrow()
-    sample = sample.sort_by([(c, "ascending") for c in order])
-    step = max(1, sample.num_rows // wanted)
-    rows = sample.take(list(range(step, sample.num_rows, step))).to_pylist()
-    types = {f.name: f.dataType for f in places.schema.fields}
-    return [F.struct(*[F.lit(r[c]).cast(types[c]).alias(c) for c in order]) for r in rows]
