@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import json
 import math
 import zlib
 
@@ -67,6 +68,28 @@ def test_encoder_equals_the_library(by, name, rows):
         assert own.encode(t) == own.whole(t)
 
 
+def test_encoder_of_other_settings_takes_texts_whole(tmp_path, rows):
+    """A vocabulary that cuts texts in another way gets the ids of its own library."""
+    with open(vocabulary("byte_bpe_50k.json"), encoding="utf-8") as file:
+        parts = json.load(file)
+    parts["pre_tokenizer"]["add_prefix_space"] = True
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(parts), encoding="utf-8")
+    own = tokens.Encoder(str(other), "byte")
+    assert not own.cuts and own.encode("a b") == own.whole("a b") != tokens.Encoder(vocabulary("byte_bpe_50k.json"), "byte").encode("a b")
+    for by, name in (("word", "byte_bpe_50k.json"), ("byte", "word_bpe_49k.json")):  # the wrong way named
+        own = tokens.Encoder(vocabulary(name), by)
+        assert not own.cuts and all(own.encode(r[1] or "") == own.whole(r[1] or "") for r in rows)
+
+
+def test_encoder_forgets_in_generations(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_PIECES", {"byte": 5})
+    own = tokens.Encoder(vocabulary("byte_bpe_50k.json"), "byte")
+    for t in [text(7), text(8), text(7), "long " + "y" * 200 + " " + text(7)]:
+        assert own.encode(t) == own.whole(t)
+    assert len(own.known) <= 5 and len(own.known.before) <= 5
+
+
 def test_packing_places_every_id_once(docs, empty, rows):
     path = vocabulary("byte_bpe_50k.json")
     own = tokens.Encoder(path, "byte")
