@@ -28,6 +28,11 @@ def missing_pairs(df: DataFrame, a: str, b: str, max_rows: int = MAX_LOCAL_ROWS)
     return seen.select(a, F.explode(F.array_except(every, "_seen")).alias(b))
 
 
+def absent_keys(wanted: DataFrame, present: DataFrame, *keys: str) -> DataFrame:
+    """Distinct ``keys`` of ``wanted`` that no row of ``present`` has; a missing key equals a missing key."""
+    return wanted.select(*keys).subtract(present.select(*keys).distinct())
+
+
 def check_ledger(store: DataFrame, ledger: DataFrame, chunk: int, steps_per_day: int = 24) -> DataFrame:
     """One row of checks of a store's time axis against its ledger of dates.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridlake import fixed
 from gridlake.functions.geo import wrap_lon
 from gridlake.functions.positions import axis_index
-from gridlake.model import KEYS, variables
+from gridlake.model import KEYS, attrs, set_attrs, variables
 
 
 def select_variables(
@@ -125,6 +125,18 @@ def add_dim(df: DataFrame, name: str, value, type_name: str) -> DataFrame:
     return df.withColumn(name, value.cast(type_name))
 
 
+def rescale(df: DataFrame, name: str, factor: float, offset: float = 0.0, units: str | None = None, out: str | None = None) -> DataFrame:
+    """A variable times ``factor`` plus ``offset``, in place or as ``out``; its attributes stay but for the new ``units``."""
+    out = out or name
+    kept = attrs(df, name) | ({"units": units} if units else {})
+    return set_attrs(df.withColumn(out, F.col(name) * factor + offset), out, kept)
+
+
+def difference(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """``a`` less ``b``, missing where either is, with the attributes of ``a``."""
+    return set_attrs(df.withColumn(out, F.col(a) - F.col(b)), out, attrs(df, a))
+
+
 def fill_nodata(df: DataFrame, columns: list[str], nodata: float) -> DataFrame:
     """Missing values, NULL or NaN, as a number."""
     return df.withColumns(

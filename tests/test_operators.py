@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gridlake import fixed
 from gridlake.functions.geo import wrap_lon
 from gridlake.functions.positions import axis_index
-from gridlake.model import KEYS
+from gridlake.model import KEYS, attrs, set_attrs
 from gridlake.operators import aggregate, energy, joins, quality, select, timeaxis
 from gridlake.operators.axes import chunk_ids, complete, spread_over
 from gridlake.plans import reanalysis
@@ -304,3 +304,16 @@ def test_daily_melt_shuffles_the_hours_once(spark, cube):
     rounded = [F.round(c, 6).alias(c) if c not in ("time", "lat", "lon") else c for c in names]
     assert rows(got.select(*rounded)) == rows(want.select(*rounded))
     assert got.schema["SMELT"].metadata == fixed.MELT_ATTRS
+
+
+def test_scaled_variables_keep_attributes(spark):
+    df = set_attrs(spark.createDataFrame([(2.0, 0.5), (None, 1.0)], "h double, p double"), "h", {"units": "m", "long_name": "height"})
+    got = select.difference(select.rescale(df, "h", 1000, 1.0, units="mm", out="mm"), "h", "p", "rest")
+    assert [(r["h"], r["mm"], r["rest"]) for r in got.collect()] == [(2.0, 2001.0, 1.5), (None, None, None)]
+    assert attrs(got, "mm") == {"units": "mm", "long_name": "height"} and attrs(got, "rest") == attrs(df, "h")
+
+
+def test_absent_keys_take_missing_for_equal(spark):
+    wanted = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), (None, 2)], "k string, n int")
+    present = spark.createDataFrame([("b", None), ("c", 3)], "k string, n int")
+    assert {tuple(r) for r in quality.absent_keys(wanted, present, "k", "n").collect()} == {("a", 1), (None, 2)}

@@ -14,7 +14,7 @@ from gridlake import fixed
 from gridlake.model import DETECTION_CSV, DETECTION_SCHEMA
 from gridlake.operators.aggregate import count_by, count_of_counts, groups_with_count, latest
 from gridlake.operators.axes import complete
-from gridlake.operators.quality import missing_pairs
+from gridlake.operators.quality import absent_keys, missing_pairs
 from gridlake.operators.select import on_date, since, time_between_open, where_label
 from gridlake.operators.timeaxis import catch_up_dates, distinct_keys, union_detections
 from gridlake.plans.detections import archive_to_store, refresh_detections, with_geometry, with_timestamps, wanted_files
@@ -329,8 +329,7 @@ EXCEPT SELECT c_nationkey, c_mktsegment FROM customer JOIN orders ON o_custkey =
 )
 def _(t):
     filled = t.customer.join(t.orders.where("o_orderstatus = 'F'"), F.col("o_custkey") == F.col("c_custkey"), "left_semi")
-    pairs = t.customer.select("c_nationkey", "c_mktsegment").distinct()
-    return pairs.join(filled.select("c_nationkey", "c_mktsegment").distinct(), ["c_nationkey", "c_mktsegment"], "left_anti")
+    return absent_keys(t.customer, filled, "c_nationkey", "c_mktsegment")
 
 
 @query("p7_open_interval", "SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-09 12:00:00'")

@@ -16,6 +16,7 @@ from gridlake.functions.times import (
     normalise_hhmm,
     time_label,
 )
+from gridlake.operators.select import difference, rescale
 from workload.registry import query
 
 
@@ -127,6 +128,5 @@ def _(t):
     "steric height_mm",
 )
 def _(t):
-    return t.monthly.select(
-        "time", "lat", "lon", (F.col("SSH") - F.col("OBP")).alias("steric"), (F.col("SSH") * 1000).alias("height_mm")
-    )
+    cube = rescale(difference(t.monthly, "SSH", "OBP", "steric"), "SSH", 1000, units="mm", out="height_mm")
+    return cube.select("time", "lat", "lon", "steric", "height_mm")
