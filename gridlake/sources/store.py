@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlake.functions.positions import array_of, broadcast_if_small, local_table
 from gridlake.functions.times import step_number
@@ -124,9 +125,8 @@ def rechunked(cube: DataFrame, old: int, chunks: dict[str, int], plan: RechunkPl
     place = F.row_number().over(Window.partitionBy("time_chunk").orderBy("time")) - 1 + F.col("time_chunk") * old
     times = broadcast_if_small(times.select("time_chunk", "time", F.floor(place / new).cast("int").alias("_new")))
     moved = cut.join(times, ["time_chunk", "time"]).withColumn("time_chunk", F.col("_new")).select(*cube.columns)
-    if plan.kind == "shuffle":
-        cells = _horizontal(cube)
-        moved = moved.repartition(plan.partitions, "time_chunk", *cells) if cells else moved.repartition(plan.partitions, "time_chunk", "time")
+    if plan.kind == "shuffle":  # by ranges, so that a task writes few chunks: hardly more files than tasks and chunks
+        moved = moved.repartitionByRange(plan.partitions, "time_chunk", *(_horizontal(cube) or ["time"]))
     return _clustered(whole.unionByName(moved), cube, chunks)
 
 
@@ -136,13 +136,16 @@ def _clustered(rows: DataFrame, cube: DataFrame, chunks: dict[str, int]) -> Data
     for dim in (d for d in chunks if d in _horizontal(cube)):
         labels = local_table(cube.select(dim).where(F.col(dim).isNotNull()).distinct())
         if labels is not None:
-            starts = array_of(sorted(labels.column(0).to_pylist())[:: chunks[dim]], cube.schema[dim].dataType)
-            order.append(_up_to(starts, F.col(dim)))
+            starts = sorted(labels.column(0).to_pylist())[:: chunks[dim]]
+            order.append(_up_to(starts, cube.schema[dim].dataType, F.col(dim)))
     return rows.sortWithinPartitions("time_chunk", *order, "time", *_horizontal(cube))
 
 
-def _up_to(labels: Column, value: Column) -> Column:
-    return F.size(F.filter(labels, lambda label: label <= value))
+def _up_to(labels: list, kind: T.DataType, value: Column) -> Column:
+    """How many of the sorted ``labels`` are at most ``value``, by halving."""
+    halves = array_of([1 << bit for bit in reversed(range(len(labels).bit_length()))], T.IntegerType())
+    table = array_of(labels, kind)
+    return F.aggregate(halves, F.lit(0), lambda low, half: F.when(F.get(table, low + half - 1) <= value, low + half).otherwise(low))
 
 
 def _by_cell(df: DataFrame) -> DataFrame:

@@ -311,6 +311,28 @@ def test_rechunk_moves_no_more_than_it_must(spark, cube, tmp_path, old, new, kin
     assert rows(spark.read.parquet(third).drop("time_chunk")) == rows(cube)
 
 
+def test_a_shuffled_rechunk_writes_few_files(spark, cube, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    store.write_cube(cube, a, {"time": 48, "lat": 5, "lon": 5})
+    plan = store.rechunk(spark, a, b, {"time": 7, "lat": 3, "lon": 100}, cap_bytes=500)
+    again = spark.read.parquet(b)
+    assert plan.kind == "shuffle" and plan.partitions >= 10
+    # A hash of cells gave every task rows of every chunk, so a file for each pair of both.
+    assert len(again.inputFiles()) <= plan.partitions + 72 // 7 + 1
+    assert rows(again.drop("time_chunk")) == rows(cube)
+
+
+def test_places_among_labels(spark):
+    from pyspark.sql import types as T
+
+    labels = [-2.5, 0.0, 1.0, 4.0, 9.0]
+    values = [-3.0, -2.5, -1.0, 0.0, 0.5, 1.0, 8.9, 9.0, 99.0]
+    for n in range(len(labels) + 1):
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+        got = {r.v: r.n for r in df.select("v", store._up_to(labels[:n], T.DoubleType(), df.v).alias("n")).collect()}
+        assert got == {v: sum(x <= v for x in labels[:n]) for v in values} | {None: 0}
+
+
 def test_rechunk_plan():
     assert store.plan_rechunk(1000, 10**9, 10, 30, 1 << 30, 1 << 27).kind == "merge"
     assert store.plan_rechunk(1000, 10**9, 30, 10, 1 << 30, 1 << 27).kind == "split"
