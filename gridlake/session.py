@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,7 @@ _local_scratch: dict[str, str] = {}
 
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+FILES_PER_TASK = 64
 
 
 def build_session(
@@ -71,6 +74,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def tasks_by_files(spark: SparkSession, files: int) -> Iterator[None]:
+    """Tables written or listed inside get their tasks by their number of small ``files``.
+
+    Adaptive execution merges partitions by their bytes, so that a few tasks would write thousands of small files,
+    and a listing starts one task for each of thousands of folders.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.minPartitionNum": str(max(cores, -(-files // FILES_PER_TASK))),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * cores),
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

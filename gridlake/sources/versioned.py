@@ -28,7 +28,7 @@ from gridlake.functions.curves import SIDE, hilbert_places, looked_up, square
 from gridlake.functions.times import step_number
 from gridlake.model import HORIZONTAL, variables
 from gridlake.operators.quality import compare_cubes
-from gridlake.session import delete_path, list_names, path_exists, read_text, rename_new, write_text
+from gridlake.session import delete_path, list_names, path_exists, read_text, rename_new, stored, tasks_by_files, write_text
 
 ROWS_PER_FILE = 4_000_000
 PARTS = ("time_chunk", "block")
@@ -77,6 +77,7 @@ def create(
     Rows without a time, or between two steps, are an error. Readers see the old store until the new one is whole.
     """
     spark = df.sparkSession
+    df = stored(df, "cells")
     horizontal = tuple(c for c in HORIZONTAL if c in df.columns)
     x, y = _xy(horizontal)
     sides = [F.min(x), F.max(x), F.min(y), F.max(y)]
@@ -96,7 +97,7 @@ def create(
     counts = df.groupBy(square(x, y, list(extent)).alias("square")).agg(F.count("*").alias("n")).collect()
     blocks = _cut(dict(counts), max(1, steps // chunk + 1), rows_per_file)
     new = replace(new, blocks=blocks, last_chunk=last)
-    write, schema = _write(df, new)
+    write, schema = _write(df, new, (last + 1) * len(set(blocks)))
     new = replace(new, schema=schema)
     return _commit(spark, root, latest, lambda _: (new, write), paths)
 
@@ -117,6 +118,7 @@ def upsert(
     base = open_version(spark, root)
     if batch is not None and batch in batches(spark, base):
         return base
+    new = stored(new, "cells")
     _refuse_off_axis(new, base)
     if by_cell:
         keys = (*keys, *[c for c in (*base.horizontal, "forecast") if c in new.columns and c not in keys])
@@ -127,11 +129,10 @@ def upsert(
     if not touched:
         return base
     old = manifest(spark, base)
-    stored = _read(spark, base, old.where(_within(scope, touched)))
-    kept = stored.join(new.select(*scope, *keys).distinct(), [*scope, *keys], "left_anti")
+    kept = _read(spark, base, old.where(_within(scope, touched))).join(new.select(*scope, *keys).distinct(), [*scope, *keys], "left_anti")
     merged = kept.unionByName(new, allowMissingColumns=True)
     chunks = [t[0] for t in touched]
-    write, schema = _write(merged, base)
+    write, schema = _write(merged, base, len(touched) * (1 if by_cell else len(set(base.blocks))))
 
     def following(current: Snapshot) -> tuple[Snapshot, DataFrame]:
         now = manifest(spark, current)
@@ -365,20 +366,22 @@ def _within(scope: tuple[str, ...], touched: list[tuple]) -> Column:
     return chunks & F.concat_ws(":", "time_chunk", "block").isin(names)
 
 
-def _write(df: DataFrame, store: Snapshot) -> tuple[DataFrame, str]:
-    """Write cells once, along the curve within each file; the manifest rows of the files, and the schema."""
+def _write(df: DataFrame, store: Snapshot, files: int) -> tuple[DataFrame, str]:
+    """Write cells once, about ``files`` files with cells along the curve; their manifest rows, and the schema."""
     spark = df.sparkSession
     cells = _placed(df, store)
     places = looked_up(hilbert_places(), square(*_xy(store.horizontal), list(store.extent)))
     write = uuid.uuid4().hex
     ordered = cells.hint("rebalance", *PARTS).withColumn("_place", places)
     ordered = ordered.sortWithinPartitions(*PARTS, "_place", *store.horizontal, "time").drop("_place")
-    ordered.write.partitionBy(*PARTS).parquet(f"{store.root}/cells/write={write}")
+    with tasks_by_files(spark, files):
+        ordered.write.partitionBy(*PARTS).parquet(f"{store.root}/cells/write={write}")
 
     fields = T.StructType([f for f in cells.schema.fields if f.name not in PARTS])
     base = f"{store.root}/cells"
     parts = T.StructType([*fields.fields, *_part_fields()])
-    back = spark.read.schema(parts).option("basePath", base).parquet(f"{base}/write={write}")
+    with tasks_by_files(spark, files):
+        back = spark.read.schema(parts).option("basePath", base).parquet(f"{base}/write={write}")
     x, y = _xy(store.horizontal)
     keys = ["time", *[c for c in (*store.horizontal, "forecast") if c in fields.names]]
     sides = {"time": F.col("time"), "x": x.cast("double"), "y": y.cast("double")}
@@ -423,7 +426,8 @@ def _read(spark: SparkSession, snapshot: Snapshot, files: DataFrame) -> DataFram
     if not paths:
         return spark.createDataFrame([], fields).drop("write")
     reader = spark.read.schema(fields).option("basePath", f"{snapshot.root}/cells")
-    return reader.parquet(*paths).drop("write")
+    with tasks_by_files(spark, len(paths)):
+        return reader.parquet(*paths).drop("write")
 
 
 def _ntz(time: dt.datetime) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,3 +175,18 @@ def test_sums_equal_a_scan(spark, cube, tmp_path):
     b = versioned.bounds(spark, now).first()
     want = cells.agg(F.count("*"), F.min("time"), F.max("time"), F.min("lat"), F.max("lon")).first()
     assert (b.n_cells, b.min_time, b.max_time, b.min_x, b.max_y) == tuple(want)
+
+
+def test_many_small_files_are_written_by_many_tasks(spark, tmp_path):
+    grid = spark.range(40 * 40 * 10).selectExpr(
+        "TIMESTAMP_NTZ '2022-01-01' + make_dt_interval(0, CAST(id DIV 1600 AS INT)) AS time",
+        "CAST(id % 40 AS DOUBLE) AS lat", "CAST(id DIV 40 % 40 AS DOUBLE) AS lon", "CAST(id AS DOUBLE) AS v",
+    )
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key, None)
+    store = versioned.create(grid, str(tmp_path / "s"), 5, 3600, rows_per_file=100)
+    paths = [r.path for r in versioned.manifest(spark, store).select("path").collect()]
+    # All of them are a few hundred KB, which adaptive execution alone hands to one task.
+    assert len(paths) >= 100 and len({re.search(r"part-(\d+)", p).group(1) for p in paths}) >= 4
+    assert spark.conf.get(key, None) == before
+    assert rows(versioned.read(spark, store)) == rows(grid)
