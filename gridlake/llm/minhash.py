@@ -22,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import components, free_name, small_batches, stored, whole_groups
+from gridlake.llm.common import components, small_batches, stored, whole_groups
 from gridlake.llm.shingles import batches, mixed, shingles
 
 BANDS, ROWS = 26, 5  # a pair of similarity 0.8 is missed in 1 of 30,000 cases
@@ -168,8 +168,8 @@ def across(mixed_: DataFrame, registers: DataFrame) -> DataFrame:
     return rows.mapInPandas(compared, "a binary, b binary")
 
 
-def maybe_in(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """All ``rows`` whose ``key`` is in ``wanted``, and few others, without a shuffle of ``rows``.
+def maybe_in(rows: DataFrame, wanted: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """All ``rows`` whose ``key`` is in ``wanted``, and few others, without a shuffle of ``rows``; with ``left_anti`` all the rest.
 
     The broadcast side is a bitmap of ``FILTER_BITS`` hashes, so it has at most 8 MB whatever the size
     of ``wanted``; a fuller bitmap only lets more rows through to the exact join behind it.
@@ -180,7 +180,7 @@ def maybe_in(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     place = F.bitmap_bit_position(code)
     byte = F.conv(F.hex(F.substring("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     marked = byte.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) != 0
-    return rows.join(F.broadcast(marks), (F.bitmap_bucket_number(code) == F.col("_bucket")) & marked, "left_semi")
+    return rows.join(F.broadcast(marks), (F.bitmap_bucket_number(code) == F.col("_bucket")) & marked, how)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -204,19 +204,16 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return both.mapInPandas(compared, "a binary, b binary")
 
 
-def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, class_key: str = "class_key"
-) -> DataFrame:
-    """``docs`` with ``class_key``, equal for documents that links of ``threshold`` or more join.
-
-    Equal texts are one node from the start. A null text is empty; texts without words are never
-    linked, each row has a class of its own only by its id, and its key is null. All columns are
-    kept; one of the name given as ``class_key`` is replaced. Repeated rows are in one class; an empty table stays empty.
-    """
+def _whole(text: str) -> tuple[Column, Column]:
+    """A text, null as the empty one, and the node of all texts that equal it."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    node = F.unhex(F.md5(whole))
-    texts = docs.select(node.alias("node"), whole.alias("text"))
-    with small_batches(docs.sparkSession, ROWS_AT_ONCE):
+    return whole, F.unhex(F.md5(whole))
+
+
+def _roots(texts: DataFrame, threshold: float) -> DataFrame:
+    """``node, root`` of the nodes among ``texts`` (``node, text``) that have a link."""
+    spark = texts.sparkSession
+    with small_batches(spark, ROWS_AT_ONCE):
         sketch = stored(sketches(texts), "sketches")
     rows = sketch.select("node", F.posexplode("buckets").alias("band", "bucket"))
     code = F.xxhash64("node")  # a number aggregates in half the space of the node
@@ -230,7 +227,7 @@ def near_duplicates(
     registers = sketch.select("node", "registers").join(mass.select("node"), "node", "left_semi").dropDuplicates(["node"])
     registers = stored(registers, "registers")
     found = verified(plausible(star, registers), texts, threshold)
-    with small_batches(docs.sparkSession):
+    with small_batches(spark):
         links = stored(found, "links")
     roots = components(links)
 
@@ -239,10 +236,24 @@ def near_duplicates(
     main = counts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("classes"))
     mixed_ = stored(inside.join(main.where("classes > 1").drop("classes"), "bucket"), "mixed")
     found = verified(across(mixed_, registers), texts, threshold)
-    with small_batches(docs.sparkSession):
+    with small_batches(spark):
         more = stored(found, "links")
     if not more.isEmpty():
         roots = components(links.union(more))
+    return roots
+
+
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, class_key: str = "class_key"
+) -> DataFrame:
+    """``docs`` with ``class_key``, equal for documents that links of ``threshold`` or more join.
+
+    Equal texts are one node from the start. A null text is empty; texts without words are never
+    linked, each row has a class of its own only by its id, and its key is null. All columns are
+    kept; one of the name given as ``class_key`` is replaced. Repeated rows are in one class; an empty table stays empty.
+    """
+    whole, node = _whole(text)
+    roots = _roots(docs.select(node.alias("node"), whole.alias("text")), threshold)
     kept = [c for c in docs.columns if c != class_key]
     whole_row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc")
     named = docs.select(whole_row, node.alias("node"), (F.trim(whole) == "").alias("blank"))
@@ -265,15 +276,22 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
 
     All columns keep their names and values, whatever they are called.
     """
-    key, first, n = (free_name(c, docs.columns) for c in ("class_key", "_first", "_n"))
-    keyed = stored(near_duplicates(docs, doc_id, text, threshold, key), "keyed")
-    named = keyed.where(F.col(key).isNotNull())
-    least = named.groupBy(key).agg(F.min(doc_id).alias(first))
-    ids = named.groupBy(key, F.col(doc_id).alias("id")).agg(F.count("*").alias(n))
-    ids = ids.join(least, key).where(F.col("id").eqNullSafe(F.col(first))).select(F.col(key).alias("k"), "id", F.col(n).alias("n"))
-    kept = keyed.alias("d").join(ids.alias("f"), (F.col(f"d.{key}") == F.col("f.k")) & F.col(f"d.{doc_id}").eqNullSafe(F.col("f.id")))
-    kept = kept.select(F.col("f.n").alias(n), *[F.col(f"d.`{c}`") for c in keyed.columns])
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    once = kept.where(F.col(n) == 1).select(*columns)
-    repeated = kept.where(F.col(n) > 1).dropDuplicates([key]).select(*columns)
-    return once.unionByName(repeated).unionByName(keyed.where(F.col(key).isNull()).select(*columns))
+    whole, node = _whole(text)
+    texts = docs.select(F.col(doc_id).alias("id"), node.alias("node"), whole.alias("text"))
+    roots = _roots(texts.select("node", "text"), threshold)
+    keyed = texts.where(F.trim("text") != "").groupBy("id", "node").agg(F.count("*").alias("n"))
+    keyed = stored(keyed.join(roots, "node", "left").select("id", "node", F.coalesce("root", "node").alias("key"), "n"), "keyed")
+    judged = keyed.join(keyed.groupBy("key").agg(F.min("id").alias("first")), "key").withColumn("leads", F.col("id").eqNullSafe(F.col("first")))
+    rows = judged.where("leads").groupBy("key").agg(F.sum("n").alias("rows"))
+    marked = judged.join(rows, "key").where("NOT leads OR rows > 1").select("id", "node", "key", "leads", F.xxhash64("id", "node").alias("mark"))
+    marked = stored(marked, "marked")  # most rows are not in it, and whole rows that are not are not shuffled
+    columns = [F.col("d.doc")[c].alias(c) for c in docs.columns]
+    whole_row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    named = docs.select(whole_row, F.col(doc_id).alias("id"), node.alias("node"), F.xxhash64(doc_id, node).alias("mark"))
+    same = F.col("d.id").eqNullSafe(F.col("m.id")) & (F.col("d.node") == F.col("m.node"))
+    clear = maybe_in(named, marked, "mark", "left_anti").alias("d").select(*columns)
+    alike = maybe_in(named, marked, "mark").alias("d").join(marked.alias("m"), same, "left_anti").select(*columns)
+    # Rows that share the smallest id of their class, of which one stays.
+    tied = marked.where("leads")
+    tied = maybe_in(named, tied, "mark").alias("d").join(tied.alias("m"), same).dropDuplicates(["key"]).select(*columns)
+    return clear.unionByName(alike).unionByName(tied)

@@ -471,3 +471,21 @@ def test_callers_columns_keep_their_values(spark):
     taken = mixing.mix(docs, out="o", shard="s", place="p", shards=2)
     assert taken.columns == [*names, "s", "p"]
     assert {(r["doc_id"], *r[2:-2]) for r in taken.collect()} <= {(d[0], *d[2:]) for d in data}
+
+
+def test_whole_rows_are_kept_without_a_copy_of_their_texts(spark, monkeypatch):
+    words = "one two three four five six seven eight nine ten"
+    data = [(i, f"{words} {i} {i * 7} {i * 11} {i * 13} {i * 17} {i * 19} {i * 23} {i * 29} {i * 31}", f"s{i}") for i in range(30)]
+    data += [(40, data[3][1], "copy"), (5, data[5][1], "s5"), (None, data[7][1], "no id"), (41, None, "null"), (42, "", "empty"), (43, None, "null")]
+    seen = {}
+    own = minhash.stored
+
+    def stored(df, name):
+        seen[name] = df.columns
+        return own(df, name)
+
+    monkeypatch.setattr(minhash, "stored", stored)
+    kept = minhash.deduplicated(spark.createDataFrame(data, "doc_id long, text string, `a.b` string"))
+    want = [(i, s) for i, _, s in data[:30]] + [(41, "null"), (42, "empty"), (43, "null")]
+    assert sorted((r.doc_id, r["a.b"]) for r in kept.collect()) == want
+    assert "text" not in seen["keyed"]
