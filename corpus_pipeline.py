@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import minhash, mixing, packing, pii, quality
-from gridlake.llm.common import free_name, stored, stored_once
+from gridlake.llm.common import free_name, small_batches, stored, stored_once
 from gridlake.llm.queries import pii_key, vocabulary
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of being good is at least 0.3; a null or empty text is scored like any other."""
     network, score = quality.fitted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), free_name("_score", docs.columns)
-    return quality.scored(docs, network, score=score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
+    passed = quality.scored(docs, network, score=score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
+    with small_batches(spark):  # written here: who writes it later would hand 10,000 whole texts to Python at once
+        return stored(passed, "pipeline-passed")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

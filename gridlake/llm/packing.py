@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -201,8 +202,10 @@ def pack(
     weights = [float(n) for n in sizes] if targets is None else [float(targets.get(r["source"], 0)) for r in totals]
     tree = Tree(sizes, weights, size, queues)
 
-    leaves = [(r["source"], *leaf) for r, leaf in zip(totals, tree.leaf, strict=True)]
-    leaves = docs.sparkSession.createDataFrame(leaves, "source string, node int, queue int")
+    leaves = [{"source": r["source"], "node": node, "queue": queue} for r, (node, queue) in zip(totals, tree.leaf, strict=True)]
+    fields = pa.schema([("source", pa.string()), ("node", pa.int32()), ("queue", pa.int32())])
+    # An Arrow table goes to the JVM as it is; a list would start Python workers of its own beside those of the stages.
+    leaves = docs.sparkSession.createDataFrame(pa.Table.from_pylist(leaves, fields))
     order = Window.partitionBy("source").orderBy("part")
     base = parts.withColumn("base", F.sum("n").over(order) - F.col("n")).alias("p")
     base = base.join(leaves.alias("l"), F.col("p.source").eqNullSafe(F.col("l.source")))

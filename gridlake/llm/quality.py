@@ -12,7 +12,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -179,21 +180,24 @@ def scored(docs: DataFrame, network: ByteNetwork | float, text: str = "text", sc
     columns = [c for c in docs.columns if c != score]
     schema = docs.select(*columns).withColumn(score, F.lit(0.0)).schema
 
-    def answered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = [t.encode("utf-8", "replace") for t in null_to_empty(frame[text])]
-            out = np.full(len(texts), network if isinstance(network, float) else 0.0)
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
             lo = 0
-            while lo < len(texts) and not isinstance(network, float):
-                hi, size = lo + 1, len(texts[lo])
-                while hi < len(texts) and size < 8 * PIECE:
-                    size += len(texts[hi])
+            while lo < len(sizes):  # texts are taken out and rows handed on a few at a time, which bounds memory
+                hi, size = lo + 1, sizes[lo]
+                while hi < len(sizes) and size < 8 * PIECE:
+                    size += sizes[hi]
                     hi += 1
-                out[lo:hi] = network.probability(texts[lo:hi])
+                part = batch.slice(lo, hi - lo)
+                if isinstance(network, float):
+                    out = np.full(hi - lo, network)
+                else:
+                    out = network.probability([t.encode("utf-8", "replace") for t in null_to_empty(part.column(text).to_pylist())])
+                yield part.append_column(score, pa.array(out, pa.float64()))
                 lo = hi
-            yield frame[columns].assign(**{score: out})
 
-    return docs.select(*columns).mapInPandas(answered, schema)
+    return docs.select(*columns).mapInArrow(answered, schema)
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,14 @@ def test_packing_places_every_id_once(docs, empty, rows):
     assert packing.pack(empty, path, "byte", 1).count() == 0
 
 
+def test_packing_hands_no_lists_to_python_workers(spark, docs, monkeypatch):
+    """A table made from a list is read through Python workers of another kind, which then stay beside those of the stages."""
+    given, made = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: given.append(data) or made(self, data, *a, **k))
+    assert packing.pack(docs, vocabulary("byte_bpe_50k.json"), "byte", 1).count()
+    assert given and all(isinstance(g, pa.Table) for g in given)
+
+
 @pytest.mark.parametrize("queues", [256, 16, 3])
 def test_more_sources_than_queues_keep_their_shares(queues):
     sizes = [4000 + i % 7 for i in range(600)]
@@ -168,6 +177,44 @@ def test_toxicity_orders_grades(spark, empty):
     assert toxicity.graded(empty, toxicity.fitted(empty, labels.limit(0))).count() == 0
 
 
+def test_quality_takes_few_texts_out_of_a_batch_at_once(spark):
+    """A batch of 20 MB and what is made of it in Python, at their most together; before, 60 MB."""
+
+    class Watch:
+        def __setstate__(self, state):
+            import tracemalloc
+
+            tracemalloc.start()
+
+        def __getstate__(self):
+            return 1
+
+        def probability(self, texts):
+            import tracemalloc
+
+            most = tracemalloc.get_traced_memory()[1] / 1e6
+            if any(t.startswith(b"1999 ") for t in texts):
+                tracemalloc.stop()
+            return [most] * len(texts)
+
+    many = spark.range(0, 2000, 1, 1).select("id", F.concat("id", F.lit(" "), F.repeat(F.lit("text "), 2000)).alias("text"))
+    got = quality.scored(many, Watch())
+    assert got.agg(F.max("score")).first()[0] < 30
+    assert not got.drop("score").exceptAll(many).count() and got.count() == 2000
+
+
+def test_quality_keeps_columns_of_any_type(spark):
+    odd = spark.sql(
+        """SELECT id, IF(id % 3 = 0, NULL, CAST(id AS STRING)) AS text, IF(id = 1, NULL, id) AS n, CAST(id AS DECIMAL(20, 3)) AS d,
+        TIMESTAMP '2020-01-01 00:00:00' AS t, TIMESTAMP_NTZ '2020-01-01 00:00:00' AS u, DATE '2020-01-01' AS v, array(id, NULL) AS a,
+        map('k', id) AS m, named_struct('x', id, 'y', array('z')) AS s, CAST('b' AS BINARY) AS b, INTERVAL '1' DAY AS i, id > 1 AS f FROM range(7)"""
+    )
+    got = quality.scored(odd, quality.ByteNetwork())
+    assert got.drop("score").schema.simpleString() == odd.schema.simpleString()
+    assert sorted(map(str, got.drop("score").collect())) == sorted(map(str, odd.collect()))
+    assert {r["score"] for r in got.where("text IS NULL").collect()} == {r["score"] for r in quality.scored(odd.selectExpr("'' AS text"), quality.ByteNetwork()).collect()}
+
+
 def test_quality_separates_held_out_texts(spark, docs, empty):
     data = [(i, text(i, 40) if i % 2 else "%%% ".join(text(i, 40).split()), i % 2) for i in range(400)]
     own = spark.createDataFrame([(i, t) for i, t, _ in data] + [(900, None), (901, "")], "doc_id long, text string")

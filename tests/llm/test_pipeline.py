@@ -51,6 +51,20 @@ def test_stages_keep_columns_that_look_like_their_own(spark):
             assert after.exceptAll(docs.select(*after.columns).unionAll(docs.select(*after.columns))).isEmpty(), name
 
 
+def test_quality_hands_few_texts_to_python_at_once(spark, monkeypatch):
+    """Rows come with the number of rows that reached Python with them, in a task with 1,000."""
+
+    def counted(docs, network, score):
+        schema = docs.withColumn(score, F.lit(1.0)).schema
+        return docs.mapInPandas(lambda frames: (f.assign(n_chars=len(f), **{score: 1.0}) for f in frames), schema)
+
+    monkeypatch.setattr(corpus_pipeline.quality, "fitted", lambda docs, labels: 1.0)
+    monkeypatch.setattr(corpus_pipeline.quality, "scored", counted)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").crossJoin(spark.range(5)).drop("id").coalesce(1)
+    after = corpus_pipeline.quality_filter(spark, docs, SF_DIR)
+    assert after.count() == docs.count() == 1000 and after.agg(F.max("n_chars")).first()[0] <= 500
+
+
 def test_a_run_goes_on_behind_its_last_whole_stage(spark, monkeypatch):
     calls = []
 
