@@ -16,6 +16,9 @@ from gridlake.llm import minhash, mixing, packing, pii, quality
 from gridlake.llm.common import free_name, small_batches, stored, stored_once
 from gridlake.llm.queries import pii_key, vocabulary
 
+#: Words that a Python worker remembers of the texts it packs; the workers of this job hold memory of other stages too.
+WORDS = 100_000
+
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of being good is at least 0.3; a null or empty text is scored like any other."""
@@ -44,7 +47,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their sequence and place in it; a document drawn twice is packed twice, a null text as its end id."""
-    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), by="byte", end_id=1)
+    pieces = packing.pack(docs, vocabulary("byte_bpe_50k.json"), by="byte", end_id=1, remembered=WORDS)
+    with small_batches(spark):  # as above: these rows have the ids of whole texts
+        return stored(pieces, "pipeline-packed")
 
 
 STAGES = [

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridlake.session import path_exists, scratch_dir, stored
 
-__all__ = ["components", "free_name", "joined_by_key", "null_to_empty", "running_total", "small_batches", "stored", "stored_once", "whole_groups"]
+__all__ = ["components", "free_name", "gives_memory_back", "joined_by_key", "null_to_empty", "running_total", "small_batches", "stored", "stored_once", "whole_groups"]
 
 HOT_SHARE = 1000  # a key is hot when it has more than one of so many rows
 
@@ -33,6 +37,24 @@ def small_batches(spark: SparkSession, rows: int = 500):
         spark.conf.set(key, before)
 
 
+def gives_memory_back(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``function`` of a task's batches; behind the last one, what the worker freed goes back to the system.
+
+    A worker goes on to other stages, and what its allocators keep of one would lie beside what the next one needs.
+    """
+
+    @functools.wraps(function)
+    def run(batches: Iterator) -> Iterator:
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def stored_once(spark: SparkSession, made: Callable[[], DataFrame], name: str) -> DataFrame:
     """The table of this name in scratch space, made and written only where it is not there whole."""
     path = scratch_dir(spark, name)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import components, small_batches, stored, whole_groups
+from gridlake.llm.common import components, gives_memory_back, small_batches, stored, whole_groups
 from gridlake.llm.shingles import batches, mixed, shingles
 
 BANDS, ROWS = 26, 5  # a pair of similarity 0.8 is missed in 1 of 30,000 cases
@@ -94,6 +94,7 @@ def jaccard(left: list[str], right: list[str]) -> np.ndarray:
 def sketches(texts: DataFrame) -> DataFrame:
     """``node, buckets, registers`` of each text with words; equal texts of different tasks repeat."""
 
+    @gives_memory_back
     def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             frame = frame.drop_duplicates("node")
@@ -122,6 +123,7 @@ def plausible(pairs: DataFrame, registers: DataFrame) -> DataFrame:
     left = registers.select(F.col("node").alias("a"), F.col("registers").alias("left"))
     right = registers.select(F.col("node").alias("b"), F.col("registers").alias("right"))
 
+    @gives_memory_back
     def kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
@@ -144,6 +146,7 @@ def across(mixed_: DataFrame, registers: DataFrame) -> DataFrame:
     rows = rows.select("node", "band", F.xxhash64("root").alias("root"), (F.col("root") == F.col("main")).alias("inner"), "slot", (F.col("slot") == F.col("other")).alias("own"), cell.alias("cell"))
     rows = rows.join(registers, "node").repartition("cell").sortWithinPartitions("cell")
 
+    @gives_memory_back
     def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_groups(frames, "cell"):
             cells = frame["cell"].to_numpy()
@@ -193,6 +196,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     left = read.select(F.col("node").alias("a"), F.col("text").alias("left"))
     right = read.select(F.col("node").alias("b"), F.col("text").alias("right"))
 
+    @gives_memory_back
     def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for lo in range(0, len(frame), 64):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.positions import broadcast_if_small
-from gridlake.llm.common import null_to_empty, small_batches, stored
+from gridlake.llm.common import gives_memory_back, null_to_empty, small_batches, stored
 from gridlake.llm.tokens import encoder, release
 
 SIZE = 2048
@@ -101,12 +101,13 @@ class Schedule:
                 yield row[some], (a - place[row])[some], (b - a)[some], to[some]
 
 
-def tokenised(docs: DataFrame, vocabulary_path: str, by: str, end_id: int) -> DataFrame:
+def tokenised(docs: DataFrame, vocabulary_path: str, by: str, end_id: int, remembered: int | None = None) -> DataFrame:
     """Stored ``doc_id, source, ids, n, part, before``: ids with the end id, and how many ids of its
     source the rows before it in the same part have."""
 
+    @gives_memory_back
     def encoded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, end = encoder(vocabulary_path, by).encode, np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(vocabulary_path, by, remembered).encode, np.array([end_id], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), {}
         for frame in frames:
             ids, n, before = [], [], []
@@ -184,6 +185,7 @@ def pack(
     targets: dict[str | None, float] | None = None,
     queues: int = QUEUES,
     keep_ids: bool = False,
+    remembered: int | None = None,
 ) -> DataFrame:
     """Every piece of every document of ``doc_id, source, text`` with its window and place in it.
 
@@ -192,9 +194,10 @@ def pack(
     together. A null text is empty and still has its end id; a null source is a source; repeated rows are
     packed each; an empty table has no pieces. Columns of other names are not looked at. ``queues`` bounds a node of
     the tree of queues; the driver and each task hold two numbers for every source. With
-    ``keep_ids`` pieces carry their ids, 32-bit little-endian.
+    ``keep_ids`` pieces carry their ids, 32-bit little-endian. ``remembered`` bounds the words that a Python worker
+    remembers (about 200 bytes each, twice); with fewer of them more words are encoded again.
     """
-    ids = tokenised(docs, vocabulary_path, by, end_id)
+    ids = tokenised(docs, vocabulary_path, by, end_id, remembered)
     parts = stored(ids.groupBy("source", "part").agg(F.sum("n").alias("n")), "packing-parts")
     totals = parts.groupBy("source").agg(F.sum("n").alias("n")).collect()  # a row for each source
     totals = sorted(totals, key=lambda r: (r["source"] is None, r["source"] or ""))
@@ -216,6 +219,7 @@ def pack(
         "doc_id", "i.source", "node", "queue", "ids", "n", "wide", (F.col("base") + F.col("before")).alias("place")
     )
 
+    @gives_memory_back
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         release()
         for frame in frames:

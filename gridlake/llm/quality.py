@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import null_to_empty
+from gridlake.llm.common import gives_memory_back, null_to_empty
 from gridlake.llm.labelled import held_out, sample
 
 TRAIN_ROWS = 4000  # at most so many labelled documents are fitted, all of them whole
@@ -180,6 +180,7 @@ def scored(docs: DataFrame, network: ByteNetwork | float, text: str = "text", sc
     columns = [c for c in docs.columns if c != score]
     schema = docs.select(*columns).withColumn(score, F.lit(0.0)).schema
 
+    @gives_memory_back
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()

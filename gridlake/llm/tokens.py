@@ -60,7 +60,7 @@ class Encoder:
     whose settings are others encodes whole texts, and nothing is remembered.
     """
 
-    def __init__(self, path: str, by: str):
+    def __init__(self, path: str, by: str, remembered: int | None = None):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -71,7 +71,7 @@ class Encoder:
         self.cuts = (parts["normalizer"], parts["pre_tokenizer"]) == _SETTINGS[by] and all(
             t["content"].startswith("<|") for t in parts["added_tokens"]
         )
-        self.known = _Known(self.library.model.tokenize, CACHED_PIECES[by])
+        self.known = _Known(self.library.model.tokenize, CACHED_PIECES[by] if remembered is None else remembered)
 
     def whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
@@ -106,14 +106,15 @@ class _Known(dict):
         return ids
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+_encoders: dict[tuple[str, str, int | None], Encoder] = {}
 
 
-def encoder(path: str, by: str) -> Encoder:
+def encoder(path: str, by: str, remembered: int | None = None) -> Encoder:
     """One encoder for each Python worker, which keeps what it knows between tasks."""
-    if (path, by) not in _encoders:
-        _encoders[path, by] = Encoder(path, by)
-    return _encoders[path, by]
+    key = path, by, remembered
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
 
 
 def release() -> None:

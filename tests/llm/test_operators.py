@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import ctypes
 import hashlib
 import json
 import math
@@ -27,7 +28,7 @@ from gridlake.llm import (
     tokens,
     toxicity,
 )
-from gridlake.llm.common import components
+from gridlake.llm.common import components, gives_memory_back
 from gridlake.llm.queries import vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, mix string, class_key string, score string"
@@ -91,6 +92,44 @@ def test_encoder_forgets_in_generations(monkeypatch):
     assert len(own.known) <= 5 and len(own.known.before) <= 5
 
 
+def test_encoder_remembers_as_many_words_as_it_is_told():
+    path = vocabulary("byte_bpe_50k.json")
+    own = tokens.encoder(path, "byte", 5)
+    for t in [text(7), text(8), text(7)]:
+        assert own.encode(t) == own.whole(t)
+    assert len(own.known) <= 5 and len(own.known.before) <= 5
+    assert tokens.encoder(path, "byte", 5) is own is not tokens.encoder(path, "byte")
+    tokens.release()
+
+
+def test_packing_is_the_same_with_few_remembered_words(docs):
+    path = vocabulary("byte_bpe_50k.json")
+    many, few = (collections.Counter(packing.pack(docs, path, "byte", 1, size=64, remembered=n).collect()) for n in (None, 5))
+    assert many == few
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="not glibc")
+def test_memory_goes_back_behind_the_last_batch():
+    def own():  # MB of this process without mapped files
+        with open("/proc/self/status") as file:
+            return next(int(line.split()[1]) for line in file if line.startswith("RssAnon")) / 1024
+
+    last = []  # lies above what is freed, so the allocator keeps it
+
+    def used(batches):
+        for batch in batches:
+            held = [bytes(60_000) for _ in range(3000)]
+            last.append(held.pop())
+            del held
+            yield batch
+
+    ctypes.CDLL(None).malloc_trim(0)
+    before = own()
+    assert list(used([1, 2])) == [1, 2] and own() - before > 100
+    assert list(gives_memory_back(used)([1, 2])) == [1, 2] and own() - before < 60
+    assert list(gives_memory_back(used)([])) == []
+
+
 def test_packing_places_every_id_once(docs, empty, rows):
     path = vocabulary("byte_bpe_50k.json")
     own = tokens.Encoder(path, "byte")

@@ -65,6 +65,19 @@ def test_quality_hands_few_texts_to_python_at_once(spark, monkeypatch):
     assert after.count() == docs.count() == 1000 and after.agg(F.max("n_chars")).first()[0] <= 500
 
 
+def test_packing_hands_few_rows_to_python_at_once(spark, monkeypatch):
+    """As above; and the workers are told how many words to remember."""
+
+    def counted(docs, *args, remembered, **kwargs):
+        assert remembered == corpus_pipeline.WORDS < 450_000
+        return docs.mapInPandas(lambda frames: (f.assign(n_chars=len(f)) for f in frames), docs.schema)
+
+    monkeypatch.setattr(corpus_pipeline.packing, "pack", counted)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").crossJoin(spark.range(5)).drop("id").coalesce(1)
+    after = corpus_pipeline.sequences(spark, docs, SF_DIR)
+    assert after.count() == docs.count() == 1000 and after.agg(F.max("n_chars")).first()[0] <= 500
+
+
 def test_a_run_goes_on_behind_its_last_whole_stage(spark, monkeypatch):
     calls = []
 
